@@ -147,12 +147,20 @@ def ngrams(words: Column, n: int) -> Column:
     """Space-joined n-grams in order; empty when there are fewer than n words."""
     if n == 1:
         return words
-    return F.when(F.size(words) < n, F.array().cast("array<string>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))),
-            lambda i: F.array_join(F.slice(words, i, n), " "),
+
+    def joined(w: Column, i: Column) -> Column:
+        parts = [F.get(w, i)]
+        for k in range(1, n):
+            parts += [F.lit(" "), F.get(w, i + k)]
+        return F.concat(*parts)
+
+    def grams(w: Column) -> Column:
+        last = F.size(w) - n
+        return F.when(last < 0, F.array().cast("array<string>")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: joined(w, i))
         )
-    )
+
+    return let(words, grams)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import let, term_counts
@@ -44,6 +44,37 @@ def zeros(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0), dim)
 
 
+def sums(vector: Column, dim: int, weight: Column | None = None) -> Column:
+    """Aggregate: the (weighted) sum of vectors, one plain sum per coordinate.
+
+    Plain sums combine inside the map tasks in fixed-width buffers. Null vectors
+    are ignored; without any the result is zeros.
+    """
+
+    def total(i: int) -> Column:
+        x = F.get(vector, F.lit(i)).cast("double")
+        return F.coalesce(F.sum(x if weight is None else x * weight), F.lit(0.0))
+
+    return F.array(*[total(i) for i in range(dim)])
+
+
+def means(vector: Column, dim: int) -> Column:
+    """Aggregate: the mean of vectors."""
+    return F.array(*[F.avg(F.get(vector, F.lit(i)).cast("double")) for i in range(dim)])
+
+
+def maxima(vector: Column, dim: int, keep: Column, masked: float) -> Column:
+    """Aggregate: the largest value per coordinate, ``masked`` where not kept."""
+    values = [F.get(vector, F.lit(i)).cast("double") for i in range(dim)]
+    return F.array(*[F.max(F.when(keep, x).otherwise(masked)) for x in values])
+
+
+def dimension(df: DataFrame, vector: str) -> int:
+    """Length of the vectors of a table, from its first row."""
+    row = df.select(F.size(vector).alias("n")).first()
+    return 0 if row is None else row["n"]
+
+
 def hash_code(word: Column, dim: int) -> Column:
     """Bucket and sign of a token: ``2 * bucket + (1 when negative)``.
 

@@ -7,8 +7,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from . import topk
 
 FALLBACK = "other"
 MAX_EXAMPLE_CHARS = 100_000
+TOLERANCE = 1e-3
 
 
 def built_in_test_set(spark: SparkSession) -> DataFrame:
@@ -94,7 +94,7 @@ def rbf_features(
     defaults to one over dimension times variance of the vectors; the same
     gamma and seed must be given for training and prediction.
     """
-    dim = df.select(F.size(vector)).first()[0]
+    dim = vx.dimension(df, vector)
     if gamma is None:
         spread = df.select(F.explode(vector).alias("x")).agg(F.var_pop("x")).first()[0]
         gamma = 1.0 / (dim * spread) if spread else 1.0
@@ -121,7 +121,7 @@ def train(
     indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc")
     coded = indexer.fit(rows)
     svm = OneVsRest(
-        classifier=LinearSVC(maxIter=max_iter),
+        classifier=LinearSVC(maxIter=max_iter, tol=TOLERANCE),
         featuresCol="_x",
         labelCol="_y",
         predictionCol="_p",
@@ -167,10 +167,8 @@ def train_metrics(
 
 def centroids(df: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
     """Mean vector per class: label, embedding."""
-    mean = Summarizer.mean(array_to_vector(vx.as_double(F.col(vector))))
-    return df.groupBy(F.col(label).cast("string").alias("label")).agg(
-        vector_to_array(mean).alias("embedding")
-    )
+    mean = vx.means(F.col(vector), vx.dimension(df, vector))
+    return df.groupBy(F.col(label).cast("string").alias("label")).agg(mean.alias("embedding"))
 
 
 def nearest_centroid(

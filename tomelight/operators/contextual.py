@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from ..functions import vectors as vx
 from . import topk, words
 from .positions import position_index
 
+POOLINGS = ("cls", "mean", "max")
 MASKED = -1e9
 MIN_MASK = 1e-9
 
@@ -79,6 +79,7 @@ def pool(
     pos: str = "pos",
     vector: str = "vector",
     mask: str | None = None,
+    dim: int | None = None,
 ) -> DataFrame:
     """One vector per document from one row per token: id, embedding.
 
@@ -86,23 +87,20 @@ def pool(
     three combine inside the map tasks, so a document of any length is one
     partial row per task.
     """
-    v = vx.as_double(F.col(vector))
-    keep = F.lit(True) if mask is None else F.col(mask).cast("boolean")
+    if how not in POOLINGS:
+        raise ValueError(f"pooling must be one of {POOLINGS}")
+    v = F.col(vector)
     if how == "cls":
-        return df.groupBy(id).agg(F.min_by(v, F.col(pos)).alias("embedding"))
-    if how == "mean":
-        kept = F.when(keep, v).otherwise(F.transform(v, lambda x: F.lit(0.0)))
-        sums = df.groupBy(id).agg(
-            vector_to_array(Summarizer.sum(array_to_vector(kept))).alias("_sum"),
-            F.greatest(F.sum(keep.cast("double")), F.lit(MIN_MASK)).alias("_n"),
-        )
-        return sums.select(id, F.transform("_sum", lambda x: x / F.col("_n")).alias("embedding"))
+        return df.groupBy(id).agg(F.min_by(vx.as_double(v), F.col(pos)).alias("embedding"))
+    dim = vx.dimension(df, vector) if dim is None else dim
+    keep = F.lit(True) if mask is None else F.col(mask).cast("boolean")
     if how == "max":
-        kept = F.when(keep, v).otherwise(F.transform(v, lambda x: F.lit(MASKED)))
-        return df.groupBy(id).agg(
-            vector_to_array(Summarizer.max(array_to_vector(kept))).alias("embedding")
-        )
-    raise ValueError("pooling must be 'cls', 'mean' or 'max'")
+        return df.groupBy(id).agg(vx.maxima(v, dim, keep, MASKED).alias("embedding"))
+    totals = df.groupBy(id).agg(
+        vx.sums(v, dim, keep.cast("double")).alias("_sum"),
+        F.greatest(F.sum(keep.cast("double")), F.lit(MIN_MASK)).alias("_n"),
+    )
+    return totals.select(id, F.transform("_sum", lambda x: x / F.col("_n")).alias("embedding"))
 
 
 def similar_by_model(

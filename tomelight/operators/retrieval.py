@@ -7,7 +7,8 @@ and weights. All queries of a batch are answered by one pass over the index.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import SCOPE_ALL, SCOPE_ONE, STATS_SCOPE_ALL
@@ -19,54 +20,30 @@ PREVIEW_CHARS = 150
 
 
 def fit_vocabulary(
-    chunks: DataFrame, max_features: int = 2000, stop_words=None, text: str = "chunk_text"
-) -> tuple[DataFrame, Column]:
-    """Vocabulary and chunk count over all chunks, also when a search is scoped."""
-    terms = sparse.with_retrieval_terms(chunks, text, "_terms", stop_words)
-    n_docs = sparse.row_count(chunks)
-    posts = sparse.postings(terms, "chunk_id", "_terms")
-    return sparse.vocabulary(posts, n_docs, 1, 1.0, max_features), n_docs
-
-
-def lexical_rows(
-    df: DataFrame, id: str, text: str, vocab: DataFrame, n_docs: Column, stop_words=None
-) -> DataFrame:
-    """Sparse TF-IDF row of each text, empty for texts without known terms."""
-    terms = sparse.with_retrieval_terms(df, text, "_terms", stop_words)
-    weights = sparse.vectorize(terms, "_terms", vocab, n_docs, id)
-    return sparse.matrix_rows(weights, df, id)
-
-
-def build_index(
-    chunks: DataFrame,
-    vocab: DataFrame,
-    n_docs: Column,
+    chunks: DataFrame, n_docs: int | Column, max_features: int = 2000, stop_words=None,
     text: str = "chunk_text",
-    dim: int = 64,
-    make_encoder=None,
-    stop_words=None,
 ) -> DataFrame:
-    """Chunk table with the two representations search needs."""
-    rows = lexical_rows(chunks, "chunk_id", text, vocab, n_docs, stop_words)
-    return contextual.encode(chunks, text, make_encoder, dim).join(rows, "chunk_id")
+    """Vocabulary over all chunks, also when a search is scoped to one file."""
+    terms = sparse.with_retrieval_terms(chunks, text, "_grams", stop_words)
+    posts = sparse.postings(terms, "chunk_id", "_grams")
+    return sparse.vocabulary(posts, n_docs, 1, 1.0, max_features)
 
 
-def encode_queries(
-    queries: DataFrame,
-    vocab: DataFrame,
-    n_docs: Column,
-    text: str = "text",
+def represent(
+    df: DataFrame,
+    model: PipelineModel,
+    text: str,
     dim: int = 64,
     make_encoder=None,
     stop_words=None,
 ) -> DataFrame:
-    """Queries (query_id, text) in both representations."""
-    rows = lexical_rows(queries, "query_id", text, vocab, n_docs, stop_words)
-    return (
-        contextual.encode(queries, text, make_encoder, dim)
-        .select("query_id", "embedding")
-        .join(rows, "query_id")
-    )
+    """Add both representations of a text: embedding, terms and weights.
+
+    One map-only pass, the same for chunks and for queries.
+    """
+    terms = sparse.with_retrieval_terms(df, text, "_grams", stop_words)
+    rows = sparse.vector_rows(terms, model, "_grams").drop("_grams")
+    return contextual.encode(rows, text, make_encoder, dim)
 
 
 def scoped(index: DataFrame, filename: str | None) -> DataFrame:

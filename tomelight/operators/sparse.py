@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +15,9 @@ from ..functions import text as tx
 from . import topk
 
 
+MAX_ROW_TERMS = 1_000_000
+
+
 def postings(df: DataFrame, id: str = "doc_id", terms: str = "lemmas") -> DataFrame:
     """Term counts per document: id, term, tf.
 
@@ -99,24 +106,56 @@ def tfidf(
     return rows.select(id, F.inline(tx.let(F.sqrt(squares), scaled)))
 
 
-def matrix_rows(
-    weights: DataFrame, docs: DataFrame | None = None, id: str = "doc_id"
-) -> DataFrame:
-    """One sparse row per document: id, terms, weights, in index order.
+def vectorizer(vocab: DataFrame, n_docs: int | None = None) -> PipelineModel:
+    """A fitted row-wise transformer from ``_terms`` to a sparse ``_row``.
 
-    With ``docs`` given, documents without any vocabulary term are kept as empty
-    rows; they arrive as markers in the same shuffle, without a join.
+    With ``n_docs`` the rows are TF-IDF of unit length, without it plain counts.
+    The vocabulary is shipped to the tasks, so its size is checked; larger ones
+    go through :func:`tfidf`, which joins.
     """
-    cells = weights.select(id, F.struct("idx", "weight").alias("cell"))
-    if docs is not None:
-        cells = cells.unionByName(
-            docs.select(id, F.lit(None).cast(cells.schema["cell"].dataType).alias("cell"))
-        )
-    rows = cells.groupBy(id).agg(F.sort_array(F.collect_list("cell")).alias("cells"))
-    return rows.select(
+    fitted = vocab.orderBy("idx").select("term", "df").limit(MAX_ROW_TERMS + 1).collect()
+    if not 0 < len(fitted) <= MAX_ROW_TERMS:
+        raise ValueError(f"vocabulary must have 1 to {MAX_ROW_TERMS} terms")
+    terms = [r["term"] for r in fitted]
+    last = "_row" if n_docs is None else "_counts"
+    stages = [CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol=last)]
+    if n_docs is not None:
+        idfs = Vectors.dense([math.log((1 + n_docs) / (1 + r["df"])) + 1 for r in fitted])
+        stages += [
+            ElementwiseProduct(scalingVec=idfs, inputCol="_counts", outputCol="_scaled"),
+            Normalizer(p=2.0, inputCol="_scaled", outputCol="_row"),
+        ]
+    return PipelineModel(stages)
+
+
+def vector_rows(df: DataFrame, model: PipelineModel, terms: str = "lemmas") -> DataFrame:
+    """Add each document's sparse row as arrays ``terms`` and ``weights``.
+
+    Rows are computed where the documents lie, without a shuffle. Unknown terms
+    are ignored and a document without known ones gets an empty row.
+    """
+    present = F.coalesce(F.col(terms), F.array().cast("array<string>"))
+    rows = model.transform(df.withColumn("_terms", present))
+    return (
+        rows.withColumn("_cells", F.unwrap_udt("_row"))
+        .withColumn("terms", F.col("_cells.indices"))
+        .withColumn("weights", F.col("_cells.values"))
+        .drop("_terms", "_counts", "_scaled", "_row", "_cells")
+    )
+
+
+def unpack(rows: DataFrame, vocab: DataFrame, id: str = "doc_id") -> DataFrame:
+    """Sparse rows as a long table: id, term, idx, weight."""
+    cells = rows.select(
         id,
-        F.transform("cells", lambda c: c["idx"]).alias("terms"),
-        F.transform("cells", lambda c: c["weight"]).alias("weights"),
+        F.inline(
+            F.zip_with(
+                "terms", "weights", lambda t, w: F.struct(t.alias("idx"), w.alias("weight"))
+            )
+        ),
+    )
+    return cells.join(F.broadcast(vocab.select("idx", "term")), "idx").select(
+        id, "term", "idx", "weight"
     )
 
 
@@ -188,7 +227,7 @@ def similar(
 ) -> DataFrame:
     """The n documents nearest by cosine to each query document, never itself.
 
-    ``rows`` come from :func:`matrix_rows`; ``queries`` holds the ids to look up,
+    ``rows`` come from :func:`vector_rows`; ``queries`` holds the ids to look up,
     all of them by default. Returns query_id, rank, item_id, score.
     """
     wanted = rows if queries is None else rows.join(queries.select(id), id, "left_semi")
@@ -235,10 +274,3 @@ def with_retrieval_terms(
     """Add unigrams of two characters or more, without stop words, and their bigrams."""
     words = tx.drop_stop_words(tx.word_terms(F.col(text), 2), stop_words)
     return df.withColumn(out, tx.let(words, lambda w: F.concat(w, tx.ngrams(w, 2))))
-
-
-def vectorize(
-    df: DataFrame, terms: str, vocab: DataFrame, n_docs: int | Column, id: str = "query_id"
-) -> DataFrame:
-    """Weight new texts with a fitted vocabulary; unseen terms are ignored."""
-    return tfidf(postings(df, id, terms), vocab, n_docs, id)

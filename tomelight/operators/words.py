@@ -9,7 +9,6 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA, StandardScaler, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +62,6 @@ def model_vectors(model: Word2VecModel) -> DataFrame:
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
-def dimension(words: DataFrame) -> int:
-    row = words.select(F.size("vector").alias("n")).first()
-    return 0 if row is None else row["n"]
-
-
 def subwords(word: Column, min_n: int = 3, max_n: int = 6) -> Column:
     """Distinct character n-grams of ``<word>``."""
 
@@ -89,13 +83,10 @@ def subword_vectors(words: DataFrame, min_n: int = 3, max_n: int = 6) -> DataFra
     partial row per task.
     """
     rows = words.select(
-        F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram"),
-        array_to_vector(vx.as_double(F.col("vector"))).alias("v"),
-    )
-    return rows.groupBy("gram").agg(
-        vector_to_array(Summarizer.mean(F.col("v"))).alias("vector"),
-        F.count(F.lit(1)).alias("n_words"),
+        F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram"), "vector"
     )
+    mean = vx.means(F.col("vector"), vx.dimension(words, "vector"))
+    return rows.groupBy("gram").agg(mean.alias("vector"), F.count(F.lit(1)).alias("n_words"))
 
 
 def with_subwords(
@@ -105,15 +96,13 @@ def with_subwords(
 
     ``wanted`` has a word column. A word without a known n-gram gets zeros.
     """
-    dim = dimension(words)
+    dim = vx.dimension(words, "vector")
     asked = wanted.select("word").distinct().join(words, "word", "left")
     unseen = asked.filter(F.col("vector").isNull()).select(
         "word", F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram")
     )
     parts = salted_left_join(unseen, grams.select("gram", "vector"), "gram", "word", how="inner")
-    built = parts.groupBy("word").agg(
-        vector_to_array(Summarizer.mean(array_to_vector("vector"))).alias("built")
-    )
+    built = parts.groupBy("word").agg(vx.means(F.col("vector"), dim).alias("built"))
     return asked.join(built, "word", "left").select(
         "word",
         F.coalesce(vx.as_double(F.col("vector")), "built", vx.zeros(dim)).alias("vector"),
@@ -213,18 +202,15 @@ def doc_means(
     """
     if oov not in ("skip", "zero"):
         raise ValueError("oov must be 'skip' or 'zero'")
-    dim = dimension(words) if dim is None else dim
+    dim = vx.dimension(words, "vector") if dim is None else dim
     counted = df.select(id, F.inline_outer(tx.term_counts(F.col(terms), "word")))
     found = salted_left_join(counted, words.select("word", "vector"), "word", id)
-    vector = array_to_vector(F.coalesce(vx.as_double(F.col("vector")), vx.zeros(dim)))
-    weight = F.coalesce("tf", F.lit(1).cast("long")).cast("double")
-    sums = found.groupBy(id).agg(
-        vector_to_array(Summarizer.sum(vector, weight)).alias("_sum"),
-        F.coalesce(F.sum(F.when(F.col("vector").isNotNull(), F.col("tf"))), F.lit(0)).alias("_known"),
-        F.coalesce(F.sum("tf"), F.lit(0)).alias("_all"),
+    tf = F.col("tf") if oov == "zero" else F.when(F.col("vector").isNotNull(), F.col("tf"))
+    totals = found.groupBy(id).agg(
+        vx.sums(F.col("vector"), dim, F.col("tf")).alias("_sum"),
+        F.greatest(F.coalesce(F.sum(tf), F.lit(1)), F.lit(1)).alias("_n"),
     )
-    count = F.greatest(F.col("_known" if oov == "skip" else "_all"), F.lit(1))
-    return sums.select(id, F.transform("_sum", lambda x: x / count).alias("embedding"))
+    return totals.select(id, F.transform("_sum", lambda x: x / F.col("_n")).alias("embedding"))
 
 
 def select_words(

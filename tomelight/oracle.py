@@ -413,7 +413,7 @@ def summary_pass(units: str, keys: str, limit: int, out: str) -> str:
   FROM {units} u LEFT JOIN {out}_p p USING ({keys}))"""
 
 
-DOC_GRAMS = f"""doc_terms AS MATERIALIZED (SELECT doc_id, {grams("text")} FROM documents)),
+DOC_TERMS = f"""doc_terms AS MATERIALIZED (SELECT doc_id, {terms("text")} AS g FROM documents),
 {sparse_sql("doc_terms", "doc_id", "g", 1, 1.0, 2000)}"""
 
 
@@ -801,11 +801,11 @@ SELECT model, round(acc, 6) AS accuracy, round(f1, 6) AS f1_macro, round(ms, 6)
   n AS test_set_size FROM a JOIN (SELECT model, avg(f1) AS f1 FROM f GROUP BY model) USING (model)"""
 
     # I
-    sql["i1_summarize_single"] = f"""WITH {DOC_GRAMS},
+    sql["i1_summarize_single"] = f"""WITH {DOC_TERMS},
 unit AS (SELECT doc_id, text FROM documents),
 {summary_pass("unit", "doc_id", 150, "one")} SELECT doc_id, summary FROM one"""
     chunked = chunk_sql(DEFAULT_STARTS).replace(" WHERE length(text) >= 20", "")
-    sql["i2_summarize_hierarchical"] = f"""WITH {DOC_GRAMS}, {chunked},
+    sql["i2_summarize_hierarchical"] = f"""WITH {DOC_TERMS}, {chunked},
 unit AS (SELECT doc_id, chunk_index, chunk_text AS text FROM chunk),
 {summary_pass("unit", "doc_id, chunk_index", 150, "one")},
 combined AS MATERIALIZED (

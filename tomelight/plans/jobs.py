@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..operators import chunking, corpus, retrieval, sparse, summarize
 from ..sources.store import materialize
 
@@ -19,19 +21,18 @@ def processed_documents(raw: DataFrame, **options) -> tuple[DataFrame, DataFrame
 
 @dataclass
 class SearchIndex:
-    """A fitted index: chunk rows with both representations, and its vocabulary."""
+    """A fitted index: chunk rows with both representations, and how to make them."""
 
     rows: DataFrame
     vocab: DataFrame
     n_docs: int
+    model: PipelineModel
     options: dict
 
     def encode(self, queries: DataFrame) -> DataFrame:
         """Queries (query_id, text) as search expects them."""
-        encoded = retrieval.encode_queries(
-            queries, self.vocab, F.lit(self.n_docs), **self.options
-        )
-        return materialize(encoded)
+        rows = retrieval.represent(queries, self.model, "text", **self.options)
+        return materialize(rows.select("query_id", "embedding", "terms", "weights"))
 
     def search(self, queries: DataFrame, **options) -> DataFrame:
         return retrieval.search(self.encode(queries), self.rows, **options)
@@ -42,15 +43,16 @@ def fit_index(
 ) -> SearchIndex:
     """Fit the vocabulary on all chunks and write the index.
 
-    ``chunks`` needs chunk_id. They are read once for the vocabulary and once for
-    the rows.
+    ``chunks`` needs chunk_id. They are read once for the vocabulary, which is
+    the only shuffle, and once for the rows.
     """
-    stop_words = options.get("stop_words")
-    vocab, n_docs = retrieval.fit_vocabulary(chunks, max_features, stop_words, text)
-    vocab = materialize(vocab)
-    count = chunks.count()
-    rows = retrieval.build_index(chunks, vocab, F.lit(count), text, **options)
-    return SearchIndex(materialize(rows), vocab, count, options)
+    n_docs = chunks.count()
+    vocab = materialize(
+        retrieval.fit_vocabulary(chunks, n_docs, max_features, options.get("stop_words"), text)
+    )
+    model = sparse.vectorizer(vocab, n_docs)
+    rows = retrieval.represent(chunks, model, text, **options)
+    return SearchIndex(materialize(rows), vocab, n_docs, model, options)
 
 
 def chunk_table(docs: DataFrame, **options) -> DataFrame:
@@ -66,7 +68,7 @@ def summaries(
     **options,
 ) -> DataFrame:
     """Summaries weighted by the corpus' own term statistics."""
-    terms = sparse.with_retrieval_terms(docs, text, "_terms").select(id, "_terms")
+    terms = docs.select(id, tx.word_terms(F.col(text)).alias("_terms"))
     n_docs = docs.count()
     vocab = materialize(
         sparse.vocabulary(sparse.postings(terms, id, "_terms"), n_docs, 1, 1.0, max_features)

@@ -328,10 +328,12 @@ def c7_top_terms(spark, sf):
 
 def vectors_of(spark, sf, kind: str) -> DataFrame:
     """Sparse rows of all documents, written once: several blocks read them."""
-    weights = bow if kind == "bow" else weighted
 
     def build() -> DataFrame:
-        return store.materialize(sparse.matrix_rows(weights(spark, sf), processed(spark, sf)))
+        rows = processed(spark, sf)
+        model = sparse.vectorizer(fitted(spark, sf)[1], rows.count() if kind == "tfidf" else None)
+        made = sparse.vector_rows(rows.select("doc_id", "lemmas"), model)
+        return store.materialize(made.select("doc_id", "terms", "weights"))
 
     return stage(spark, sf, f"rows_{kind}", build)
 
@@ -365,15 +367,13 @@ def c10_compare_top_terms(spark, sf):
 
 def c11_retrieval_tfidf(spark, sf):
     ix = index(spark, sf)
-    terms = sparse.with_retrieval_terms(chunks(spark, sf), "chunk_text", "terms_list")
-    weights = sparse.vectorize(terms, "terms_list", ix.vocab, ix.n_docs, "chunk_id")
+    weights = sparse.unpack(ix.rows, ix.vocab, "chunk_id")
     return weights.select("chunk_id", "term", "idx", r6("weight", "weight"))
 
 
 def c12_query_vectors(spark, sf):
     ix = index(spark, sf)
-    terms = sparse.with_retrieval_terms(questions(spark, sf), "text", "terms_list")
-    weights = sparse.vectorize(terms, "terms_list", ix.vocab, ix.n_docs, "query_id")
+    weights = sparse.unpack(encoded_questions(spark, sf), ix.vocab, "query_id")
     return weights.select("query_id", "term", "idx", r6("weight", "weight"))
 
 
@@ -706,12 +706,13 @@ def relevant_chunks(spark, sf) -> DataFrame:
     )
     few = retrieval.topk.is_small(passage)
     hits = runs.join(F.broadcast(passage) if few else passage, "anchor")
-    return (
+    found = (
         hits.join(body, "chunk_id")
         .filter(F.contains("body", "passage"))
         .select("query_id", "chunk_id")
         .distinct()
     )
+    return stage(spark, sf, "relevant", lambda: store.materialize(found))
 
 
 def metrics(spark, sf, miss_rank):
