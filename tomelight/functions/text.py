@@ -66,7 +66,7 @@ def clean(text: Column, boilerplate: Sequence[str] | None = None) -> Column:
 TOKEN_RULES = [
     (r"(\.\.\.|--|[;@#$%&?!\]\[(){}<>\"“”«»…])", r" $1 "),
     (r"([:,])([^0-9]|$)", r" $1 $2"),
-    (r"\.([\]\)}>\"'»” ]*)( |$)", r" .$1$2"),
+    (r"([^.])\.([\]\)}>\"'»” ]*)( |$)", r"$1 .$2$3"),
 ]
 CONTRACTION = (r"([^' ])('(?:[sSmMdD]|ll|LL|re|RE|ve|VE)?|n't|N'T)( |$)", r"$1 $2$3")
 

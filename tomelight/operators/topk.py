@@ -214,7 +214,9 @@ def block_best(
     c_blocks = max(1, math.ceil(corpus.count() / block_rows))
 
     def grid(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_n)).cast("int")).withColumn(
+        # Fresh aliases keep the two sides apart when they are the same rows.
+        rows = df.select([F.col(c).alias(c) for c in df.columns])
+        return rows.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_n)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
         )
 

@@ -72,7 +72,7 @@ def no_stops(items: str) -> str:
 def tokens(text: str) -> str:
     out = replace_all(text, r"""(\.\.\.|--|[;@#$%&?!\]\[(){}<>"“”«»…])""", r" \1 ")
     out = replace_all(out, r"([:,])([^0-9]|$)", r" \1 \2")
-    out = replace_all(out, r"""\.([\]\)}>"'»” ]*)( |$)""", r" .\1\2")
+    out = replace_all(out, r"""([^.])\.([\]\)}>"'»” ]*)( |$)""", r"\1 .\2\3")
     out = replace_all(
         out, r"([^' ])('(?:[sSmMdD]|ll|LL|re|RE|ve|VE)?|n't|N'T)( |$)", r"\1 \2\3"
     )
