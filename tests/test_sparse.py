@@ -127,9 +127,35 @@ def test_string_ids_and_large_query_grid(spark):
     side = topk.side(df, "word", "vector", None, None)
     small = topk.nearest(side, side, 3, skip_self=True)
     grid = topk.nearest(side, side, 3, skip_self=True, max_broadcast_rows=5, block_rows=11)
-    assert sorted((r.query_id, r.rank, r.item_id) for r in small.collect()) == sorted(
-        (r.query_id, r.rank, r.item_id) for r in grid.collect()
-    )
+    rows = sorted((r.query_id, r.rank, r.item_id) for r in small.collect())
+    assert rows == sorted((r.query_id, r.rank, r.item_id) for r in grid.collect())
+
+
+def test_small_corpus_meets_many_queries(spark):
+    rng = np.random.default_rng(4)
+    q, c = rng.normal(size=(50, 4)), rng.normal(size=(6, 4))
+
+    def side(rows):
+        df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id long, v array<double>")
+        return topk.side(df, "id", "v", None, None)
+
+    found = topk.nearest(side(q), side(c), 2, cosine=False, max_broadcast_rows=10)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    scores = q @ c.T
+    expected = sorted((i, r + 1, int(j)) for i in range(50) for r, j in enumerate(np.argsort(-scores[i])[:2]))
+    assert sorted((r.query_id, r.rank, r.item_id) for r in found.collect()) == expected
+
+
+def test_running_best_is_pruned(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SLICE_ROWS", 5)
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(0, 3, size=(80, 3)).astype(float)  # many ties
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, v array<double>")
+    side = topk.side(df, "id", "v", None, None)
+    found = topk.nearest(side, side.coalesce(1), 3, cosine=False)
+    scores = vectors @ vectors.T
+    expected = [(i, r + 1, j) for i in range(80) for r, j in enumerate(sorted(range(80), key=lambda j: (-scores[i, j], j))[:3])]
+    assert sorted((r.query_id, r.rank, r.item_id) for r in found.collect()) == expected
 
 
 def test_result_does_not_depend_on_partitions(spark, docs):

@@ -111,17 +111,24 @@ def rbf_features(
 
 
 def train(
-    df: DataFrame, vector: str = "embedding", label: str = "label", max_iter: int = 20, threads: int = 8
+    df: DataFrame,
+    vector: str = "embedding",
+    label: str = "label",
+    c: float = 1.0,
+    max_iter: int = 20,
+    threads: int = 8,
 ) -> PipelineModel:
     """One linear support-vector machine per class against the rest.
 
-    ``threads`` classes are fitted at a time.
+    ``c`` weighs errors against the margin as usual; ``threads`` classes are
+    fitted at a time.
     """
     rows = df.withColumn("_x", array_to_vector(vx.as_double(F.col(vector))))
     indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc")
     coded = indexer.fit(rows)
+    penalty = 1.0 / (c * max(1, df.count()))
     svm = OneVsRest(
-        classifier=LinearSVC(maxIter=max_iter, tol=TOLERANCE),
+        classifier=LinearSVC(maxIter=max_iter, tol=TOLERANCE, regParam=penalty),
         featuresCol="_x",
         labelCol="_y",
         predictionCol="_p",
@@ -183,23 +190,17 @@ def nearest_centroid(
 
     Below ``min_score`` the answer is ``other``.
     """
-    # The classes are the broadcast side, so each row meets them where it lies;
-    # the best class is then found within the row's own candidates.
-    found = topk.block_best(
-        topk.side(classes, "label", "embedding", None, None),
+    found = topk.nearest(
         topk.side(df, id, vector, None, None),
-        k=topk.BLOCK_ROWS,
-        cosine=True,
+        topk.side(classes, "label", "embedding", None, None),
+        1,
         **blocks,
     )
-    best = found.groupBy("item_id").agg(
-        F.min(F.struct(-F.round("dense", topk.DIGITS), F.col("query_id"))).alias("_b")
-    )
-    score = -F.col("_b")["col1"]
-    label = F.col("_b")["query_id"]
+    label = F.col("item_id")
     if min_score is not None:
-        label = F.when(score < min_score, F.lit(FALLBACK)).otherwise(label)
-    return best.select(F.col("item_id").alias(id), label.alias("predicted"), score.alias("score"))
+        low = F.round("score", topk.DIGITS) < min_score
+        label = F.when(low, F.lit(FALLBACK)).otherwise(label)
+    return found.select(F.col("query_id").alias(id), label.alias("predicted"), "score")
 
 
 def nearest_examples(

@@ -95,23 +95,38 @@ def salted_left_join(
     right: DataFrame,
     key: str,
     spread: str,
-    salts: int = 16,
+    salts: int = 64,
+    hot_rows: int = 1_000_000,
     max_broadcast_rows: int = 50_000,
     how: str = "left",
 ) -> DataFrame:
     """Join on a key that may be very frequent on the left and is unique on the right.
 
-    A right side of checked size is broadcast. Otherwise each key is split into
-    ``salts`` parts by the left row's ``spread`` column and the right side is
-    repeated once per part, so no task receives all rows of a frequent key.
+    A right side of checked size is broadcast. Otherwise keys with ``hot_rows``
+    or more left rows are split into ``salts`` parts by the left row's ``spread``
+    column, and only their right rows are repeated, once per part. There are at
+    most left rows / ``hot_rows`` such keys, which bounds their list.
     """
     if right.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         return left.join(F.broadcast(right), key, how)
-    part = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    hot = F.broadcast(
+        left.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter((F.col("_n") >= hot_rows) & F.col(key).isNotNull())
+        .select(key, F.lit(True).alias("_hot"))
+    )
+    is_hot = F.coalesce("_hot", F.lit(False))
+    part = F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     return (
-        left.withColumn("_part", part)
-        .join(right.withColumn("_part", parts), [key, "_part"], how)
+        left.join(hot, key, "left")
+        .withColumn("_part", part)
+        .drop("_hot")
+        .join(
+            right.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_hot"),
+            [key, "_part"],
+            how,
+        )
         .drop("_part")
     )
 

@@ -67,37 +67,31 @@ def reweigh(df: DataFrame, score: Column, intent_weights: dict[str, float] | Non
     return score
 
 
-def dense_candidates(queries: DataFrame, index: DataFrame, k: int, lexical: bool, **blocks):
-    """The k best chunks by inner product, ranked; lexical scores ride along."""
-    parts = ("terms", "weights") if lexical else (None, None)
-    found = topk.block_best(
-        topk.side(queries, "query_id", "embedding", *parts),
-        topk.side(index, "chunk_id", "embedding", *parts),
+def search_dense(queries: DataFrame, index: DataFrame, k: int = 5, **blocks) -> DataFrame:
+    """Top k by inner product of the embeddings."""
+    found = topk.best(
+        topk.side(queries, "query_id", "embedding", None, None),
+        topk.side(index, "chunk_id", "embedding", None, None),
         k,
-        by="dense",
         **blocks,
-    ).withColumnRenamed("item_id", "chunk_id")
-    return topk.cut(found, F.col("dense"), k, F.col("chunk_id"), "dense_rank")
-
-
-def search_dense(queries: DataFrame, index: DataFrame, k: int = 5, **blocks) -> DataFrame:
-    found = dense_candidates(queries, index, k, False, **blocks)
+    )
     return found.select(
-        "query_id", F.col("dense_rank").alias("rank"), "chunk_id", F.col("dense").alias("score")
+        "query_id", "rank", F.col("item_id").alias("chunk_id"), F.col("dense").alias("score")
     )
 
 
 def search_lexical(queries: DataFrame, index: DataFrame, k: int = 5, **blocks) -> DataFrame:
     """Top k by TF-IDF cosine; chunks without a common term fill up with score 0."""
-    found = topk.block_best(
+    found = topk.best(
         topk.side(queries, "query_id", None, "terms", "weights"),
         topk.side(index, "chunk_id", None, "terms", "weights"),
         k,
         by="lexical",
         **blocks,
-    ).withColumnRenamed("item_id", "chunk_id")
-    ranked = topk.cut(found, F.col("lexical"), k, F.col("chunk_id"))
-    return ranked.select("query_id", "rank", "chunk_id", F.col("lexical").alias("score"))
+    )
+    return found.select(
+        "query_id", "rank", F.col("item_id").alias("chunk_id"), F.col("lexical").alias("score")
+    )
 
 
 def search_hybrid(
@@ -108,8 +102,22 @@ def search_hybrid(
     intent_weights: dict[str, float] | None = None,
     **blocks,
 ) -> DataFrame:
-    """Re-score the best 3k dense candidates; ties keep the dense order."""
-    found = dense_candidates(queries, index, OVERFETCH * k, True, **blocks)
+    """Re-score the best 3k dense candidates; ties keep the dense order.
+
+    The lexical scores of the candidates come out of the same pass.
+    """
+    found = topk.best(
+        topk.side(queries, "query_id", "embedding", "terms", "weights"),
+        topk.side(index, "chunk_id", "embedding", "terms", "weights"),
+        OVERFETCH * k,
+        **blocks,
+    ).select(
+        "query_id",
+        F.col("rank").alias("dense_rank"),
+        F.col("item_id").alias("chunk_id"),
+        "dense",
+        "lexical",
+    )
     flags = [c for c in (intent_weights or {}) if c in index.columns]
     if flags:
         found = meet_chunks(found, index.select("chunk_id", *flags), queries)

@@ -106,25 +106,27 @@ def tfidf(
     return rows.select(id, F.inline(tx.let(F.sqrt(squares), scaled)))
 
 
-def vectorizer(vocab: DataFrame, n_docs: int | None = None) -> PipelineModel:
+def vectorizer(
+    vocab: DataFrame, n_docs: int | None = None, unit_length: bool = True
+) -> PipelineModel:
     """A fitted row-wise transformer from ``_terms`` to a sparse ``_row``.
 
-    With ``n_docs`` the rows are TF-IDF of unit length, without it plain counts.
-    The vocabulary is shipped to the tasks, so its size is checked; larger ones
-    go through :func:`tfidf`, which joins.
+    Without ``n_docs`` rows are counts, with it TF-IDF, of unit length unless
+    told otherwise. The vocabulary is shipped to the tasks, so its size is
+    checked; larger ones go through :func:`tfidf`, which joins.
     """
     fitted = vocab.orderBy("idx").select("term", "df").limit(MAX_ROW_TERMS + 1).collect()
     if not 0 < len(fitted) <= MAX_ROW_TERMS:
         raise ValueError(f"vocabulary must have 1 to {MAX_ROW_TERMS} terms")
     terms = [r["term"] for r in fitted]
-    last = "_row" if n_docs is None else "_counts"
-    stages = [CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol=last)]
+    outputs = ["_counts", "_scaled", "_unit"][: 1 if n_docs is None else 3 if unit_length else 2]
+    outputs[-1] = "_row"
+    stages = [CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol=outputs[0])]
     if n_docs is not None:
         idfs = Vectors.dense([math.log((1 + n_docs) / (1 + r["df"])) + 1 for r in fitted])
-        stages += [
-            ElementwiseProduct(scalingVec=idfs, inputCol="_counts", outputCol="_scaled"),
-            Normalizer(p=2.0, inputCol="_scaled", outputCol="_row"),
-        ]
+        stages.append(ElementwiseProduct(scalingVec=idfs, inputCol=outputs[0], outputCol=outputs[1]))
+        if unit_length:
+            stages.append(Normalizer(p=2.0, inputCol=outputs[1], outputCol=outputs[2]))
     return PipelineModel(stages)
 
 

@@ -1,10 +1,10 @@
 """Exact nearest rows by inner product or cosine, block by block.
 
-A query set of checked size is broadcast and met by each corpus partition where
-it lies, so the corpus is never shuffled. A larger query set is cut into blocks
-that meet the corpus blocks in a grid of cells of bounded size. Both ways emit
-only the best k rows of a block per query; Spark cuts those again before and
-after one shuffle by query.
+A query set of checked size is shipped to the tasks and met by each corpus
+partition where it lies, so the corpus is never shuffled; a corpus of checked
+size is met by the queries in the same way. Two large sides are cut into blocks
+that meet in a grid of cells of bounded size. A running best k per query is kept
+and emitted once per task or cell; Spark cuts again after one shuffle by query.
 
 Vectors are dense arrays, or sparse pairs of index and weight arrays. Scores are
 compared at ``DIGITS`` decimals so that ranks do not depend on summation order;
@@ -22,11 +22,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 DIGITS = 6
 MAX_BROADCAST_ROWS = 4096
 MAX_BROADCAST_VALUES = 4_000_000
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 4096
+SLICE_ROWS = 2048
+PRUNE_FACTOR = 4
 SKIPPED = -(2**62)
 
 
@@ -118,15 +121,15 @@ def fixed_point(scores: np.ndarray) -> np.ndarray:
 
 def best_of_block(
     q: Block, c: Block, k: int, by: str, cosine: bool, skip_self: bool
-) -> pa.Table | None:
-    if not len(q) or not len(c):
-        return None
+) -> pa.Table:
+    """The best k corpus rows of a block for each query row of a block."""
     scores = score_matrices(q, c, cosine)
     n = len(c)
+    fixed = fixed_point(scores[by])
     # Unique integer keys: higher score first, then smaller id.
     order = np.empty(n, dtype=np.int64)
     order[pc.array_sort_indices(c.ids).to_numpy()] = np.arange(n)
-    keys = fixed_point(scores[by]) * n + (n - 1 - order)[None, :]
+    keys = fixed * n + (n - 1 - order)[None, :]
     if skip_self:
         same = pc.index_in(c.ids, value_set=q.ids)
         hit = np.flatnonzero(same.is_valid().to_numpy(zero_copy_only=False))
@@ -141,15 +144,64 @@ def best_of_block(
     if skip_self:
         keep = keys[rows, cols] != SKIPPED
         rows, cols = rows[keep], cols[keep]
-    out = {"query_id": q.ids.take(pa.array(rows)), "item_id": c.ids.take(pa.array(cols))}
+    out = {
+        "query_id": q.ids.take(pa.array(rows)),
+        "item_id": c.ids.take(pa.array(cols)),
+        "fixed": pa.array(fixed[rows, cols]),
+    }
     for name in ("dense", "lexical"):
-        values = scores[name][rows, cols] if name in scores else None
-        out[name] = pa.array(values, pa.float64()) if values is not None else pa.nulls(
-            len(rows), pa.float64()
+        out[name] = (
+            pa.array(scores[name][rows, cols], pa.float64())
+            if name in scores
+            else pa.nulls(len(rows), pa.float64())
         )
     return pa.table(out)
 
 
+def prune(found: list[pa.Table], k: int) -> pa.Table:
+    """The best k rows of each query among several blocks."""
+    table = pa.concat_tables(found)
+    order = [("query_id", "ascending"), ("fixed", "descending"), ("item_id", "ascending")]
+    table = table.take(pc.sort_indices(table, sort_keys=order)).combine_chunks()
+    codes = table["query_id"].combine_chunks().dictionary_encode().indices.to_numpy()
+    first = np.concatenate([[True], codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, bool)
+    place = np.arange(len(codes)) - np.maximum.accumulate(np.where(first, np.arange(len(codes)), 0))
+    ranked = table.append_column("rank", pa.array(place + 1, pa.int32()))
+    return ranked.filter(pa.array(place < k))
+
+
+def meet(
+    queries: list[Block],
+    corpus: Iterator[Block],
+    k: int,
+    by: str,
+    cosine: bool,
+    skip_self: bool,
+) -> Iterator[pa.Table]:
+    """Keep a running best k per query over a stream of corpus blocks."""
+    found: list[pa.Table] = []
+    rows, limit = 0, PRUNE_FACTOR * k * sum(map(len, queries))
+    for c in corpus:
+        for q in queries:
+            if len(q) and len(c):
+                found.append(best_of_block(q, c, k, by, cosine, skip_self))
+                rows += found[-1].num_rows
+        if rows > limit:
+            found = [prune(found, k).drop_columns("rank")]
+            rows = found[0].num_rows
+    if found:
+        yield prune(found, k).select(["query_id", "rank", "item_id", "dense", "lexical"])
+
+
+def sliced(table, rows: int) -> list[Block]:
+    """A table or batch as blocks of at most ``rows`` rows."""
+    return [read_block(table.slice(at, rows)) for at in range(0, table.num_rows, rows)]
+
+
+def arrow_id(df: DataFrame, id: str) -> pa.DataType:
+    return to_arrow_type(df.schema[id].dataType)
+
+
 def side(df: DataFrame, id: str, dense: str | None, terms: str | None, weights: str | None):
     """Project one side to the columns a block reads."""
     columns: list[Column] = [F.col(id).alias("id")]
@@ -163,7 +215,20 @@ def side(df: DataFrame, id: str, dense: str | None, terms: str | None, weights:
     return df.select(columns)
 
 
-def block_best(
+def small_side(df: DataFrame, max_rows: int) -> list[Block] | None:
+    """The rows of a side if they are few and narrow enough to ship to every task."""
+    probe = df.limit(max_rows + 1).toArrow()
+    if probe.num_rows > max_rows:
+        return None
+    blocks = sliced(probe, SLICE_ROWS)
+    values = sum(
+        (b.dense.size if b.dense is not None else 0) + (len(b.terms) if b.terms is not None else 0)
+        for b in blocks
+    )
+    return blocks if values <= MAX_BROADCAST_VALUES else None
+
+
+def best(
     queries: DataFrame,
     corpus: DataFrame,
     k: int,
@@ -173,45 +238,38 @@ def block_best(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Candidates (query_id, item_id, dense, lexical), at least the best k per query.
+    """The best k corpus rows per query: query_id, rank, item_id, dense, lexical.
 
     ``queries`` and ``corpus`` come from :func:`side`.
     """
-    id_type = corpus.schema["id"].dataType.simpleString()
-    schema = (
-        f"query_id {queries.schema['id'].dataType.simpleString()}, "
-        f"item_id {id_type}, dense double, lexical double"
-    )
-    empty = pa.table(
-        {
-            "query_id": pa.nulls(0, pa.string() if "string" in schema.split(",")[0] else pa.int64()),
-            "item_id": pa.nulls(0, pa.string() if id_type == "string" else pa.int64()),
-            "dense": pa.nulls(0, pa.float64()),
-            "lexical": pa.nulls(0, pa.float64()),
-        }
-    )
-    probe = queries.limit(max_broadcast_rows + 1).toArrow()
-    small = probe.num_rows <= max_broadcast_rows
-    if small:
-        q = read_block(probe)
-        values = (q.dense.size if q.dense is not None else 0) + (
-            len(q.terms) if q.terms is not None else 0
-        )
-        small = values <= MAX_BROADCAST_VALUES
-    if small:
+    kinds = [df.schema["id"].dataType.simpleString() for df in (queries, corpus)]
+    schema = f"query_id {kinds[0]}, rank int, item_id {kinds[1]}, dense double, lexical double"
+    rule = (k, by, cosine, skip_self)
+
+    few = small_side(queries, max_broadcast_rows)
+    if few is not None:
+
+        def pass_corpus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            stream = (c for batch in batches for c in sliced(batch, SLICE_ROWS))
+            for table in meet(few, stream, *rule):
+                yield from table.to_batches()
 
-        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return cut(corpus.mapInArrow(pass_corpus, schema), F.col(by), k, F.col("item_id"))
+
+    short = small_side(corpus, max_broadcast_rows)
+    if short is not None:
+
+        def pass_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, block_rows):
-                    c = read_block(batch.slice(at, block_rows))
-                    best = best_of_block(q, c, k, by, cosine, skip_self)
-                    if best is not None:
-                        yield from best.to_batches()
+                for q in sliced(batch, SLICE_ROWS):
+                    for table in meet([q], iter(short), *rule):
+                        yield from table.to_batches()
 
-        return corpus.mapInArrow(meet, schema)
+        # Each query met the whole corpus, so its ranks are final.
+        return queries.mapInArrow(pass_queries, schema)
 
     q_blocks = math.ceil(queries.count() / block_rows)
-    c_blocks = max(1, math.ceil(corpus.count() / block_rows))
+    c_blocks = math.ceil(corpus.count() / block_rows)
 
     def grid(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
         # Fresh aliases keep the two sides apart when they are the same rows.
@@ -220,25 +278,34 @@ def block_best(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
         )
 
+    empty = pa.schema(
+        [
+            ("query_id", arrow_id(queries, "id")),
+            ("rank", pa.int32()),
+            ("item_id", arrow_id(corpus, "id")),
+            ("dense", pa.float64()),
+            ("lexical", pa.float64()),
+        ]
+    ).empty_table()
+
     def meet_cells(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = best_of_block(
-            read_block(left), read_block(right), k, by, cosine, skip_self
-        )
-        return empty if best is None else best
+        stream = iter(sliced(right, SLICE_ROWS))
+        return next(meet(sliced(left, SLICE_ROWS), stream, *rule), empty)
 
     left = grid(queries, "_q", q_blocks, "_c", c_blocks)
     right = grid(corpus, "_c", c_blocks, "_q", q_blocks)
-    return (
+    found = (
         left.groupBy("_q", "_c")
         .cogroup(right.groupBy("_q", "_c"))
         .applyInArrow(meet_cells, schema)
     )
+    return cut(found, F.col(by), k, F.col("item_id"))
 
 
-def cut(candidates: DataFrame, score: Column, k: int, tie: Column, out: str = "rank") -> DataFrame:
+def cut(candidates: DataFrame, score: Column, k: int, tie: Column) -> DataFrame:
     """Keep the k best rows of each query and number them from 1."""
     window = Window.partitionBy("query_id").orderBy(F.round(score, DIGITS).desc(), tie)
-    return candidates.withColumn(out, F.row_number().over(window)).filter(F.col(out) <= k)
+    return candidates.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
 def nearest(
@@ -251,9 +318,8 @@ def nearest(
     **blocks,
 ) -> DataFrame:
     """Exact top k: query_id, rank, item_id, score."""
-    found = block_best(queries, corpus, k, by, cosine, skip_self, **blocks)
-    ranked = cut(found, F.col(by), k, F.col("item_id"))
-    return ranked.select("query_id", "rank", "item_id", F.col(by).alias("score"))
+    found = best(queries, corpus, k, by, cosine, skip_self, **blocks)
+    return found.select("query_id", "rank", "item_id", F.col(by).alias("score"))
 
 
 def pairs_at_least(rows: DataFrame, floor: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -269,26 +335,38 @@ def pairs_at_least(rows: DataFrame, floor: float, block_rows: int = BLOCK_ROWS)
         "_r", F.explode(F.sequence(F.col("_l"), F.lit(blocks - 1)))
     )
     # Fresh aliases keep the two uses of the same rows apart.
+    empty = pa.schema(
+        [
+            ("left_id", arrow_id(rows, "id")),
+            ("right_id", arrow_id(rows, "id")),
+            ("cosine", pa.float64()),
+        ]
+    ).empty_table()
     again = rows.select([F.col(c).alias(c) for c in rows.columns])
     right = again.withColumn("_r", own).withColumn(
         "_l", F.explode(F.sequence(F.lit(0), F.col("_r")))
     )
 
     def meet_cells(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b = read_block(left), read_block(right)
-        scores = next(iter(score_matrices(a, b, cosine=True).values()))
-        i, j = np.nonzero(fixed_point(scores) >= fixed_point(np.array(floor)))
-        first, second = a.ids.take(pa.array(i)), b.ids.take(pa.array(j))
-        swap = pc.greater(first, second)
-        out = pa.table(
-            {
-                "left_id": pc.if_else(swap, second, first),
-                "right_id": pc.if_else(swap, first, second),
-                "cosine": pa.array(scores[i, j], pa.float64()),
-            }
-        )
-        # A block met with itself sees each pair from both ends.
-        return out.filter(pc.less(first, second)) if key[0].as_py() == key[1].as_py() else out
+        found = []
+        again = sliced(right, SLICE_ROWS)
+        for a in sliced(left, SLICE_ROWS):
+            for b in again:
+                scores = next(iter(score_matrices(a, b, cosine=True).values()))
+                i, j = np.nonzero(fixed_point(scores) >= fixed_point(np.array(floor)))
+                first, second = a.ids.take(pa.array(i)), b.ids.take(pa.array(j))
+                swap = pc.greater(first, second)
+                pairs = pa.table(
+                    {
+                        "left_id": pc.if_else(swap, second, first),
+                        "right_id": pc.if_else(swap, first, second),
+                        "cosine": pa.array(scores[i, j], pa.float64()),
+                    }
+                )
+                # A block met with itself sees each pair from both ends.
+                own = key[0].as_py() == key[1].as_py()
+                found.append(pairs.filter(pc.less(first, second)) if own else pairs)
+        return pa.concat_tables(found) if found else empty
 
     return (
         left.groupBy("_l", "_r")

@@ -73,5 +73,5 @@ def summaries(
     vocab = materialize(
         sparse.vocabulary(sparse.postings(terms, id, "_terms"), n_docs, 1, 1.0, max_features)
     )
-    weights = summarize.term_weights(vocab, n_docs)
-    return summarize.summarize(docs, weights, text=text, id=id, **options)
+    scorer = None if vocab.isEmpty() else summarize.term_scorer(vocab, n_docs)
+    return summarize.summarize(docs, scorer, text=text, id=id, **options)
