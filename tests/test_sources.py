@@ -42,7 +42,7 @@ def test_vocabularies_json(spark, tmp_path):
     docs = spark.createDataFrame([(1, ["b", "a"]), (2, ["a", "b"])], "doc_id long, lemmas array<string>")
     vocab = sparse.vocabulary(sparse.postings(docs), 2, 1, 1.0)
     store.save_vocabularies(vocab, None, str(tmp_path / "v"))
-    part = next((tmp_path / "v").glob("part-*"))
+    (part,) = (tmp_path / "v").glob("part-*")
     assert json.loads(part.read_text()) == {"bow_vocab": {"a": 0, "b": 1}, "tfidf_vocab": None}
 
 

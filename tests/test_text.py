@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tomelight.functions import text as tx
-from tomelight.operators import corpus
+from tomelight.operators import corpus, joins
 
 
 def apply(spark, fn, values, schema="v string"):
@@ -122,7 +122,7 @@ def test_lemmatize_in_order_and_salted(spark):
     assert out == {1: ["pump", "run", "pump"], 2: []}
     left = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1)], "k string, i long")
     right = spark.createDataFrame([("hot", 1.0), ("cold", 2.0)], "k string, x double")
-    salted = corpus.salted_left_join(left, right, "k", "i", salts=4, hot_rows=10, max_broadcast_rows=1)
+    salted = joins.salted_join(left, right, "k", "i", salts=4, hot_rows=10, max_broadcast_rows=1)
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
 
 

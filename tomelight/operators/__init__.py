@@ -3,6 +3,7 @@ from . import (
     classify,
     contextual,
     corpus,
+    joins,
     overlap,
     positions,
     retrieval,
@@ -17,6 +18,7 @@ __all__ = [
     "classify",
     "contextual",
     "corpus",
+    "joins",
     "overlap",
     "positions",
     "retrieval",

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import vectors as vx
 from ..functions.constants import INTENTS, PROMPT_TEMPLATE, TEST_QUESTIONS
+from ..sources.store import materialize
 from . import topk
+from .joins import lookup, salted_join
 
 FALLBACK = "other"
 MAX_EXAMPLE_CHARS = 100_000
@@ -72,12 +74,12 @@ def encode_labels(df: DataFrame, label: str, out: str = "label_index") -> DataFr
     """Number the labels alphabetically from 0."""
     codes = df.select(label).distinct()
     codes = codes.withColumn(out, (F.row_number().over(Window.orderBy(label)) - 1))
-    return df.join(codes, label)
+    return lookup(df, codes, label)
 
 
 def decode_labels(df: DataFrame, codes: DataFrame, label: str, code: str = "label_index"):
     """Back from numbers to labels, given the coding table."""
-    return df.join(codes.select(code, label).distinct(), code)
+    return lookup(df, codes.select(code, label).distinct(), code)
 
 
 def rbf_features(
@@ -155,7 +157,8 @@ def train_metrics(
     seed: int = 42,
 ) -> tuple[PipelineModel, DataFrame]:
     """Train on the stratified rest and report both sides in one row."""
-    rows = split_stratified(df, label, id, validation_split, seed)
+    # Training reads the rows many times; they start from a written table.
+    rows = materialize(split_stratified(df, label, id, validation_split, seed))
     model = train(rows.filter(~F.col("is_validation")), vector, label)
     scored = predict(model, rows, vector).select(
         F.col(label).alias("true"), F.col("predicted").alias("pred"), "is_validation"
@@ -230,7 +233,9 @@ def nearest_examples(
     known = examples.select(
         F.col(example_id).alias("item_id"), F.col(label).cast("string").alias("label")
     )
-    votes = near.join(known, "item_id").groupBy("query_id", "label").agg(
+    # An example near to many rows is a frequent key.
+    voters = salted_join(near, known, "item_id", "query_id", how="inner")
+    votes = voters.groupBy("query_id", "label").agg(
         F.count(F.lit(1)).alias("votes"),
         F.sum("score").alias("total"),
         F.max("score").alias("top"),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 from ..functions import vectors as vx
 from . import topk, words
+from .joins import lookup
 from .positions import position_index
 
 POOLINGS = ("cls", "mean", "max")
@@ -188,7 +189,7 @@ def color_points(points: DataFrame, id: str = "doc_id", category: str = "categor
         .agg(F.min(id).alias("_first"))
         .select(category, (F.row_number().over(Window.orderBy("_first")) - 1).alias("color"))
     )
-    return points.join(order, category)
+    return lookup(points, order, category)
 
 
 def filename_index(df: DataFrame, id: str = "doc_id", filename: str = "filename") -> DataFrame:

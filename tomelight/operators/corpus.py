@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from .joins import salted_join
 
 
 def normalize(
@@ -81,7 +82,7 @@ def lemmatize(
     token order; a document without tokens gets an empty list.
     """
     forms = df.select(id, F.posexplode_outer(tokens).alias("pos", "form"))
-    known = salted_left_join(forms, lexicon.select("form", "lemma"), "form", "pos")
+    known = salted_join(forms, lexicon.select("form", "lemma"), "form", "pos")
     lemma = F.coalesce("lemma", "form")
     pairs = F.sort_array(
         F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", lemma.alias("lemma"))))
@@ -90,47 +91,6 @@ def lemmatize(
     return known.groupBy(id).agg(tx.drop_stop_words(ordered, stop_words).alias(out))
 
 
-def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread: str,
-    salts: int = 64,
-    hot_rows: int = 1_000_000,
-    max_broadcast_rows: int = 50_000,
-    how: str = "left",
-) -> DataFrame:
-    """Join on a key that may be very frequent on the left and is unique on the right.
-
-    A right side of checked size is broadcast. Otherwise keys with ``hot_rows``
-    or more left rows are split into ``salts`` parts by the left row's ``spread``
-    column, and only their right rows are repeated, once per part. There are at
-    most left rows / ``hot_rows`` such keys, which bounds their list.
-    """
-    if right.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return left.join(F.broadcast(right), key, how)
-    hot = F.broadcast(
-        left.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") >= hot_rows) & F.col(key).isNotNull())
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    is_hot = F.coalesce("_hot", F.lit(False))
-    part = F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return (
-        left.join(hot, key, "left")
-        .withColumn("_part", part)
-        .drop("_hot")
-        .join(
-            right.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_hot"),
-            [key, "_part"],
-            how,
-        )
-        .drop("_part")
-    )
-
-
 def corpus_stats(
     df: DataFrame, tokens: str = "tokens", approximate: bool = False
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import SCOPE_ALL, SCOPE_ONE, STATS_SCOPE_ALL
 from . import contextual, sparse, topk
+from .joins import is_small, salted_join
 
 METHODS = ("sbert", "tfidf", "hybrid")
 OVERFETCH = 3
@@ -132,10 +133,12 @@ def meet_chunks(ranked: DataFrame, chunks: DataFrame, queries: DataFrame) -> Dat
     """Join a few rows per query to the chunk table.
 
     With a checked number of queries the ranked rows are broadcast, so the chunk
-    table is scanned but not shuffled.
+    table is scanned but not shuffled. Otherwise chunks that many queries found
+    are salted.
     """
-    few = topk.is_small(queries)
-    return chunks.join(F.broadcast(ranked) if few else ranked, "chunk_id")
+    if is_small(queries, topk.MAX_BROADCAST_ROWS):
+        return chunks.join(F.broadcast(ranked), "chunk_id")
+    return salted_join(ranked, chunks, "chunk_id", "query_id", how="inner")
 
 
 def present(

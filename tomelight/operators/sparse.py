@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from . import topk
+from .joins import salted_join
 
 
 MAX_ROW_TERMS = 1_000_000
@@ -239,10 +240,12 @@ def similar(
 
 def copy_groups(rows: DataFrame, id: str = "doc_id") -> DataFrame:
     """Documents with identical rows: id, group_id (the smallest id), copies."""
-    groups = rows.groupBy("terms", "weights").agg(
+    content = F.sha2(F.to_json(F.struct("terms", "weights")), 256)
+    marked = rows.select(id, content.alias("_content"))
+    groups = marked.groupBy("_content").agg(
         F.min(id).alias("group_id"), F.count(F.lit(1)).alias("copies")
     )
-    return rows.join(groups, ["terms", "weights"]).select(id, "group_id", "copies")
+    return salted_join(marked, groups, "_content", id, how="inner").select(id, "group_id", "copies")
 
 
 def similarity_edges(

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .joins import is_small
+
 DIGITS = 6
 MAX_BROADCAST_ROWS = 4096
 MAX_BROADCAST_VALUES = 4_000_000
@@ -33,11 +35,6 @@ PRUNE_FACTOR = 4
 SKIPPED = -(2**62)
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 @dataclass
 class Block:
     """Rows of one side inside a task."""
@@ -217,10 +214,9 @@ def side(df: DataFrame, id: str, dense: str | None, terms: str | None, weights:
 
 def small_side(df: DataFrame, max_rows: int) -> list[Block] | None:
     """The rows of a side if they are few and narrow enough to ship to every task."""
-    probe = df.limit(max_rows + 1).toArrow()
-    if probe.num_rows > max_rows:
+    if not is_small(df, max_rows):
         return None
-    blocks = sliced(probe, SLICE_ROWS)
+    blocks = sliced(df.toArrow(), SLICE_ROWS)
     values = sum(
         (b.dense.size if b.dense is not None else 0) + (len(b.terms) if b.terms is not None else 0)
         for b in blocks

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import vectors as vx
 from . import topk
-from .corpus import salted_left_join
+from .joins import salted_join
 
 OOV_SAMPLE = 50
 
@@ -101,7 +101,7 @@ def with_subwords(
     unseen = asked.filter(F.col("vector").isNull()).select(
         "word", F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram")
     )
-    parts = salted_left_join(unseen, grams.select("gram", "vector"), "gram", "word", how="inner")
+    parts = salted_join(unseen, grams.select("gram", "vector"), "gram", "word", how="inner")
     built = parts.groupBy("word").agg(vx.means(F.col("vector"), dim).alias("built"))
     return asked.join(built, "word", "left").select(
         "word",
@@ -165,9 +165,9 @@ def pair_similarity(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Cosine of word1 and word2; null when a word is unknown."""
     one = words.select(F.col("word").alias("word1"), F.col("vector").alias("_a"))
     two = words.select(F.col("word").alias("word2"), F.col("vector").alias("_b"))
+    left = salted_join(pairs, one, "word1", "word2")
     return (
-        pairs.join(one, "word1", "left")
-        .join(two, "word2", "left")
+        salted_join(left, two, "word2", "word1")
         .withColumn("similarity", vx.cosine(F.col("_a"), F.col("_b")))
         .drop("_a", "_b")
     )
@@ -204,7 +204,7 @@ def doc_means(
         raise ValueError("oov must be 'skip' or 'zero'")
     dim = vx.dimension(words, "vector") if dim is None else dim
     counted = df.select(id, F.inline_outer(tx.term_counts(F.col(terms), "word")))
-    found = salted_left_join(counted, words.select("word", "vector"), "word", id)
+    found = salted_join(counted, words.select("word", "vector"), "word", id)
     tf = F.col("tf") if oov == "zero" else F.when(F.col("vector").isNotNull(), F.col("tf"))
     totals = found.groupBy(id).agg(
         vx.sums(F.col("vector"), dim, F.col("tf")).alias("_sum"),

@@ -14,6 +14,7 @@ from .operators import (
     classify,
     contextual,
     corpus,
+    joins,
     overlap,
     positions,
     retrieval,
@@ -107,7 +108,7 @@ def lemma_vectors(spark: SparkSession, sf: str) -> DataFrame:
         count = sparse.row_count(vectors)
         slot = F.conv(F.left(F.md5("term"), F.lit(8)), 16, 10).cast("long") % count
         seen = lemma_counts(spark, sf).filter("freq >= 2").select("term", slot.alias("vec_id"))
-        joined = corpus.salted_left_join(seen, vectors, "vec_id", "term", how="inner")
+        joined = joins.salted_join(seen, vectors, "vec_id", "term", how="inner")
         return store.materialize(joined.select(F.col("term").alias("word"), F.col("embedding").alias("vector")))
 
     return stage(spark, sf, "lemma_vectors", build)
@@ -704,8 +705,7 @@ def relevant_chunks(spark, sf) -> DataFrame:
     runs = body.select(
         "chunk_id", F.explode(F.array_distinct(tx.ngrams(F.split("body", " "), run))).alias("anchor")
     )
-    few = retrieval.topk.is_small(passage)
-    hits = runs.join(F.broadcast(passage) if few else passage, "anchor")
+    hits = joins.lookup(runs, passage, "anchor")
     found = (
         hits.join(body, "chunk_id")
         .filter(F.contains("body", "passage"))

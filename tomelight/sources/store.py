@@ -22,13 +22,13 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table that lies in fewer files than there are cores over all cores.
+    """Deal a table read in fewer splits than there are cores over all cores.
 
     Text work is bound by the processor, and one small file is one task. Tables
-    of many files, the usual case on a cluster, are left where they are.
+    of many splits, the usual case on a cluster, are left where they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def save_json(df: DataFrame, path: str) -> None:
@@ -57,7 +57,7 @@ def save_vocabularies(bow: DataFrame | None, tfidf: DataFrame | None, path: str)
         for v, name in given
     ]
     save_options = {"ignoreNullFields": "false"}
-    spark.range(1).select(columns).write.mode("overwrite").options(**save_options).json(path)
+    spark.range(0, 1, 1, 1).select(columns).write.mode("overwrite").options(**save_options).json(path)
 
 
 def save_predictions(df: DataFrame, path: str) -> None:
