@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tomelight.operators import retrieval
+from tomelight.operators import retrieval, sparse
 from tomelight.plans import jobs
 
 INDEX = (
@@ -115,3 +115,18 @@ def test_index_end_to_end(spark):
     asked = spark.createDataFrame([(7, "thermostat reset"), (8, "unknown words")], "query_id long, text string")
     rows = index.search(asked, k=1).collect()
     assert {r.query_id: r.chunk_id for r in rows}[7] == 1 and len(rows) == 2
+
+
+@pytest.mark.parametrize("size", [3, 8, 20, 500])
+def test_pruned_vocabulary_is_exact(spark, size):
+    import random
+
+    random.seed(size)
+    words = ["pump", "valve", "filter", "reset", "motor", "gauge"] + [f"rare{i}" for i in range(30)]
+    weights = [20, 15, 10, 8, 5, 4] + [1] * 30
+    rows = [(i, " ".join(random.choices(words, weights, k=25))) for i in range(40)]
+    chunks = spark.createDataFrame(rows, "chunk_id long, chunk_text string")
+    every = sparse.with_retrieval_terms(chunks, "chunk_text", "g")
+    plain = sparse.vocabulary(sparse.postings(every, "chunk_id", "g"), 40, 1, 1.0, size)
+    pruned = retrieval.fit_vocabulary(chunks, 40, size)
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, plain.collect()))

@@ -11,23 +11,50 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..functions.constants import SCOPE_ALL, SCOPE_ONE, STATS_SCOPE_ALL
+from ..sources.store import materialize
 from . import contextual, sparse, topk
 from .joins import is_small, salted_join
 
 METHODS = ("sbert", "tfidf", "hybrid")
 OVERFETCH = 3
 PREVIEW_CHARS = 150
+MAX_LISTED_WORDS = 10_000
 
 
 def fit_vocabulary(
-    chunks: DataFrame, n_docs: int | Column, max_features: int = 2000, stop_words=None,
+    chunks: DataFrame,
+    n_docs: int,
+    max_features: int = 2000,
+    stop_words=None,
     text: str = "chunk_text",
+    id: str = "chunk_id",
 ) -> DataFrame:
-    """Vocabulary over all chunks, also when a search is scoped to one file."""
-    terms = sparse.with_retrieval_terms(chunks, text, "_grams", stop_words)
-    posts = sparse.postings(terms, "chunk_id", "_grams")
-    return sparse.vocabulary(posts, n_docs, 1, 1.0, max_features)
+    """Vocabulary of words and bigrams over all chunks, also for scoped searches.
+
+    A bigram is no more frequent than either of its words (the Apriori property),
+    so once the words alone fill the vocabulary, only bigrams of two words at or
+    above the last one's count can enter it. The others are never counted; the
+    result is the same.
+    """
+    words = sparse.retrieval_words(F.col(text), stop_words)
+    stats = materialize(
+        sparse.term_stats(sparse.postings(chunks.select(id, words.alias("_words")), id, "_words"))
+    )
+    best = sparse.select_terms(stats, n_docs, 1, 1.0, max_features)
+    full = best.agg(F.count(F.lit(1)).alias("n"), F.min("cf").alias("floor")).first()
+    among = None
+    if full["n"] == max_features:
+        frequent = stats.filter(F.col("cf") >= full["floor"]).select("term")
+        if is_small(frequent, MAX_LISTED_WORDS):
+            among = [r["term"] for r in frequent.collect()]
+    pairs = chunks.select(
+        id, tx.let(words, lambda w: sparse.word_pairs(w, among)).alias("_pairs")
+    )
+    pair_stats = sparse.term_stats(sparse.postings(pairs, id, "_pairs"))
+    both = best.select("term", "df", "cf").unionByName(pair_stats)
+    return sparse.select_terms(both, n_docs, 1, 1.0, max_features)
 
 
 def represent(
@@ -40,9 +67,12 @@ def represent(
 ) -> DataFrame:
     """Add both representations of a text: embedding, terms and weights.
 
-    One map-only pass, the same for chunks and for queries.
+    One map-only pass, the same for chunks and for queries. Only bigrams of words
+    that the vocabulary pairs are formed.
     """
-    terms = sparse.with_retrieval_terms(df, text, "_grams", stop_words)
+    vocabulary = model.stages[0].vocabulary
+    among = sorted({word for term in vocabulary if " " in term for word in term.split(" ")})
+    terms = sparse.with_retrieval_terms(df, text, "_grams", stop_words, among)
     rows = sparse.vector_rows(terms, model, "_grams").drop("_grams")
     return contextual.encode(rows, text, make_encoder, dim)
 

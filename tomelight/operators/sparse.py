@@ -38,24 +38,23 @@ def at_least(bound: int | float, n_docs: Column) -> Column:
     return F.lit(bound) if isinstance(bound, int) else F.lit(bound) * n_docs
 
 
-def vocabulary(
-    posts: DataFrame,
+def term_stats(posts: DataFrame) -> DataFrame:
+    """Document and corpus count of every term: term, df, cf."""
+    return posts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+
+
+def select_terms(
+    stats: DataFrame,
     n_docs: int | Column,
-    min_df: int | float = 2,
-    max_df: int | float = 0.8,
-    max_features: int = 2000,
+    min_df: int | float,
+    max_df: int | float,
+    max_features: int,
 ) -> DataFrame:
-    """Terms by document frequency, at most ``max_features`` by corpus count.
-
-    Columns term, idx, df, cf; idx numbers the terms alphabetically. The result
-    has at most ``max_features`` rows, which is what makes it safe to broadcast.
-    """
+    """Terms within the document-frequency bounds, the most frequent ones, numbered."""
     if isinstance(n_docs, int):
         n_docs = F.lit(n_docs)
     frequent = (
-        posts.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-        .filter(
+        stats.filter(
             (F.col("df") >= at_least(min_df, n_docs)) & (F.col("df") <= at_least(max_df, n_docs))
         )
         .orderBy(F.desc("cf"), "term")
@@ -66,6 +65,21 @@ def vocabulary(
     )
 
 
+def vocabulary(
+    posts: DataFrame,
+    n_docs: int | Column,
+    min_df: int | float = 2,
+    max_df: int | float = 0.8,
+    max_features: int = 2000,
+) -> DataFrame:
+    """Terms by document frequency, at most ``max_features`` by corpus count.
+
+    Columns term, idx, df, cf; idx numbers the terms alphabetically. The result
+    has at most ``max_features`` rows, which is what makes it safe to broadcast.
+    """
+    return select_terms(term_stats(posts), n_docs, min_df, max_df, max_features)
+
+
 def bag_of_words(posts: DataFrame, vocab: DataFrame, id: str = "doc_id") -> DataFrame:
     """Counts of vocabulary terms: id, term, idx, weight."""
     return posts.join(F.broadcast(vocab), "term").select(
@@ -273,9 +287,26 @@ def similarity_edges(
     )
 
 
+def retrieval_words(text: Column, stop_words: Sequence[str] | None = None) -> Column:
+    """Words of two characters or more without stop words."""
+    return tx.drop_stop_words(tx.word_terms(text, 2), stop_words)
+
+
+def word_pairs(words: Column, among: Sequence[str] | None = None) -> Column:
+    """Bigrams in order; with ``among`` only those of two listed words."""
+    if among is not None:
+        listed = list(among)
+        words = F.transform(words, lambda w: F.when(w.isin(listed), w))
+    return F.filter(tx.ngrams(words, 2), lambda g: g.isNotNull())
+
+
 def with_retrieval_terms(
-    df: DataFrame, text: str, out: str = "terms_list", stop_words: Sequence[str] | None = None
+    df: DataFrame,
+    text: str,
+    out: str = "terms_list",
+    stop_words: Sequence[str] | None = None,
+    among: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add unigrams of two characters or more, without stop words, and their bigrams."""
-    words = tx.drop_stop_words(tx.word_terms(F.col(text), 2), stop_words)
-    return df.withColumn(out, tx.let(words, lambda w: F.concat(w, tx.ngrams(w, 2))))
+    """Add the words of a text and the bigrams formed from them."""
+    words = retrieval_words(F.col(text), stop_words)
+    return df.withColumn(out, tx.let(words, lambda w: F.concat(w, word_pairs(w, among))))

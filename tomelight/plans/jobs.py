@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -13,9 +14,16 @@ from ..operators import chunking, corpus, retrieval, sparse, summarize
 from ..sources.store import materialize
 
 
-def processed_documents(raw: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """Processed documents, written once, and their one-row statistics."""
-    docs = materialize(corpus.build_corpus(raw, **options))
+def processed_documents(
+    raw: DataFrame, keep: Sequence[str] | None = None, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Processed documents, written once, and their one-row statistics.
+
+    ``keep`` names the columns to write, all of them by default; what is not
+    kept is not computed.
+    """
+    docs = corpus.build_corpus(raw, **options)
+    docs = materialize(docs if keep is None else docs.select(*keep))
     return docs, corpus.corpus_stats(docs)
 
 

@@ -57,8 +57,9 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def processed(spark: SparkSession, sf: str) -> DataFrame:
+    keep = ["doc_id", "filename", "tokens", "lemmas", "num_tokens", "num_sentences"]
     return stage(
-        spark, sf, "processed", lambda: jobs.processed_documents(docs(spark, sf))[0]
+        spark, sf, "processed", lambda: jobs.processed_documents(docs(spark, sf), keep)[0]
     )
 
 

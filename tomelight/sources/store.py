@@ -97,8 +97,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate table once and read it back.
 
     Later jobs start from the table with column pruning, and a lost executor
-    costs only its own tasks.
+    costs only its own tasks. Tables of one application share a folder, which
+    can be removed when the application is done.
     """
-    path = f"{shared_folder(df.sparkSession)}/tomelight/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/tomelight/{app}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
