@@ -43,33 +43,22 @@ def test_heading_reaches_across_lines(spark):
     assert pieces(spark, text) == ["Start here.", "Some words", "and more: end"]
 
 
-def reference_chunks(text, size, overlap, least):
-    """The windows of one section, written as a plain loop."""
-    words, out = text.split(), []
-    if len(words) < least:
-        return [text.strip()] if text.strip() else []
-    for start in range(0, len(words), size - overlap):
-        piece = " ".join(words[start : start + size])
-        cut = max(piece.rfind("."), piece.rfind(":"))
-        if cut > size * 0.7 and cut > 20:
-            piece = piece[: cut + 1]
-        if len(piece.split()) >= least:
-            out.append(piece)
-    return out
-
-
-def test_against_plain_loop(spark):
+def test_random_texts(spark):
+    """A kept window is the longest prefix that ends on a mark after 70 % of the size in characters."""
     import random
+    import re
 
     random.seed(5)
+    size, step, least = 120, 90, 40
+    far = re.compile(r".{%d,}[.:]" % (size * 7 // 10 + 1))
     for _ in range(15):
-        n = random.randint(1, 900)
-        text = " ".join(
-            "x" * random.randint(1, 9) + random.choice(["", "", "", ".", ":", ","]) for _ in range(n)
-        )
-        assert pieces(spark, text, max_chunk_size=120, overlap=30, min_chunk_size=40) == reference_chunks(
-            text, 120, 30, 40
-        )
+        n = random.randint(least, 900)
+        words = ["x" * random.randint(1, 9) + random.choice(["", "", "", ".", ":", ","]) for _ in range(n)]
+        windows = [" ".join(words[i : i + size]) for i in range(0, n, step)]
+        trimmed = [m.group() if (m := far.match(w)) else w for w in windows]
+        expected = [t for t in trimmed if t.count(" ") + 1 >= least]
+        got = pieces(spark, " ".join(words), max_chunk_size=size, overlap=size - step, min_chunk_size=least)
+        assert got == expected
 
 
 def test_argument_checks():

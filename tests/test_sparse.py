@@ -33,6 +33,18 @@ def test_max_df_and_max_features(spark, docs):
     assert [r.term for r in sparse.vocabulary(posts, 3, 1, 1.0, 1).collect()] == ["x"]
 
 
+def test_top_terms_by_name(docs):
+    posts = sparse.postings(docs)
+    vocab = sparse.vocabulary(posts, 3, 1, 1.0)
+    bow, weighted = sparse.bag_of_words(posts, vocab), sparse.tfidf(posts, vocab, 3)
+    assert [(r.term, r.score) for r in sparse.top_terms_of("bow", bow, None, 2).collect()] == [("x", 2.0), ("z", 2.0)]
+    assert sparse.top_terms_of("anything", bow, weighted, 1).first().term == "x"
+    with pytest.raises(ValueError):
+        sparse.top_terms_of("tfidf", bow, None)
+    sides = sparse.compare_top_terms(bow, weighted, 2).orderBy("rank").collect()
+    assert [(r.bow_term, r.tfidf_term) for r in sides] == [("x", "x"), ("z", "z")]
+
+
 def test_nothing_survives(spark):
     one = spark.createDataFrame([(1, ["a", "b"])], "doc_id long, lemmas array<string>")
     posts = sparse.postings(one)

@@ -42,7 +42,7 @@ def test_oov_report(spark, vectors):
     assert words.oov_report(df, vectors, "ft", subword=True).first().oov_count == 0
     empty = words.oov_report(df.limit(0), vectors, "m").first()
     assert empty.total_words == 0 and empty.oov_percentage is None
-    both = words.compare_oov(df, {"one": vectors, "two": vectors.limit(0)}).collect()
+    both = words.compare_oov(df, {"one": vectors, "two": vectors.limit(0), "three": None}).collect()
     assert {r.model: r.oov_count for r in both} == {"one": 2, "two": 3}
     with pytest.raises(ValueError):
         words.compare_oov(df, {})

@@ -59,8 +59,11 @@ def sums(vector: Column, dim: int, weight: Column | None = None) -> Column:
 
 
 def means(vector: Column, dim: int) -> Column:
-    """Aggregate: the mean of vectors."""
-    return F.array(*[F.avg(F.get(vector, F.lit(i)).cast("double")) for i in range(dim)])
+    """Aggregate: the mean of vectors, null coordinates when there are none."""
+    n = F.count(vector)
+    return F.array(
+        *[F.try_divide(F.sum(F.get(vector, F.lit(i)).cast("double")), n) for i in range(dim)]
+    )
 
 
 def maxima(vector: Column, dim: int, keep: Column, masked: float) -> Column:

@@ -221,6 +221,16 @@ def top_terms(weights: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
+def top_terms_of(
+    representation: str, bow: DataFrame | None, weighted: DataFrame | None, n: int = 20
+) -> DataFrame:
+    """Top terms of ``"bow"``, or of TF-IDF under any other name; both must be fitted."""
+    weights = bow if representation == "bow" else weighted
+    if weights is None:
+        raise ValueError(f"no fitted weights for {representation!r}")
+    return top_terms(weights, n)
+
+
 def compare_top_terms(bow: DataFrame, weighted: DataFrame, n: int = 15) -> DataFrame:
     """The top terms of two representations side by side, by rank."""
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import vectors as vx
+from ..sources.store import materialize
 from . import topk
 from .joins import salted_join
 
@@ -98,8 +99,10 @@ def with_subwords(
     """
     dim = vx.dimension(words, "vector")
     asked = wanted.select("word").distinct().join(words, "word", "left")
-    unseen = asked.filter(F.col("vector").isNull()).select(
-        "word", F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram")
+    unseen = materialize(
+        asked.filter(F.col("vector").isNull()).select(
+            "word", F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram")
+        )
     )
     parts = salted_join(unseen, grams.select("gram", "vector"), "gram", "word", how="inner")
     built = parts.groupBy("word").agg(vx.means(F.col("vector"), dim).alias("built"))
@@ -150,12 +153,13 @@ def oov_report(
     )
 
 
-def compare_oov(df: DataFrame, models: dict[str, DataFrame], **options) -> DataFrame:
-    """One report row per named model."""
-    if not models:
-        raise ValueError("no model given")
+def compare_oov(df: DataFrame, models: dict[str, DataFrame | None], **options) -> DataFrame:
+    """One report row per named model; a model that is not fitted (None) has none."""
+    fitted = {name: words for name, words in models.items() if words is not None}
+    if not fitted:
+        raise ValueError("no fitted model given")
     out = None
-    for name, words in models.items():
+    for name, words in fitted.items():
         row = oov_report(df, words, name, **options)
         out = row if out is None else out.unionByName(row)
     return out
