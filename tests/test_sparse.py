@@ -80,6 +80,19 @@ def test_duplicates_and_self(spark):
     assert groups == {1: (1, 2), 2: (1, 2), 3: (3, 1)}
 
 
+def test_proportional_rows_are_copies(spark):
+    docs = spark.createDataFrame(
+        [(i, ["a", "b", "b"] * n) for i, n in [(5, 3), (6, 7), (7, 1)]] + [(8, ["a"]), (9, ["c"] * 3)],
+        "doc_id long, lemmas array<string>",
+    )
+    vocab = sparse.vocabulary(sparse.postings(docs), 5, 1, 1.0)
+    rows = sparse.vector_rows(docs, sparse.vectorizer(vocab, 5)).select("doc_id", "terms", "weights")
+    groups = {r.doc_id: (r.group_id, r.copies) for r in sparse.copy_groups(rows).collect()}
+    assert groups == {5: (5, 3), 6: (5, 3), 7: (5, 3), 8: (8, 1), 9: (9, 1)}
+    (edge,) = sparse.similarity_edges(rows, 0.1).collect()
+    assert (edge.left_id, edge.right_id, edge.left_copies, edge.right_copies) == (5, 8, 3, 1)
+
+
 @pytest.fixture(scope="module")
 def random_rows(spark):
     rng = np.random.default_rng(3)

@@ -262,10 +262,15 @@ def similar(
     return topk.nearest(*sides, n, by="lexical", skip_self=True, **blocks)
 
 
+def content_key() -> Column:
+    """Equal for rows whose terms and weights agree at the compared precision."""
+    weights = F.transform("weights", lambda w: F.round(w, topk.DIGITS))
+    return F.sha2(F.to_json(F.struct("terms", weights.alias("weights"))), 256)
+
+
 def copy_groups(rows: DataFrame, id: str = "doc_id") -> DataFrame:
     """Documents with identical rows: id, group_id (the smallest id), copies."""
-    content = F.sha2(F.to_json(F.struct("terms", "weights")), 256)
-    marked = rows.select(id, content.alias("_content"))
+    marked = rows.select(id, content_key().alias("_content"))
     groups = marked.groupBy("_content").agg(
         F.min(id).alias("group_id"), F.count(F.lit(1)).alias("copies")
     )
@@ -282,8 +287,14 @@ def similarity_edges(
     :func:`copy_groups` lists its members. Returns left_id, right_id, cosine,
     left_copies, right_copies.
     """
-    vertices = rows.groupBy("terms", "weights").agg(
-        F.min(id).alias(id), F.count(F.lit(1)).alias("copies")
+    vertices = (
+        rows.groupBy(content_key().alias("_content"))
+        .agg(
+            F.min(id).alias(id),
+            F.min_by(F.struct("terms", "weights"), id).alias("_row"),
+            F.count(F.lit(1)).alias("copies"),
+        )
+        .select(id, "_row.terms", "_row.weights", "copies")
     )
     edges = topk.pairs_at_least(
         topk.side(vertices, id, None, "terms", "weights"), min_cosine, **blocks

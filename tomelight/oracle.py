@@ -540,8 +540,8 @@ SELECT kind, round(nnz * 100 / cells, 6) AS density_pct, round(100 - nnz * 100 /
 SELECT * FROM ({ranked.format("bow", "bow", 20)}) UNION ALL
 SELECT * FROM ({ranked.format("tfidf", "weight", 20)})"""
     sql["c8_similarity_edges"] = f"""WITH {LEMMA_TFIDF},
-sig AS (SELECT p.doc_id, coalesce(string_agg(r.idx || ':' || r.tf, ' ' ORDER BY r.idx), '') AS sig
-  FROM processed p LEFT JOIN raw r ON r.doc_id = p.doc_id GROUP BY p.doc_id),
+sig AS (SELECT p.doc_id, coalesce(string_agg(r.idx || ':' || round(r.weight, 6), ' ' ORDER BY r.idx), '') AS sig
+  FROM processed p LEFT JOIN weight r ON r.doc_id = p.doc_id GROUP BY p.doc_id),
 vertex AS (SELECT sig, min(doc_id) AS doc_id, count(*) AS copies FROM sig GROUP BY sig),
 vw AS MATERIALIZED (SELECT w.doc_id, idx, weight, copies FROM weight w JOIN vertex v ON v.doc_id = w.doc_id),
 pair AS (
@@ -550,8 +550,8 @@ pair AS (
   FROM vw l JOIN vw r ON l.idx = r.idx AND l.doc_id < r.doc_id GROUP BY l.doc_id, r.doc_id)
 SELECT left_id, right_id, round(c, 6) AS cosine, left_copies, right_copies FROM pair WHERE round(c, 6) >= 0.5"""
     sql["c8_copy_groups"] = f"""WITH {LEMMA_TFIDF},
-sig AS (SELECT p.doc_id, coalesce(string_agg(r.idx || ':' || r.tf, ' ' ORDER BY r.idx), '') AS sig
-  FROM processed p LEFT JOIN raw r ON r.doc_id = p.doc_id GROUP BY p.doc_id)
+sig AS (SELECT p.doc_id, coalesce(string_agg(r.idx || ':' || round(r.weight, 6), ' ' ORDER BY r.idx), '') AS sig
+  FROM processed p LEFT JOIN weight r ON r.doc_id = p.doc_id GROUP BY p.doc_id)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY sig) AS group_id, count(*) OVER (PARTITION BY sig) AS copies FROM sig"""
     sql["c9_similar_docs"] = f"WITH {LEMMA_TFIDF}, {similar_docs('weight', 5)}"
     sql["c9_similar_docs_bow"] = f"WITH {LEMMA_TFIDF}, {similar_docs('bow', 3)}"
