@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import syncmers
+from . import syncmers, token_files, warc
+
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -15,10 +19,37 @@ def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.stored_documents(
+        table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER)
+    ).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
 def queries() -> dict:
-    found = [op1_fingerprints]
+    found = [op1_fingerprints, op6_token_files, op9_warc]
     return {query.__name__: query for query in found}
 
 
+WARC_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), k AS (
+    SELECT page_id, n, sha256(html) AS digest FROM p
+), f AS (
+    SELECT digest, min(page_id) AS first_id FROM k WHERE n >= 100 GROUP BY digest
+)
+SELECT page_id, n AS payload_bytes, k.digest AS payload_digest,
+       CASE WHEN first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id < page_id THEN first_id END AS refers_to, true AS intact
+FROM k LEFT JOIN f ON k.digest = f.digest AND k.n >= 100
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": WARC_SQL}
