@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import syncmers, token_files, warc
+from . import quality, syncmers, token_files, warc
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.stored_documents(
         table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER)
@@ -32,7 +36,7 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [op1_fingerprints, op6_token_files, op9_warc]
+    found = [op1_fingerprints, op4_quality, op6_token_files, op9_warc]
     return {query.__name__: query for query in found}
 
 
