@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, syncmers, token_files, warc
+from . import dartminhash, quality, syncmers, token_files, warc
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
     ).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_dartminhash(spark: SparkSession, sf: str) -> DataFrame:
+    return dartminhash.classes(table(spark, sf, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
@@ -36,7 +40,7 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [op1_fingerprints, op4_quality, op6_token_files, op9_warc]
+    found = [op1_fingerprints, op4_quality, op6_token_files, op7_dartminhash, op9_warc]
     return {query.__name__: query for query in found}
 
 
