@@ -132,15 +132,13 @@ def with_next(rows: DataFrame, key: str, columns: Sequence[str], prepare=None) -
     )
     numbered = rows.withColumn("_block", block)
     dealt = numbered.repartition("_block")
-    dealt = prepare(dealt) if prepare else dealt
+    prepare = prepare or (lambda frame: frame)
     by = Window.partitionBy("_block").orderBy(F.col(key).asc_nulls_first(), *columns[1:2])
-    firsts = (
-        dealt.select("_block", F.struct(*columns).alias("_first"), F.row_number().over(by).alias("_n"))
-        .filter("_n = 1")
-        .join(previous(numbered.select("_block").distinct()), "_block")
-        .select(F.coalesce("_to", F.lit(last)).alias("_to"), "_first")
+    opening = prepare(dealt.withColumn("_n", F.row_number().over(by)).filter("_n = 1"))
+    firsts = opening.join(previous(numbered.select("_block").distinct()), "_block").select(
+        F.coalesce("_to", F.lit(last)).alias("_to"), F.struct(*columns).alias("_first")
     )
-    rows = dealt.withColumn("next", F.lead(F.struct(*columns)).over(by))
+    rows = prepare(dealt).withColumn("next", F.lead(F.struct(*columns)).over(by))
     joined = rows.join(firsts, (F.col("_block") == F.col("_to")) & F.col("next").isNull(), "left")
     return joined.withColumn("next", F.coalesce("next", "_first")).drop("_block", "_to", "_first")
 
