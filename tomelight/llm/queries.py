@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dartminhash, quality, syncmers, token_files, warc
+from . import dartminhash, decontaminate, quality, syncmers, token_files, warc
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,8 +39,12 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def queries() -> dict:
-    found = [op1_fingerprints, op4_quality, op6_token_files, op7_dartminhash, op9_warc]
+    found = [op1_fingerprints, op4_quality, op6_token_files, op7_dartminhash, op9_warc, op10_decontaminate]
     return {query.__name__: query for query in found}
 
 
