@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import dartminhash, decontaminate, quality, syncmers, token_files, warc
+from . import chat, dartminhash, decontaminate, licenses, lines, packing, quality, syncmers, token_files, warc
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,10 +20,23 @@ def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"))
+
+
+def op3_chat(spark: SparkSession, sf: str) -> DataFrame:
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["begin"], s["end"]))
+    return chat.rotate(table(spark, sf, "conversations")).withColumn("spans", F.array_join(spans, ","))
+
+
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.stored_documents(
         table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER)
@@ -33,6 +47,10 @@ def op7_dartminhash(spark: SparkSession, sf: str) -> DataFrame:
     return dartminhash.classes(table(spark, sf, "documents"))
 
 
+def op8_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.drop_repeated(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
@@ -44,7 +62,18 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [op1_fingerprints, op4_quality, op6_token_files, op7_dartminhash, op9_warc, op10_decontaminate]
+    found = [
+        op1_fingerprints,
+        op2_packing,
+        op3_chat,
+        op4_quality,
+        op5_licenses,
+        op6_token_files,
+        op7_dartminhash,
+        op8_lines,
+        op9_warc,
+        op10_decontaminate,
+    ]
     return {query.__name__: query for query in found}
 
 
