@@ -1,11 +1,59 @@
-"""The corpus pipeline: each stage reads what its predecessor wrote."""
+"""The corpus pipeline: from documents to packed training sequences.
 
-STAGES = []
+Every stage works on all rows that its predecessor kept, as written and read again.
+The first four return the columns of ``documents``; the last one row per piece of a
+document with its place in a sequence.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tomelight.llm import dartminhash, decontaminate, lines, packing, quality
+from tomelight.sources.store import materialize
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the usable labels, does not reject."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat earlier ones."""
+    kept = lines.drop_repeated(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return dartminhash.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in training sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("line dedup", line_dedup),
+    ("near-dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("best-fit packing", best_fit_packing),
+]
+
+#: SQL can express neither the classifier nor the hashes; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
