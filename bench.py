@@ -6,6 +6,7 @@ import json
 import os
 import time
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from tomelight import registry
@@ -44,8 +45,11 @@ HEADLINE = [
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    builder = SparkSession.builder
+    if not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", os.path.abspath("spark-warehouse/bench"))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g")

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tomelight import oracle, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -27,14 +28,15 @@ def duck():
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = registry.queries()[name](spark, SF)
     rows = df.collect()
     assert rows
-    sql = entry.oracle_sql().get(name)
+    sql = oracle.oracle_sql().get(name)
     if sql is None:
         return
     result = duck.execute(sql)

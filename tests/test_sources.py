@@ -66,3 +66,19 @@ def test_streaming_corpus(spark, tmp_path):
     arriving = ingest.arriving_documents(spark, landing, schema)
     ingest.write_corpus(arriving, pieces, chk + "2", chunks=True).awaitTermination(120)
     assert spark.read.parquet(pieces).filter(F.col("doc_id") == 3).first().num_words == 5
+
+
+def test_intermediate_folders(spark, tmp_path):
+    df = spark.range(5)
+    one, two = (str(tmp_path / name) for name in ("one", "two"))
+    kept = store.materialize(df, one)
+    assert store.materialize(df, two).count() == kept.count() == 5
+    assert store.application_folder(spark, one) != store.application_folder(spark, two)
+    assert store.clear(spark, two) and not store.clear(spark, two)
+    assert not list((tmp_path / "two").rglob("*.parquet")) and kept.count() == 5
+
+
+def test_folder_of_the_session(spark):
+    given = spark.conf.get("spark.checkpoint.dir")
+    assert store.shared_folder(spark) == given.rstrip("/")
+    assert store.shared_folder(spark, "/else/") == "/else"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.ml import PipelineModel
@@ -10,9 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-local_folders: dict[str, str] = {}
-
-
 def save_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -77,31 +73,43 @@ def load_classifier(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder for intermediate tables, which all executors must share.
 
-    Only where that is unset, as in local tests, a temporary folder is used.
+    ``folder`` if given, else ``spark.checkpoint.dir`` of the session, else what
+    ``SparkContext.setCheckpointDir`` was given.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in local_folders:
-        local_folders[app] = tempfile.mkdtemp(prefix="tomelight-")
-    return local_folders[app]
-
-
-def materialize(df: DataFrame) -> DataFrame:
+    found = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        option = spark.sparkContext._jsc.sc().getCheckpointDir()
+        found = option.get() if option.isDefined() else None
+    if not found:
+        raise ValueError("give a folder, or set spark.checkpoint.dir to one that all executors share")
+    return found.rstrip("/")
+
+
+def application_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """Where this application's intermediate tables lie."""
+    return f"{shared_folder(spark, folder)}/tomelight/{spark.sparkContext.applicationId}"
+
+
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write an intermediate table once and read it back.
 
     Later jobs start from the table with column pruning, and a lost executor
-    costs only its own tasks. Tables of one application share a folder, which
-    can be removed when the application is done.
+    costs only its own tasks. ``clear`` removes what an application has written.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/tomelight/{app}/{uuid.uuid4().hex}"
+    path = f"{application_folder(spark, folder)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession, folder: str | None = None) -> bool:
+    """Remove all intermediate tables of this application; whether there were any.
+
+    Data frames that read them cannot be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark, folder))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
