@@ -10,6 +10,5 @@ from ..sources import store
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A new path below the shared folder of the session (``spark.checkpoint.dir``)."""
-    app = spark.sparkContext.applicationId
-    return f"{store.shared_folder(spark)}/tomelight/{app}/{kind}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the shared folder."""
+    return f"{store.application_folder(spark)}/{kind}-{uuid.uuid4().hex}"
