@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from tomelight.llm import folders, token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["a  b\n\nc\t d", "", " ", "x\x1cy <|endoftext|>z", "É é ΑΣ Σ", "don't 'S we'LL  q　w\x85r", "日本語 テスト", "\n \n"]
+ODD = ["a  b\n\nc\t d", "", " ", "x\x1cy <|endoftext|>z", "É é ΑΣ Σ", "don't 'S we'LL  q　w\x85r", "日本語 テスト", "\n \n", "Éclair, ÀÇ. Größe. µm ªº İx x., .x a,b <|ENDOFTEXT|>"]
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +30,14 @@ def test_ids_are_the_tokenizers(tokenizer, by_word):
     assert at == len(made)
 
 
+def test_words_that_go_straight_to_the_model(tokenizer):
+    known = token_files.WordIds(tokenizer)
+    assert known.direct
+    letters = [chr(c) for c in range(0xC0, 0x100)] + ["İ", "ſ", "K", "Σ"]
+    for word in [a + b + c for a in ("", "Ab") for b in letters for c in ("", ".", "!?", "z'", "'s,", "&&&")]:
+        assert known.ids(word) == tokenizer.encode(word, add_special_tokens=False).ids, word
+
+
 def test_forgetting_changes_nothing(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "CACHE_WORDS", 2)
     encoder = token_files.WordEncoder(PATH, 1, True)

@@ -7,9 +7,10 @@ Row groups and pages have set sizes and page indexes are written, so that a read
 who wants lengths reads no ids, and one who wants some documents reads their pages
 only.
 
-Texts are encoded by the tokenizer's own library, every distinct word of a batch
-once: words are cut at spaces and line feeds, which the pre-tokenizer never puts into
-a token. A tokenizer for which that does not hold is given ``by_word=False``.
+Texts are encoded by the tokenizer's own library, word by word: words are cut at
+spaces and line feeds, which the pre-tokenizer never puts into a token, and a worker
+remembers the ids of recent words. A tokenizer for which that does not hold is given
+``by_word=False``.
 
 Defined results: a null text is empty and has the end id alone; rows with a null
 doc_id come first; an empty table gives files without rows. Other columns are ignored.
@@ -18,7 +19,9 @@ doc_id come first; an empty table gives files without rows. Other columns are ig
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -42,66 +45,103 @@ WRITER = {
     "parquet.enable.dictionary#doc_id": "false",
     "parquet.enable.dictionary#n_tokens": "false",
 }
-#: Words whose ids a Python worker remembers, and text encoded at a time.
-CACHE_WORDS = 300_000
-BATCH_BYTES = 4_000_000
+#: Words whose ids a Python worker remembers, and bytes of text encoded at a time.
+CACHE_WORDS = 200_000
+BATCH_BYTES = 1_000_000
+#: Letters that lower-casing and composition treat one by one, and signs behind them.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+PROBES = ["Hello", "it", "Straße", "ÉÀÿ", "extraordinarily", "Ünïcödé", "QX"]
+#: How byte-level vocabularies write bytes: printable ones as themselves, others from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
+
+
+class WordIds(dict):
+    """Places of words in a pool of ids; unknown words are encoded when asked for.
+
+    Where the tokenizer lower-cases and writes bytes as letters, which is tried out on a
+    few words, a word of plain letters goes straight to its model, and signs behind it
+    are looked up apart, as the pre-tokenizer cuts there. ``before`` is an older table;
+    what is still in use moves over from it.
+    """
+
+    def __init__(self, tokenizer, before: WordIds | None = None):
+        super().__init__()
+        self.tokenizer, self.before = tokenizer, before
+        if before:
+            before.before = None
+        self.pool, self.starts, self.counts = (array("i") for _ in range(3))
+        self.signs: dict[str, list[int]] = {"": []}
+        named = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.direct = before.direct if before else all(
+            any(c.isalnum() for c in name) for name in named
+        ) and all(self.plain(p) + self.run(r) == self.whole(p + r) for p in PROBES for r in ("", ",", "!?'"))
+
+    def whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def run(self, signs: str) -> list[int]:
+        found = self.signs.get(signs)
+        if found is None:
+            found = self.signs[signs] = self.whole(signs)
+        return found
+
+    def plain(self, word: str) -> list[int]:
+        shown = word.lower()
+        if not shown.isascii():
+            shown = shown.encode().decode("latin-1").translate(BYTES)
+        return [t.id for t in self.tokenizer.model.tokenize(shown)]
+
+    def ids(self, word: str) -> list[int]:
+        old = self.before.get(word) if self.before else None
+        if old is not None:
+            start = self.before.starts[old]
+            return self.before.pool[start : start + self.before.counts[old]]
+        parts = PLAIN.fullmatch(word) if self.direct else None
+        return self.plain(parts[1]) + self.run(parts[2]) if parts else self.whole(word)
+
+    def __missing__(self, word: str) -> int:
+        found = self.ids(word) if word else []
+        place = self[word] = len(self.starts)
+        self.starts.append(len(self.pool))
+        self.counts.append(len(found))
+        self.pool.extend(found)
+        return place
 
 
 class WordEncoder:
-    """Encodes arrays of texts; remembers the ids of up to ``CACHE_WORDS`` words."""
+    """Encodes arrays of texts; remembers the ids of some ``CACHE_WORDS`` words, twice."""
 
     def __init__(self, path: str, end_id: int, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id, self.by_word = Tokenizer.from_file(path), end_id, by_word
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.pool, self.starts, self.counts = (np.zeros(0, np.int32) for _ in range(3))
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [x.ids for x in found]
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        """Places of words in the pool; new ones are encoded together."""
-        if len(self.known) > CACHE_WORDS:
-            self.forget()
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            ids = self.encode(new)
-            counts = np.fromiter(map(len, ids), np.int32, len(ids))
-            first = len(self.pool) + np.cumsum(counts) - counts
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum()))
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            self.pool = np.concatenate([self.pool, flat])
-            self.starts = np.concatenate([self.starts, first.astype(np.int32)])
-            self.counts = np.concatenate([self.counts, counts])
-        return np.fromiter((known[w] for w in words), np.int32, len(words))
+        self.known = WordIds(self.tokenizer)
 
     def lists(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by the end id; and their counts."""
         if not self.by_word:
-            ids = [[*x, self.end_id] for x in self.encode(texts.to_pylist())]
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            ids = [[*x.ids, self.end_id] for x in found]
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum())), counts
-        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        per_text = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-        coded = words.flatten().dictionary_encode()
-        places = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        sizes = self.counts[places].astype(np.int64)
-        owner = np.repeat(np.arange(len(texts)), per_text)
-        counts = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
-        total = int(sizes.sum())
-        within = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        ids = self.pool[np.repeat(self.starts[places], sizes) + within]
-        out = np.empty(total + len(texts), np.int32)
-        out[np.cumsum(counts + 1) - 1] = self.end_id
-        out[np.arange(total) + np.repeat(np.arange(len(texts)), counts)] = ids
-        return out, counts + 1
+        if len(self.known) > CACHE_WORDS:
+            self.known = WordIds(self.tokenizer, self.known)
+        words, ends = [], []
+        for text in texts.to_pylist():
+            words += text.replace("\n", " ").split(" ")
+            ends.append(len(words))
+        known = self.known
+        places = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+        pool, starts, all_counts = (np.array(x, np.int32) for x in (known.pool, known.starts, known.counts))
+        sizes = all_counts[places]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        bounds = upto[np.concatenate([[0], ends])]
+        total, counts = int(upto[-1]), np.diff(bounds)
+        ids = pool[np.repeat(starts[places] - upto[:-1], sizes) + np.arange(total)]
+        out = np.insert(ids, bounds[1:], self.end_id)
+        return out.astype(np.int32, copy=False), counts + 1
 
 
 encoders: dict[tuple, WordEncoder] = {}
