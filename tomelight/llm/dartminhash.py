@@ -12,10 +12,13 @@ the text.
 ``BANDS`` bands of ``ROWS`` values give candidates (a pair of similarity 0.8 is missed
 with probability (1 - 0.8^4)^24 = 3e-6), which are verified by the exact weighted Jaccard
 similarity of their shingles. Equal texts are one vertex. In a bucket every member
-is first compared with the smallest one only, so a group of copies yields one link per
-member and not all pairs; the links' components are contracted, and only members of a
-bucket that are still in different components are compared further. Classes are the
-components of all links, so no link between different texts is lost beyond that bound.
+is first compared with one leader only, the member that shares buckets with most
+others, so a group of copies yields one link per member and not all pairs. Where a
+bucket's members are then still in different components, those documents are joined
+exactly: a pair of the similarity shares a shingle among the rarest of either
+(prefix filter), and a shingle held by one component alone makes no pair. What passes is
+verified too. Classes are the components of all links, so no link between different
+texts is lost beyond that bound.
 
 Defined results: texts count as equal when their words are equal in lower case (texts
 without words: when equal as they are; null counts as empty); a text of fewer than five
@@ -183,7 +186,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: i
 
 
 def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id with its shingle hashes (sorted) and their counts."""
+    """doc_id with its shingle hashes (sorted), their counts, and the sum of these."""
 
     def made(batches):
         for batch in batches:
@@ -195,12 +198,13 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                         part.column("doc_id"),
                         pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())),
                         pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32())),
+                        pa.array([int(n.sum()) for _, n in found], pa.int64()),
                     ],
-                    ["doc_id", "hashes", "counts"],
+                    ["doc_id", "hashes", "counts", "total"],
                 )
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(made, "doc_id long, hashes array<long>, counts array<int>")
+    return rows.mapInArrow(made, "doc_id long, hashes array<long>, counts array<int>, total long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -258,6 +262,40 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def across(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (a, b) of documents in different components, exact.
+
+    ``placed`` has doc_id and label. A shingle that occurs c times is c elements.
+    """
+    counted = sets.join(placed, "doc_id").select(
+        "doc_id", "label", "total", F.explode(F.arrays_zip("hashes", "counts")).alias("s")
+    )
+    copies = counted.select(
+        "doc_id", "label", "total", "s.hashes", F.explode(F.sequence(F.lit(1), "s.counts")).alias("nth")
+    )
+    each = copies.select("doc_id", "label", "total", F.xxhash64("hashes", "nth").alias("element"))
+    each = materialize(each)
+    held = each.groupBy("element").agg(
+        F.count(F.lit(1)).alias("df"), (F.min("label") < F.max("label")).alias("mixed")
+    )
+    shared = each.join(held.filter("df > 1"), "element")
+    mine = Window.partitionBy("doc_id")
+    ranked = shared.withColumn("rank", F.row_number().over(mine.orderBy("df", "element"))).withColumn(
+        "alone", F.col("total") - F.count(F.lit(1)).over(mine)
+    )
+    prefix = F.col("total") - F.ceil(F.col("total") * similarity - 1e-9) + 1
+    rare = materialize(
+        ranked.filter((F.col("alone") + F.col("rank") <= prefix) & F.col("mixed")).select(
+            "element", "doc_id", "label", "total"
+        )
+    )
+    left = rare.select("element", F.col("doc_id").alias("a"), F.col("label").alias("la"), F.col("total").alias("na"))
+    right = rare.select("element", F.col("doc_id").alias("b"), F.col("label").alias("lb"), F.col("total").alias("nb"))
+    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
+    pairs = left.join(right, "element").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits)
+    return pairs.select("a", "b").distinct()
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, **options) -> DataFrame:
     """doc_id and class_id, the smallest doc_id among its near copies; a row per document."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -272,31 +310,39 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, **options) -> DataF
         signed.join(copies.filter("doc_id = first").distinct(), "doc_id")
         .select(F.col("first").alias("doc"), F.explode("buckets").alias("bucket"))
     )
-    shared = entered.groupBy("bucket").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    members = materialize(entered.join(shared.filter("least < most").drop("most"), "bucket").distinct())
-    involved = members.select(F.col("doc").alias("doc_id")).distinct()
-    # Rows that share a doc_id may differ in text: their shingles count as one bag.
+    sizes = entered.groupBy("bucket").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    members = materialize(
+        entered.join(sizes.filter("low < high").select("bucket", "size"), "bucket").distinct()
+    )
+    degrees = materialize(members.groupBy("doc").agg(F.sum("size").alias("degree")))
+    known_degrees = members.join(degrees, "doc")
+    leaders = known_degrees.groupBy("bucket").agg(F.max_by("doc", "degree").alias("leader"))
+    members = materialize(members.join(leaders, "bucket").select("bucket", "doc", "leader"))
+    involved = degrees.select(F.col("doc").alias("doc_id"))
+    # Rows that share a doc_id may differ in text; the greatest text stands for them.
     texts = known.join(involved, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
     sets = materialize(shingle_sets(texts))
 
-    star = members.filter("doc <> least").select(F.col("least").alias("a"), F.col("doc").alias("b"))
-    links = materialize(verified(star.distinct(), sets, similarity))
+    star = members.filter("doc <> leader").select(
+        F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")
+    )
+    links = materialize(verified(materialize(star.distinct()), sets, similarity))
     labels = components(links)
 
     # Members of one bucket whose components differ have not all been compared yet.
-    placed = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "label", F.coalesce("label", "doc")
+    placed = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "bucket", "doc", F.coalesce("label", "doc").alias("label")
     )
     mixed = placed.groupBy("bucket").agg(
-        F.min("label").alias("_low"), F.max("label").alias("_high"), F.count(F.lit(1)).alias("_n")
-    ).filter("_low < _high AND _n > 2").select("bucket")
-    open_ = materialize(placed.join(mixed, "bucket"))
-    x = open_.select("bucket", F.col("doc").alias("a"), F.col("label").alias("la"), "least")
-    y = open_.select("bucket", F.col("doc").alias("b"), F.col("label").alias("lb"))
-    rest = (
-        x.join(y, "bucket").filter("a < b AND la <> lb AND a <> least").select("a", "b").distinct()
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    mixed = mixed.filter("low < high AND size > 2").select("bucket")
+    undecided = materialize(
+        placed.join(mixed, "bucket").select(F.col("doc").alias("doc_id"), "label").distinct()
     )
-    more = materialize(verified(rest, sets, similarity))
+    more = materialize(verified(across(undecided, sets, similarity), sets, similarity))
     if not more.isEmpty():
         labels = components(links.union(more))
     found = copies.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
@@ -311,7 +357,8 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, **options) -> Data
     """The documents that are the smallest of their class, with all their columns."""
     found = classes(docs, similarity, **options)
     kept = found.filter("doc_id = class_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy("text")
-    named = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    first = named.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
-    return first.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    whole = docs.select("doc_id", F.struct(*docs.columns).alias("_row"))
+    named = whole.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
+    order = Window.partitionBy("doc_id").orderBy("_row.text")
+    first = named.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
+    return first.select("_row.*").union(docs.filter("doc_id IS NULL"))
