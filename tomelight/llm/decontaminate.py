@@ -238,35 +238,45 @@ def latent_space(coded: DataFrame, queries: Queries, weight: np.ndarray, rank: i
 
 
 def subsequence(query: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """Length of the longest common subsequence and the stretch of ``text`` that holds it."""
-    n, m = len(query), len(text)
-    table = np.zeros((n + 1, m + 1), np.int32)
-    for i in range(1, n + 1):
-        hit = table[i - 1, :-1] + (text == query[i - 1])
-        table[i, 1:] = np.maximum.accumulate(np.maximum(hit, table[i - 1, 1:]))
-    best = int(table[n, m])
+    """Length of the longest common subsequence and the shortest stretch of ``text`` found for it.
+
+    Cells hold length and latest possible start as one number, the length above it.
+    """
+    m = len(text)
+    one = m + 1
+    row = np.zeros(m + 1, np.int64)
+    places = np.arange(m)
+    for word in query:
+        began = np.where(row[:-1] >= one, row[:-1], places) + one
+        hit = np.where(text == word, began, 0)
+        row[1:] = np.maximum(row[1:], hit)
+        row = np.maximum.accumulate(row)
+    best = int(row[-1]) // one
     if not best:
         return 0, 0, 0
-    end = j = int(np.argmax(table[n] == best))
-    i, begin = n, end
-    while i and j and table[i, j]:
-        if table[i, j] == table[i, j - 1]:
-            j -= 1
-        elif table[i, j] == table[i - 1, j]:
-            i -= 1
-        else:
-            i, j = i - 1, j - 1
-            begin = j
-    return best, begin, end
+    ends = np.flatnonzero(row // one == best)
+    spans = ends - row[ends] % one
+    at = int(np.argmin(spans))
+    return best, int(ends[at] - spans[at]), int(ends[at])
 
 
 def confirm(query: np.ndarray, answer: int, text: np.ndarray) -> tuple[int, int, int] | None:
     """LCS length and stretch where they satisfy all thresholds."""
-    best, begin, end = subsequence(query, text)
-    if best < COVERED * len(query) or end - begin > STRETCH * len(query):
+    n = len(query)
+    longest = int(STRETCH * n)
+    found = subsequence(query, text)
+    if found[0] < COVERED * n:
         return None
-    told = subsequence(query[-answer:], text[begin:end])[0] if answer else 0
-    return (best, begin, end) if told >= ANSWERED * answer else None
+    if found[2] - found[1] > longest:
+        # Scattered words may reach further than the passage: look in windows that fit it.
+        step = max(1, n // 8)
+        parts = [(s, subsequence(query, text[s : s + longest])) for s in range(0, len(text), step)]
+        start, found = max(parts, key=lambda x: x[1][0])
+        if found[0] < COVERED * n:
+            return None
+        found = (found[0], start + found[1], start + found[2])
+    told = subsequence(query[n - answer :], text[found[1] : found[2]])[0]
+    return found if told >= ANSWERED * answer else None
 
 
 def search(coded: DataFrame, queries: Queries, space: np.ndarray, latent: np.ndarray, weight: np.ndarray, cosine: float) -> DataFrame:

@@ -92,5 +92,41 @@ FROM k LEFT JOIN f ON k.digest = f.digest AND k.n >= 100
 """
 
 
+CHAT_SQL = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(regexp_replace(role, '[\s<|>]+', '_', 'g'), 'unknown') AS role,
+           regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '< |\1| >', 'g') AS text,
+           CAST(coalesce(floor(turn / 64), -1) AS BIGINT) AS part
+    FROM conversations
+), n AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM t
+), s AS (
+    SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'
+), r AS (
+    SELECT n.*, speaker, role = speaker AS target,
+           '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant'
+                                  ELSE 'user name=' || role END || chr(10) AS head
+    FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id
+), p AS (
+    SELECT *, coalesce(sum(length(head) + length(text) + 11) OVER (
+               PARTITION BY conv_id, speaker, part ORDER BY rn
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS b
+    FROM r
+), g AS (
+    SELECT conv_id, speaker, part,
+           string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY rn) AS text,
+           count(*) FILTER (WHERE target) AS n_targets,
+           coalesce(string_agg(b::BIGINT || '-' || (b + length(text))::BIGINT, ',' ORDER BY rn)
+                    FILTER (WHERE target), '') AS spans
+    FROM p GROUP BY conv_id, speaker, part
+)
+SELECT conv_id, speaker, part,
+       CAST(coalesce(sum(length(text)) OVER (PARTITION BY conv_id, speaker ORDER BY part
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+       text, n_targets, spans
+FROM g
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": WARC_SQL}
+    return {"op3_chat": CHAT_SQL, "op9_warc": WARC_SQL}
