@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ..sources.store import materialize
 
 BLOCK, PART, LEAST = 24, 48, 5
-RANK = 256
+RANK = 64
 COSINE = 0.3
 COVERED, STRETCH, ANSWERED = 0.7, 1.5, 0.5
 #: Terms that make up more than this share of all words weigh nothing, unless a
