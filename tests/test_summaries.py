@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tomelight.operators import overlap, summarize
 from tomelight.plans import jobs
@@ -85,7 +86,39 @@ def test_hierarchical_two_passes_and_plug(spark):
     assert summarize.summarize(docs(spark, text), summarizer=plug, mode="single").first().summary == "A0"
 
 
-def test_input_is_truncated(spark):
-    text = " ".join(["same"] * 1030) + " tail"
-    got = jobs.summaries(docs(spark, text), mode="single", max_len=5000).first().summary
-    assert len(got.split()) == 1024
+def test_whole_input_is_read(spark):
+    text = "same " * 1030 + "words. Quartz xylem zebra."
+    got = jobs.summaries(docs(spark, text, "same words"), mode="single", max_len=4).first().summary
+    assert got == "Quartz xylem zebra."
+
+
+def last_words(n):
+    def run(units, keys, max_words):
+        words = F.split("text", r"\s+")
+        return units.select(*keys, F.array_join(F.slice(words, F.greatest(F.size(words) - n + 1, F.lit(1)), n), " ").alias("summary"))
+
+    return run
+
+
+def test_last_chunk_reaches_the_final_pass(spark):
+    text = " ".join(f"a{i}" for i in range(20 * 350)) + " end"
+    model = last_words(90)
+    model.max_input_words = 300
+    seen = summarize.summarize(docs(spark, text), summarizer=model, max_len=90, max_len_final=90).first().summary
+    assert len(seen.split()) == 90 and seen.endswith(" end")
+    single = summarize.summarize(docs(spark, text, ""), summarizer=model, mode="single", max_len=90, max_len_final=90)
+    assert {r.doc_id: r.summary[-4:] for r in single.collect()} == {0: " end", 1: ""}
+    with pytest.raises(ValueError):
+        summarize.summarize(docs(spark, text), summarizer=model, max_len=300)
+
+
+def test_extraction_stays_in_the_row(spark, monkeypatch):
+    rows = docs(spark, "Rare zebra quartz. the the the the. Plain words here. Odd xylem umbra.", "the the plain words here. the.", "", None)
+    weights = summarize.term_weights(rows)
+    for mode in summarize.MODES:
+        made = summarize.summarize(rows, summarize.scorer(weights), mode=mode, max_len=6)
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+        joined = summarize.summarize(rows, summarize.joined_totals(weights), mode=mode, max_len=6)
+        assert sorted(made.collect()) == sorted(joined.collect())
+    monkeypatch.setattr(summarize, "MAX_SHIPPED_TERMS", 0)
+    assert summarize.scorer(weights).__qualname__.startswith("joined_totals")

@@ -393,7 +393,7 @@ def summary_pass(units: str, keys: str, limit: int, out: str) -> str:
     on = " AND ".join(f"a.{k.strip()} = b.{k.strip()}" for k in keys.split(","))
     return f"""{out}_s AS MATERIALIZED (
   SELECT {keys}, generate_subscripts(l, 1) AS pos, unnest(l) AS sentence FROM (
-    SELECT {keys}, {sentence_list("array_to_string(" + words("text") + "[1:1024], ' ')")} AS l FROM {units})),
+    SELECT {keys}, {sentence_list("text")} AS l FROM {units})),
 {out}_t AS (
   SELECT {keys}, pos, sum(ln((1 + n) / (1.0 + df)::DOUBLE) + 1) AS total
   FROM (SELECT {keys}, pos, unnest({terms("sentence")}) AS term FROM {out}_s) JOIN vocab USING (term), size
@@ -414,7 +414,7 @@ def summary_pass(units: str, keys: str, limit: int, out: str) -> str:
 
 
 DOC_TERMS = f"""doc_terms AS MATERIALIZED (SELECT doc_id, {terms("text")} AS g FROM documents),
-{sparse_sql("doc_terms", "doc_id", "g", 1, 1.0, 2000)}"""
+{sparse_sql("doc_terms", "doc_id", "g", 1, 1.0, 1_000_000_000)}"""
 
 
 def prompt_sql() -> str:

@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text as tx
 from ..operators import chunking, corpus, retrieval, sparse, summarize
 from ..sources.store import materialize
 
@@ -68,18 +67,9 @@ def chunk_table(docs: DataFrame, **options) -> DataFrame:
     return materialize(chunking.number_chunks(materialize(chunking.chunk(docs, **options))))
 
 
-def summaries(
-    docs: DataFrame,
-    text: str = "clean_text",
-    id: str = "doc_id",
-    max_features: int = 2000,
-    **options,
-) -> DataFrame:
-    """Summaries weighted by the corpus' own term statistics."""
-    terms = docs.select(id, tx.word_terms(F.col(text)).alias("_terms"))
-    n_docs = docs.count()
-    vocab = materialize(
-        sparse.vocabulary(sparse.postings(terms, id, "_terms"), n_docs, 1, 1.0, max_features)
-    )
-    scorer = None if vocab.isEmpty() else summarize.term_scorer(vocab, n_docs)
-    return summarize.summarize(docs, scorer, text=text, id=id, **options)
+def summaries(docs: DataFrame, text: str = "clean_text", id: str = "doc_id", **options) -> DataFrame:
+    """Summaries weighted by the corpus' own term statistics, all terms included."""
+    if options.get("summarizer"):
+        return summarize.summarize(docs, text=text, id=id, **options)
+    weights = materialize(summarize.term_weights(docs, text, id))
+    return summarize.summarize(docs, summarize.scorer(weights), text=text, id=id, **options)
