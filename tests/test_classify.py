@@ -71,7 +71,9 @@ def test_prompt(spark):
     assert "Question: \"Why 'E1'?\"" in prompt and '"first {question} | second"' in prompt
     assert "- other: None of the above." in prompt and prompt.count("- ") >= len(INTENTS)
     with pytest.raises(ValueError):
-        classify.build_prompts(questions, examples.withColumn("text", F.repeat("text", 100000)))
+        classify.build_prompts(questions, examples, max_example_chars=10)
+    long = examples.withColumn("text", F.repeat("text", 100000))
+    assert len(classify.build_prompts(questions, long).first().prompt) > 2_000_000
 
 
 def test_positional_split(spark):

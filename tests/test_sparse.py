@@ -52,8 +52,9 @@ def test_nothing_survives(spark):
     assert sparse.bag_of_words(posts, vocab).count() == 0
     stats = sparse.matrix_stats(sparse.bag_of_words(posts, vocab), F.lit(1), vocab).first()
     assert stats.nnz == 0 and stats.n_terms == 0 and stats.density_pct is None
-    with pytest.raises(ValueError):
-        sparse.vectorizer(vocab, 1)
+    for n_docs in (None, 1):
+        row = sparse.vector_rows(one, sparse.vectorizer(vocab, n_docs)).first()
+        assert (row.doc_id, row.terms, row.weights) == (1, [], [])
 
 
 def test_matrix_stats_match_dense(spark, docs):

@@ -19,7 +19,6 @@ from . import topk
 from .joins import lookup, salted_join
 
 FALLBACK = "other"
-MAX_EXAMPLE_CHARS = 100_000
 TOLERANCE = 1e-3
 
 
@@ -413,15 +412,17 @@ def build_prompts(
     intents: dict[str, str] | None = None,
     template: str = PROMPT_TEMPLATE,
     out: str = "prompt",
+    max_example_chars: int | None = None,
 ) -> DataFrame:
     """Fill the prompt template for every question.
 
-    Examples are joined in order, without their labels. They must fit a prompt:
-    more than ``MAX_EXAMPLE_CHARS`` characters are refused before any is moved.
+    Examples are joined in order, without their labels. With ``max_example_chars``
+    longer ones are refused before any is moved, as they would not fit a prompt.
     """
-    size = examples.agg(F.sum(F.length(example)).alias("n")).first()["n"] or 0
-    if size > MAX_EXAMPLE_CHARS:
-        raise ValueError(f"examples hold {size} characters, limit {MAX_EXAMPLE_CHARS}")
+    if max_example_chars is not None:
+        size = examples.agg(F.sum(F.length(example)).alias("n")).first()["n"] or 0
+        if size > max_example_chars:
+            raise ValueError(f"examples hold {size} characters, limit {max_example_chars}")
     taxonomy = INTENTS if intents is None else intents
     lines = "\n".join(f"- {k}: {v}" for k, v in taxonomy.items())
     ordered = F.sort_array(F.collect_list(F.struct(F.col(order), F.col(example).alias("_e"))))

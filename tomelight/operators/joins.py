@@ -25,7 +25,7 @@ def salted_join(
     right: DataFrame,
     key: str,
     spread: str,
-    salts: int = 64,
+    salts: int | None = None,
     hot_rows: int = 1_000_000,
     max_broadcast_rows: int = 50_000,
     how: str = "left",
@@ -33,21 +33,25 @@ def salted_join(
     """Join on a key that may be very frequent on the left and is unique on the right.
 
     A right side of checked size is broadcast. Otherwise keys with ``hot_rows``
-    or more left rows are split into ``salts`` parts by the left row's ``spread``
-    column, and only their right rows are repeated, once per part. There are at
-    most left rows / ``hot_rows`` such keys, which bounds their list.
+    or more left rows are split by the left row's ``spread`` column into as many
+    parts as keep a part near ``hot_rows`` (or into ``salts`` parts), and only their
+    right rows are repeated, once per part. There are at most left rows /
+    ``hot_rows`` such keys; their list is broadcast while its checked size allows.
     """
     if is_small(right, max_broadcast_rows):
         return left.join(F.broadcast(right), key, how)
-    hot = F.broadcast(
+    counted = F.ceil(F.col("_n") / hot_rows) + 1 if salts is None else F.lit(salts)
+    hot = (
         left.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter((F.col("_n") >= hot_rows) & F.col(key).isNotNull())
-        .select(key, F.lit(True).alias("_hot"))
+        .select(key, counted.cast("int").alias("_hot"))
     )
-    is_hot = F.coalesce("_hot", F.lit(False))
-    part = F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    if is_small(hot, max_broadcast_rows):
+        hot = F.broadcast(hot)
+    salts = F.coalesce("_hot", F.lit(1))
+    part = F.pmod(F.xxhash64(spread), salts).cast("int")
+    parts = F.sequence(F.lit(0), salts - 1)
     return (
         left.join(hot, key, "left")
         .withColumn("_part", part)

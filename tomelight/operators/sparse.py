@@ -6,12 +6,13 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..sources.store import materialize
 from . import topk
 from .joins import salted_join
 
@@ -121,6 +122,9 @@ def tfidf(
     return rows.select(id, F.inline(tx.let(F.sqrt(squares), scaled)))
 
 
+EMPTY_ROWS = "SELECT *, filter(_terms, t -> false) AS _row FROM __THIS__"
+
+
 def vectorizer(
     vocab: DataFrame, n_docs: int | None = None, unit_length: bool = True
 ) -> PipelineModel:
@@ -128,11 +132,14 @@ def vectorizer(
 
     Without ``n_docs`` rows are counts, with it TF-IDF, of unit length unless
     told otherwise. The vocabulary is shipped to the tasks, so its size is
-    checked; larger ones go through :func:`tfidf`, which joins.
+    checked; larger ones go through :func:`tfidf`, which joins. An empty one gives
+    empty rows.
     """
     fitted = vocab.orderBy("idx").select("term", "df").limit(MAX_ROW_TERMS + 1).collect()
-    if not 0 < len(fitted) <= MAX_ROW_TERMS:
-        raise ValueError(f"vocabulary must have 1 to {MAX_ROW_TERMS} terms")
+    if len(fitted) > MAX_ROW_TERMS:
+        raise ValueError(f"vocabulary must have at most {MAX_ROW_TERMS} terms")
+    if not fitted:
+        return PipelineModel([SQLTransformer(statement=EMPTY_ROWS)])
     terms = [r["term"] for r in fitted]
     outputs = ["_counts", "_scaled", "_unit"][: 1 if n_docs is None else 3 if unit_length else 2]
     outputs[-1] = "_row"
@@ -153,6 +160,9 @@ def vector_rows(df: DataFrame, model: PipelineModel, terms: str = "lemmas") -> D
     """
     present = F.coalesce(F.col(terms), F.array().cast("array<string>"))
     rows = model.transform(df.withColumn("_terms", present))
+    if dict(rows.dtypes)["_row"].startswith("array"):  # nothing is known
+        nothing = {"terms": "array<int>", "weights": "array<double>"}
+        return rows.drop("_terms", "_row").withColumns({c: F.array().cast(t) for c, t in nothing.items()})
     return (
         rows.withColumn("_cells", F.unwrap_udt("_row"))
         .withColumn("terms", F.col("_cells.indices"))
@@ -287,7 +297,7 @@ def similarity_edges(
     :func:`copy_groups` lists its members. Returns left_id, right_id, cosine,
     left_copies, right_copies.
     """
-    vertices = (
+    vertices = materialize(
         rows.groupBy(content_key().alias("_content"))
         .agg(
             F.min(id).alias(id),

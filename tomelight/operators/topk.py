@@ -216,12 +216,9 @@ def small_side(df: DataFrame, max_rows: int) -> list[Block] | None:
     """The rows of a side if they are few and narrow enough to ship to every task."""
     if not is_small(df, max_rows):
         return None
-    blocks = sliced(df.toArrow(), SLICE_ROWS)
-    values = sum(
-        (b.dense.size if b.dense is not None else 0) + (len(b.terms) if b.terms is not None else 0)
-        for b in blocks
-    )
-    return blocks if values <= MAX_BROADCAST_VALUES else None
+    sizes = [F.coalesce(F.size(c), F.lit(0)) for c in ("dense", "terms") if c in df.columns]
+    values = df.agg(F.sum(sum(sizes, F.lit(0).cast("long")))).first()[0] or 0
+    return sliced(df.toArrow(), SLICE_ROWS) if values <= MAX_BROADCAST_VALUES else None
 
 
 def best(

@@ -428,6 +428,7 @@ def prompt_sql() -> str:
 def rouge(n: int) -> str:
     def side(c):
         toks = f"list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda w: w <> '')"
+        toks = f"list_transform({toks}, lambda w: CASE WHEN length(w) > 3 THEN {stem('w')} ELSE w END)"
         if n == 1:
             return toks
         return f"(SELECT list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1]) FROM (SELECT {toks} AS l))"
@@ -579,16 +580,14 @@ WHERE len(lemmas[start + 1 : start + 10]) > 2"""
       SELECT word, {word.format("word")} AS m, unnest([3, 4, 5, 6]) AS n FROM {{0}}) WHERE length(m) >= n)"""
     sql["d3_subwords"] = f"""WITH {LEMMA_VECTORS},
 known_gram AS MATERIALIZED ({gram.format("lemma_vector")}),
-flat AS MATERIALIZED (SELECT word, generate_subscripts(v, 1) AS dim, unnest(v) AS x FROM lemma_vector),
-gram_vector AS MATERIALIZED (
-  SELECT gram, dim, avg(x) AS x FROM known_gram JOIN flat USING (word) GROUP BY gram, dim),
+own AS MATERIALIZED (SELECT word, sum(x) AS v_sum, sum(x * dim) AS v_pos FROM (
+  SELECT word, generate_subscripts(v, 1) AS dim, unnest(v) AS x FROM lemma_vector) GROUP BY word),
+gram_sums AS MATERIALIZED (
+  SELECT gram, avg(v_sum) AS v_sum, avg(v_pos) AS v_pos FROM known_gram JOIN own USING (word) GROUP BY gram),
 unseen AS (SELECT term AS word FROM lemma_count ANTI JOIN lemma_vector ON word = term),
 unseen_gram AS MATERIALIZED ({gram.format("unseen")}),
 built AS (
-  SELECT word, sum(x) AS v_sum, sum(x * dim) AS v_pos FROM (
-    SELECT word, dim, avg(x) AS x FROM unseen_gram JOIN gram_vector USING (gram) GROUP BY word, dim)
-  GROUP BY word),
-own AS (SELECT word, sum(x) AS v_sum, sum(x * dim) AS v_pos FROM flat GROUP BY word)
+  SELECT word, avg(v_sum) AS v_sum, avg(v_pos) AS v_pos FROM unseen_gram JOIN gram_sums USING (gram) GROUP BY word)
 SELECT c.term AS word, o.word IS NOT NULL AS trained, round(coalesce(o.v_sum, b.v_sum, 0.0), 6) AS v_sum,
   round(coalesce(o.v_pos, b.v_pos, 0.0), 6) AS v_pos
 FROM lemma_count c LEFT JOIN own o ON o.word = c.term LEFT JOIN built b ON b.word = c.term"""
@@ -833,4 +832,19 @@ re AS (SELECT pair_id, avg(m) AS x FROM (SELECT pair_id, j, max(s) AS m FROM s G
 SELECT p.pair_id, round(coalesce(pr.x, 0.0), 6) AS precision, round(coalesce(re.x, 0.0), 6) AS recall,
   round(coalesce(2 * pr.x * re.x / (pr.x + re.x), 0.0), 6) AS f1
 FROM pairs p LEFT JOIN pr ON pr.pair_id = p.pair_id LEFT JOIN re ON re.pair_id = p.pair_id"""
+    # Written and read again.
+    sql["a4_save_load"] = f"""WITH f9 AS ({sql["f9_chunk_table"]})
+SELECT chunk_id, doc_id, chunk_index, num_words FROM f9"""
+    sql["a5_statistics_json"] = sql["b11_corpus_stats"]
+    sql["a7_matrix_round_trip"] = """SELECT vec_id, generate_subscripts(embedding, 1)::INTEGER - 1 AS dim,
+  unnest(embedding)::DOUBLE AS x FROM embeddings"""
+    sql["a8_labelled_json"] = """SELECT text, role AS label, count(*) AS n FROM conversations GROUP BY ALL"""
+    sql["a9_predictions_csv"] = """SELECT 'q "' || doc_id || '", x' AS question, quality::VARCHAR AS true_intent,
+  toxic::VARCHAR AS predicted_intent, quality = toxic AS is_correct FROM labels"""
+    sql["a10_word_vectors"] = """SELECT 'w' || vec_id AS word, round(sum(x), 6) AS v_sum, round(sum(x * dim), 6) AS v_pos
+FROM (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings)
+GROUP BY vec_id"""
+    # The same results by the grid that a cluster uses.
+    for name in ("c9_similar_docs", "d7_similar_words", "e8_similar_by_model", "h7_nearest_examples"):
+        sql[f"{name}_grid"] = sql[name]
     return sql

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,8 @@ from .sources import files, store
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIM = 64
+# Block sizes at which also small tables take the path of large ones.
+GRID = {"max_broadcast_rows": 10, "block_rows": 200}
 # Patterns that occur in the given texts, where the defaults do not.
 SECTION = "the|les|der|que|los"
 WARNING = "tion"
@@ -165,6 +168,69 @@ def a3_load_processed(spark, sf):
     return processed(spark, sf).select("doc_id", "filename", joined("lemmas"), "num_tokens")
 
 
+def written(spark, sf, name: str) -> str:
+    """A new folder for files that a query writes and reads again."""
+    return f"{store.application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def a4_save_load(spark, sf):
+    """Chunks written and read back."""
+    path = written(spark, sf, "chunks")
+    store.save_table(chunks(spark, sf).select("chunk_id", "doc_id", "chunk_index", "num_words"), path)
+    return store.load_table(spark, path)
+
+
+def a5_statistics_json(spark, sf):
+    """Corpus statistics as JSON, read back with the types they were written with."""
+    stats = b11_corpus_stats(spark, sf)
+    path = written(spark, sf, "statistics")
+    store.save_json(stats, path)
+    return spark.read.schema(stats.schema).json(path)
+
+
+def a7_matrix_round_trip(spark, sf):
+    """Vectors written and read back, coordinate by coordinate."""
+    path = written(spark, sf, "matrix")
+    store.save_table(points(spark, sf), path)
+    return store.load_table(spark, path).select(
+        "vec_id", F.posexplode(vx.as_double(F.col("embedding"))).alias("dim", "x")
+    )
+
+
+def a8_labelled_json(spark, sf):
+    """Turns written as JSON objects of text and label, read as labelled rows, counted by both."""
+    path = written(spark, sf, "labelled")
+    rows = table(spark, sf, "conversations").select("text", F.col("role").alias("label"))
+    store.save_json(rows, path)
+    return files.read_labelled(spark, path, multi_line=False).groupBy("text", "label").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def a9_predictions_csv(spark, sf):
+    """Predictions written as CSV with a header and read back, counted by their columns."""
+    rows = classify.prediction_table(
+        labelled(spark, sf).withColumn("question", F.concat(F.lit('q "'), "doc_id", F.lit('", x'))),
+        "question",
+        "true",
+        "pred",
+    )
+    path = written(spark, sf, "predictions")
+    store.save_predictions(rows, path)
+    return store.load_predictions(spark, path)
+
+
+def a10_word_vectors(spark, sf):
+    """Vectors written as lines of text, some of them malformed, and parsed again."""
+    numbers = F.array_join(F.transform("vector", lambda x: x.cast("string")), " ")
+    lines = words_of(spark, sf).select(F.concat_ws(" ", "word", numbers).alias("value"))
+    short = lines.select(F.regexp_replace("value", " [^ ]+$", "").alias("value"))
+    wrong = lines.select(F.regexp_replace("value", " [^ ]+$", " x").alias("value"))
+    path = written(spark, sf, "vectors")
+    lines.union(short).union(wrong).write.text(path)
+    return files.read_word_vectors(spark, path, DIM).select("word", *digest("vector"))
+
+
 def a6_vocabularies(spark, sf):
     posts = sparse.postings(processed(spark, sf))
     n = sparse.row_count(processed(spark, sf))
@@ -350,11 +416,15 @@ def c8_copy_groups(spark, sf):
     return sparse.copy_groups(vectors_of(spark, sf, "tfidf"))
 
 
-def c9_similar_docs(spark, sf):
-    out = sparse.similar(vectors_of(spark, sf, "tfidf"), 5)
+def c9_similar_docs(spark, sf, **blocks):
+    out = sparse.similar(vectors_of(spark, sf, "tfidf"), 5, **blocks)
     return out.select("query_id", "rank", "item_id", r6("score", "score"))
 
 
+def c9_similar_docs_grid(spark, sf):
+    return c9_similar_docs(spark, sf, **GRID)
+
+
 def c9_similar_docs_bow(spark, sf):
     out = sparse.similar(vectors_of(spark, sf, "bow"), 3)
     return out.select("query_id", "rank", "item_id", r6("score", "score"))
@@ -440,11 +510,15 @@ def d6_word_similarity(spark, sf):
     )
 
 
-def d7_similar_words(spark, sf):
-    out = words.nearest_words(words_of(spark, sf), 10)
+def d7_similar_words(spark, sf, **blocks):
+    out = words.nearest_words(words_of(spark, sf), 10, **blocks)
     return out.select("query_id", "rank", "item_id", r6("score", "score"))
 
 
+def d7_similar_words_grid(spark, sf):
+    return d7_similar_words(spark, sf, **GRID)
+
+
 def d8_doc_means(spark, sf):
     out = words.doc_means(processed(spark, sf), lemma_vectors(spark, sf), dim=DIM)
     return out.select("doc_id", *digest("embedding"))
@@ -518,11 +592,15 @@ def two_models(spark, sf) -> dict[str, DataFrame]:
     }
 
 
-def e8_similar_by_model(spark, sf):
-    out = contextual.similar_by_model(two_models(spark, sf), 5, id="vec_id")
+def e8_similar_by_model(spark, sf, **blocks):
+    out = contextual.similar_by_model(two_models(spark, sf), 5, id="vec_id", **blocks)
     return out.select("model", "query_id", "rank", "item_id", r6("score", "score"))
 
 
+def e8_similar_by_model_grid(spark, sf):
+    return e8_similar_by_model(spark, sf, **GRID)
+
+
 def e9_stats(spark, sf):
     out = None
     for name, rows in two_models(spark, sf).items():
@@ -706,18 +784,30 @@ def relevant_chunks(spark, sf) -> DataFrame:
     runs = body.select(
         "chunk_id", F.explode(F.array_distinct(tx.ngrams(F.split("body", " "), run))).alias("anchor")
     )
-    hits = joins.lookup(runs, passage, "anchor")
+    has_run = F.size(F.split("passage", " ")) > run
+    hits = joins.lookup(runs, passage.filter(has_run), "anchor")
+    # Shorter passages have no such run; the few questions meet every chunk.
+    short = passage.filter(~has_run & (F.col("passage") != "")).select("query_id", "passage")
     found = (
         hits.join(body, "chunk_id")
         .filter(F.contains("body", "passage"))
         .select("query_id", "chunk_id")
+        .union(body.join(short, F.contains("body", "passage")).select("query_id", "chunk_id"))
         .distinct()
     )
     return stage(spark, sf, "relevant", lambda: store.materialize(found))
 
 
 def metrics(spark, sf, miss_rank):
-    results = retrieval.compare_methods(encoded_questions(spark, sf), index(spark, sf).rows, 10)
+    # Ranked rows are read twice, for the methods' names and for the gains.
+    results = stage(
+        spark,
+        sf,
+        "compared",
+        lambda: store.materialize(
+            retrieval.compare_methods(encoded_questions(spark, sf), index(spark, sf).rows, 10)
+        ),
+    )
     out = retrieval.evaluate(
         results,
         relevant_chunks(spark, sf),
@@ -792,14 +882,18 @@ def h7_nearest_centroid(spark, sf):
     return out.select("vec_id", "predicted", r6("score", "score"))
 
 
-def h7_nearest_examples(spark, sf):
+def h7_nearest_examples(spark, sf, **blocks):
     rows = points(spark, sf)
     out = classify.nearest_examples(
-        rows, rows, 5, id="vec_id", example_id="vec_id", skip_self=True
+        rows, rows, 5, id="vec_id", example_id="vec_id", skip_self=True, **blocks
     )
     return out.select("vec_id", "predicted", "votes", r6("score", "score"))
 
 
+def h7_nearest_examples_grid(spark, sf):
+    return h7_nearest_examples(spark, sf, **GRID)
+
+
 def h8_accuracy(spark, sf):
     return classify.accuracy(labelled(spark, sf)).select(r6("accuracy", "accuracy"))
 

@@ -75,9 +75,9 @@ def page_texts(df: DataFrame, html: str = "html", filename: str = "url") -> Data
     return texts.withColumnRenamed(filename, "filename").drop(html).filter("raw_text <> ''")
 
 
-def read_labelled(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of {text, label} objects."""
-    return spark.read.schema(LABELLED).option("multiLine", True).json(path)
+def read_labelled(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """{text, label} objects: JSON arrays, or with ``multi_line=False`` one object per line."""
+    return spark.read.schema(LABELLED).option("multiLine", multi_line).json(path)
 
 
 def read_word_vectors(spark: SparkSession, path: str, dim: int = 100) -> DataFrame:
