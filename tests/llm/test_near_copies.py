@@ -70,6 +70,22 @@ def test_links_through_other_than_the_smallest_are_not_lost(spark):
     assert {r.doc_id: r.class_id for r in out} == brute(rows)
 
 
+def test_exact_join_finds_every_pair(spark):
+    rows = corpus(200, seed=9)
+    df = spark.createDataFrame(rows, DOCS)
+    sets = dm.materialize(dm.shingle_sets(df))
+    apart = df.selectExpr("doc_id", "doc_id AS label")
+    found = dm.verified(dm.across(apart, sets, 0.8), sets, 0.8)
+    bags = {id: shingles(t) for id, t in rows}
+    expected = set()
+    for a, b in itertools.combinations(sorted(bags), 2):
+        shared = sum((bags[a] & bags[b]).values())
+        if shared >= 0.8 * (sum(bags[a].values()) + sum(bags[b].values()) - shared) - 1e-9:
+            expected.add((a, b))
+    assert len(expected) > 100 and {(r.a, r.b) for r in found.collect()} == expected
+    assert dm.across(apart.selectExpr("doc_id", "1L AS label"), sets, 0.8).isEmpty()
+
+
 @pytest.mark.parametrize("weighted", [False, True])
 def test_agreement_is_the_weighted_similarity(weighted):
     rng = np.random.default_rng(1)

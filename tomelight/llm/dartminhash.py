@@ -15,9 +15,9 @@ similarity of their shingles. Equal texts are one vertex. In a bucket every memb
 is first compared with one leader only, the member that shares buckets with most
 others, so a group of copies yields one link per member and not all pairs. Where a
 bucket's members are then still in different components, those documents are joined
-exactly: a pair of the similarity shares a shingle among the rarest of either
-(prefix filter), and a shingle held by one component alone makes no pair. What passes is
-verified too. Classes are the components of all links, so no link between different
+exactly: a pair of the similarity shares a shingle among the rarest of either (prefix
+filter) with enough others behind it (positional filter), and a shingle held by one
+component alone makes no pair. What passes is verified too. Classes are the components of all links, so no link between different
 texts is lost beyond that bound.
 
 Defined results: texts count as equal when their words are equal in lower case (texts
@@ -33,7 +33,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.store import materialize
@@ -283,17 +283,31 @@ def across(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     ranked = shared.withColumn("rank", F.row_number().over(mine.orderBy("df", "element"))).withColumn(
         "alone", F.col("total") - F.count(F.lit(1)).over(mine)
     )
-    prefix = F.col("total") - F.ceil(F.col("total") * similarity - 1e-9) + 1
+    # Of a pair, the smaller side (by size, then id) shares a shingle early enough that all
+    # the overlap a pair of its own size needs can follow; the larger one within its prefix.
+    place = (F.col("alone") + F.col("rank")).alias("place")
+    half = similarity / (1 + similarity)
+
+    def prefix(share: float) -> Column:
+        return F.col("total") - F.ceil(F.col("total") * share - 1e-9) + 1
+
     rare = materialize(
-        ranked.filter((F.col("alone") + F.col("rank") <= prefix) & F.col("mixed")).select(
-            "element", "doc_id", "label", "total"
-        )
+        ranked.filter("mixed").select("element", "doc_id", "label", "total", place)
+        .filter(F.col("place") <= prefix(similarity))
+    )
+    left = rare.filter(F.col("place") <= prefix(2 * half)).select(
+        "element", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "label", "total", "place"))
+    )
+    right = rare.select("element", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "label", "total", "place")))
+    smaller = F.struct("total_a", "doc_id_a") < F.struct(F.col("total_b"), F.col("doc_id_b"))
+    can_follow = F.least(F.col("total_a") - F.col("place_a"), F.col("total_b") - F.col("place_b")) + 1
+    fits = (F.col("total_a") >= similarity * F.col("total_b") - 1e-9) & (
+        can_follow >= half * (F.col("total_a") + F.col("total_b")) - 1e-9
     )
-    left = rare.select("element", F.col("doc_id").alias("a"), F.col("label").alias("la"), F.col("total").alias("na"))
-    right = rare.select("element", F.col("doc_id").alias("b"), F.col("label").alias("lb"), F.col("total").alias("nb"))
-    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
-    pairs = left.join(right, "element").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits)
-    return pairs.select("a", "b").distinct()
+    pairs = left.join(right, "element").filter(smaller & (F.col("label_a") != F.col("label_b")) & fits)
+    return pairs.select(
+        F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")
+    ).distinct()
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, **options) -> DataFrame:
