@@ -33,6 +33,17 @@ def test_windows(spark, text, sizes):
     assert [len(c.split()) for c in pieces(spark, text)] == sizes
 
 
+def test_lossless_windows_hold_every_word(spark):
+    for n in (99, 100, 399, 400, 449, 450, 800, 1234):
+        text = " ".join(f"w{i}." for i in range(n))
+        found = [c.split() for c in pieces(spark, text, lossless=True)]
+        assert {w for c in found for w in c} == set(text.split())
+        assert all(c[0] == f"w{350 * i}." and 100 <= len(c) < 500 or n < 100 for i, c in enumerate(found))
+    df = spark.createDataFrame([(1, "f", "short"), (2, "f", "word " * 150)], "doc_id long, filename string, t string")
+    rows = chunking.chunk(df, "t", lossless=True, min_document_chars=0).collect()
+    assert [(r.doc_id, r.num_words) for r in rows] == [(1, 1), (2, 150)]
+
+
 def test_sections(spark):
     text = "Intro\n1. Open it\nWARNING hot\nnotes: ok"
     assert pieces(spark, text) == ["Intro", "1. Open it", "WARNING hot", "notes: ok"]

@@ -46,6 +46,20 @@ def word_windows(words: Column, size: int, step: int) -> Column:
     return F.transform(starts, lambda s: F.array_join(F.slice(words, s + 1, size), " "))
 
 
+def covering_windows(words: Column, size: int, step: int, least: int) -> Column:
+    """Windows that hold every word: a last window of under ``least`` words joins the one before."""
+    n = F.size(words)
+    starts = F.filter(
+        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(step)), lambda s: (s == 0) | (n - s >= least)
+    )
+
+    def cut(kept: Column) -> Column:
+        length = lambda i: F.when(i + 1 < F.size(kept), F.lit(size)).otherwise(n)
+        return F.transform(kept, lambda s, i: F.array_join(F.slice(words, s + 1, F.greatest(length(i), F.lit(0))), " "))
+
+    return tx.let(starts, cut)
+
+
 def trim_window(window: Column, max_chunk_size: int, trim_ratio: float = TRIM_RATIO) -> Column:
     """Cut after the last period or colon when it lies far enough into the window.
 
@@ -67,16 +81,23 @@ def chunk_array(
     min_chunk_size: int = 100,
     section_start: str = SECTION_START,
     trim_ratio: float = TRIM_RATIO,
+    lossless: bool = False,
 ) -> Column:
     """All chunks of a text in order, as an array.
 
     Short sections are kept whole. Long ones become overlapping windows; a
     window with fewer than ``min_chunk_size`` words after trimming is dropped.
+    With ``lossless`` nothing is trimmed and such a window joins the one before it.
     """
     check_sizes(max_chunk_size, overlap, min_chunk_size)
 
     def pieces(section: Column) -> Column:
         words = section["words"]
+        whole = F.filter(F.array(tx.strip(section["body"])), lambda c: c != "")
+        if lossless:
+            return F.when(F.size(words) < min_chunk_size, whole).otherwise(
+                covering_windows(words, max_chunk_size, max_chunk_size - overlap, min_chunk_size)
+            )
         trimmed = F.transform(
             word_windows(words, max_chunk_size, max_chunk_size - overlap),
             lambda w: trim_window(w, max_chunk_size, trim_ratio),
@@ -87,7 +108,6 @@ def chunk_array(
             lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1
             >= min_chunk_size,
         )
-        whole = F.filter(F.array(tx.strip(section["body"])), lambda c: c != "")
         return F.when(F.size(words) < min_chunk_size, whole).otherwise(
             long_enough
         )
@@ -126,12 +146,19 @@ def chunk(
     section_start: str = SECTION_START,
     warning: str = WARNING_PATTERN,
     procedure: str = PROCEDURE_START,
+    min_document_chars: int = MIN_DOCUMENT_CHARS,
+    lossless: bool = False,
 ) -> DataFrame:
-    """Chunk table keyed by (id, chunk_index); one map-only pass."""
-    array = chunk_array(F.col(text), max_chunk_size, overlap, min_chunk_size, section_start)
+    """Chunk table keyed by (id, chunk_index); one map-only pass.
+
+    With ``lossless`` and ``min_document_chars=0`` every word of every document is in a chunk.
+    """
+    array = chunk_array(
+        F.col(text), max_chunk_size, overlap, min_chunk_size, section_start, lossless=lossless
+    )
     body = F.col("chunk_text")
     return (
-        df.filter(F.length(text) >= MIN_DOCUMENT_CHARS)
+        df.filter(F.length(text) >= min_document_chars)
         .select(id, filename, F.posexplode(array).alias("chunk_index", "chunk_text"))
         .select(
             id,

@@ -63,7 +63,10 @@ def fit_index(
 
 
 def chunk_table(docs: DataFrame, **options) -> DataFrame:
-    """Chunk documents once and number the chunks."""
+    """Chunk documents once and number the chunks.
+
+    Options go to :func:`chunking.chunk`; ``lossless=True, min_document_chars=0`` indexes every word.
+    """
     return materialize(chunking.number_chunks(materialize(chunking.chunk(docs, **options))))
 
 
