@@ -4,13 +4,15 @@ A line is the set of its words. Words are ordered by how often they occur in the
 whole corpus, the rarest first. Two sets of Jaccard similarity t or more share a word
 among the first n - ceil(t n) + 1 of either (prefix filter), differ in size by a factor of
 1 / t at most (length filter), and have enough words left behind the shared one
-(positional filter); what passes is verified. A line goes when an equal set or a set
+(positional filter), and the bitmaps of similar sets, one bit per word's hash, differ in no
+more bits than the sets may differ in words; what passes is verified. A line goes when an equal set or a set
 at least ``SIMILARITY`` alike stands on an earlier line, in the order of doc_id and line.
 
-Equal sets are one candidate, under their first line. In the bucket of a prefix word
-each set is first compared with the earliest set of the bucket only: in a group of
-copies that decides nearly all members with one comparison each. The sets still
-undecided are then compared with every earlier set of the bucket.
+Equal sets are one candidate, under their first line. In the bucket of a prefix word a
+set that passes the filters with the earliest set of the bucket is compared with that
+one only: in a group of copies that is nearly every member. The others are compared
+with every earlier set of the bucket. A set whose comparisons all fail although it
+was spared some is compared once more with all earlier sets of its buckets.
 
 Words are 32-bit hashes; the frequency of a word is that of its hash slot, a count
 over all lines kept in a table of fixed size. Any fixed order of words gives the same
@@ -96,22 +98,42 @@ def least_shared(n: Column, m: Column, t: float) -> Column:
     return F.ceil((n + m) * F.lit(t / (1 + t)) - F.lit(1e-9))
 
 
-def can_match(n: Column, i: Column, m: Column, j: Column, t: float) -> Column:
-    """Length and positional filter for a word at places i and j of sets of sizes n and m."""
-    left = F.least(n - i, m - j)
-    return (F.least(n, m) >= F.greatest(n, m) * t - 1e-9) & (left >= least_shared(n, m, t))
+def can_match(x: Column, y: Column, t: float) -> Column:
+    """Length, positional and bitmap filter for two structs (n, at, low, high) of one bucket."""
+    need = least_shared(x["n"], y["n"], t)
+    sizes = F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * t - 1e-9
+    follow = F.least(x["n"] - x["at"], y["n"] - y["at"]) >= need
+    differ = F.bit_count(x["low"].bitwiseXOR(y["low"])) + F.bit_count(x["high"].bitwiseXOR(y["high"]))
+    return sizes & follow & (differ <= x["n"] + y["n"] - 2 * need)
+
+
+def bitmap(words: Column, which: int) -> Column:
+    """64 bits: of the words whose seventh bit is ``which``, the bits that their lowest six name."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(
+        words,
+        F.lit(0).cast("long"),
+        lambda acc, w: F.when(
+            w.bitwiseAND(F.lit(64)) == 64 * which, acc.bitwiseOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63))))
+        ).otherwise(acc),
+    )
 
 
 def postings(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
-    """Rows (word, key, doc_id, line, n, at) of every set's prefix words."""
+    """Rows (word, key, doc_id, line, me) of every set's prefix words; me: (n, at, low, high)."""
     # The two projections become one; the counts are never part of a row.
     ordered = firsts.withColumn("_counts", counts).select(
-        "key", "doc_id", "line", by_rarity(F.col("words"), F.col("_counts")).alias("ordered")
-    )
+        "key", "doc_id", "line", by_rarity(F.col("words"), F.col("_counts")).alias("ordered"),
+        bitmap(F.col("words"), 0).alias("low"), bitmap(F.col("words"), 1).alias("high"),
+    )
     n = F.size("ordered")
     prefix = n - F.ceil(n * F.lit(t) - F.lit(1e-9)).cast("int") + 1
-    return ordered.select(
-        "key", "doc_id", "line", n.alias("n"), F.posexplode(F.slice("ordered", F.lit(1), prefix)).alias("at", "word")
+    rows = ordered.select(
+        "key", "doc_id", "line", "low", "high", n.alias("n"),
+        F.posexplode(F.slice("ordered", F.lit(1), prefix)).alias("at", "word"),
+    )
+    return rows.filter(F.col("word").isNotNull()).select(
+        "word", "key", "doc_id", "line", F.struct("n", "at", "low", "high").alias("me")
     )
 
 
@@ -131,39 +153,45 @@ def verify(pairs: DataFrame, firsts: DataFrame, t: float) -> DataFrame:
     )
 
 
+def earlier_pairs(rows: DataFrame, later: DataFrame, t: float) -> DataFrame:
+    """Pairs (a, b): b of ``later`` with every earlier row of its bucket that passes the filters."""
+    x = rows.select("word", F.col("key").alias("a"), F.col("rank").alias("ra"), F.col("me").alias("x"))
+    y = later.select("word", F.col("key").alias("b"), F.col("rank").alias("rb"), F.col("me").alias("y"))
+    joined = x.join(y, "word").filter((F.col("ra") < F.col("rb")) & (F.col("a") != F.col("b")))
+    return joined.filter(can_match(F.col("x"), F.col("y"), t)).select("a", "b")
+
+
 def matches(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
     """Pairs (a, b): set b is like the set a, whose first line is earlier. Every b that has
     an earlier match is found, with at least one of its matches."""
-    bucket = Window.partitionBy("word")
-    order = bucket.orderBy("doc_id", "line", "key")
-    rows = materialize(
-        postings(firsts, counts, t)
-        .withColumn("rank", F.row_number().over(order))
-        .withColumn("first", F.first(F.struct("key", "n", "at")).over(order))
-        .withColumn("size", F.count(F.lit(1)).over(bucket))
-        .filter("size > 1")
-    )
-    star = rows.filter(
-        (F.col("rank") > 1)
-        & (F.col("first.key") != F.col("key"))
-        & can_match(F.col("first.n"), F.col("first.at"), F.col("n"), F.col("at"), t)
-    ).select(F.col("first.key").alias("a"), F.col("key").alias("b"))
-    found = materialize(verify(materialize(star.distinct()), firsts, t))
-
-    # What its bucket's earliest set does not decide meets all the earlier ones.
+    order = Window.partitionBy("word").orderBy("doc_id", "line", "key")
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        first = F.first(F.struct("key", "me")).over(order)
+        return rows.withColumn("rank", F.row_number().over(order)).withColumn("first", first)
+
+    rows = ranked(postings(firsts, counts, t))
+    near = (F.col("first.key") != F.col("key")) & can_match(F.col("first.me"), F.col("me"), t)
+    star = rows.filter((F.col("rank") > 1) & near)
+    star = star.select(F.col("first.key").alias("a"), F.col("key").alias("b"), F.lit(True).alias("star"))
+    # All uses of the ranked rows read one shuffle: they need the same columns of it.
+    rest = earlier_pairs(rows.filter("rank > 1"), rows.filter((F.col("rank") > 2) & ~near), t)
+    pairs = star.union(rest.withColumn("star", F.lit(False)))
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("star").alias("star")))
+    found = materialize(verify(pairs.select("a", "b"), firsts, t))
+
+    # Sets spared some comparisons for one that has failed.
     decided = materialize(found.select(F.col("b").alias("key")).distinct())
-    later = rows.filter("size > 2 AND rank > 2").join(small(decided), "key", "left_anti")
-    earlier = rows.filter("size > 2 AND rank > 1")
-    x = earlier.select("word", F.col("key").alias("a"), F.col("rank").alias("ra"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    y = later.select("word", F.col("key").alias("b"), F.col("rank").alias("rb"), F.col("n").alias("nb"), F.col("at").alias("ib"))
-    rest = (
-        x.join(y, "word")
-        .filter((F.col("ra") < F.col("rb")) & (F.col("a") != F.col("b")))
-        .filter(can_match(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"), t))
-        .select("a", "b")
-        .distinct()
+    open_ = materialize(
+        pairs.filter("star").select(F.col("b").alias("key")).distinct().join(small(decided), "key", "left_anti")
     )
-    return found.union(verify(materialize(rest), firsts, t)).distinct()
+    if open_.isEmpty():
+        return found
+    again = postings(firsts, counts, t)
+    words = materialize(again.join(small(open_), "key", "left_semi").select("word").distinct())
+    again = ranked(again.join(small(words), "word", "left_semi"))
+    more = earlier_pairs(again, again.join(small(open_), "key", "left_semi"), t)
+    return found.union(verify(materialize(more.distinct()), firsts, t)).distinct()
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
