@@ -78,6 +78,16 @@ def test_intermediate_folders(spark, tmp_path):
     assert not list((tmp_path / "two").rglob("*.parquet")) and kept.count() == 5
 
 
+def test_collected_tables_can_be_removed(spark, tmp_path):
+    before = store.materialize(spark.range(3), str(tmp_path))
+    with store.collecting() as made:
+        store.materialize(spark.range(4), str(tmp_path))
+    store.materialize(spark.range(5), str(tmp_path))
+    assert len(made) == 1
+    store.remove(spark, made)
+    assert not list((tmp_path / "tomelight").rglob(made[0].rsplit("/", 1)[1])) and before.count() == 3
+
+
 def test_folder_of_the_session(spark):
     given = spark.conf.get("spark.checkpoint.dir")
     assert store.shared_folder(spark) == given.rstrip("/")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +94,27 @@ def application_folder(spark: SparkSession, folder: str | None = None) -> str:
     return f"{shared_folder(spark, folder)}/tomelight/{spark.sparkContext.applicationId}"
 
 
+#: Lists that the paths of tables written from now on are added to.
+collectors: list[list[str]] = []
+
+
+@contextmanager
+def collecting():
+    """Collect the paths that :func:`materialize` writes inside the block, for :func:`remove`."""
+    collectors.append([])
+    try:
+        yield collectors[-1]
+    finally:
+        collectors.pop()
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables whose readers are done."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write an intermediate table once and read it back.
 
@@ -102,6 +124,8 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{application_folder(spark, folder)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in collectors:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
