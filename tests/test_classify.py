@@ -167,3 +167,47 @@ def test_labels_and_predictions(spark, tmp_path):
 def test_built_in_questions(spark):
     counts = {r.intent: r["count"] for r in classify.built_in_test_set(spark).groupBy("intent").count().collect()}
     assert counts == {"how_to": 8, "spec_query": 7, "diagnose": 8, "safety_check": 7}
+
+
+def test_plugged_model_answers(spark):
+    questions = spark.createDataFrame(
+        [("how to reset", "how_to"), ("is it safe", "safety_check"), ("crash", "other"), (None, "other")],
+        "question string, label string",
+    ).withColumn("answer", F.lit("clash"))
+    examples = spark.createDataFrame([(0, "e")], "pos int, text string")
+
+    def make():
+        calls = []
+
+        def model(prompt):
+            calls.append(prompt)
+            if "crash" in prompt or len(calls) == 1:
+                raise RuntimeError
+            return "How_to." if "reset" in prompt else "I think safety_check"
+
+        return model
+
+    from tomelight.plans import jobs
+
+    rows, metrics = jobs.few_shot(questions.coalesce(1), examples, make, retries=1)
+    got = {r.question: (r.intent, r.failed) for r in rows.collect()}
+    assert got["how to reset"] == ("how_to", False) and got["is it safe"] == ("safety_check", False)
+    assert got["crash"][1] and got[None][1] and rows.filter("latency_ms < 0").isEmpty()
+    result = metrics.first()
+    assert result.test_set_size == 4 and result.accuracy == 1.0
+
+
+@pytest.mark.parametrize("kernel", ["rbf", "linear"])
+def test_text_to_label_job(spark, kernel):
+    from tomelight.plans import jobs
+
+    vectors = [(f"hot{i}", [1.0, 0.1 * i]) for i in range(5)] + [(f"cold{i}", [-1.0, 0.1 * i]) for i in range(5)]
+    known = spark.createDataFrame(vectors, "word string, vector array<double>")
+    rows = [(i, f"{'hot' if i % 2 else 'cold'}{i % 5} unknown word", "warm" if i % 2 else "chilly") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, label string")
+    model, metrics, table = jobs.train_text_classifier(df, known, kernel=kernel)
+    assert metrics.first().val_accuracy == 1.0 and table.count() == 60 and table.filter("NOT is_correct").isEmpty()
+    asked = spark.createDataFrame([(1, "hot1 hot2"), (2, "cold3")], "id long, text string")
+    assert {r.id: r.predicted for r in model.predict(asked).collect()} == {1: "warm", 2: "chilly"}
+    with pytest.raises(ValueError):
+        jobs.train_text_classifier(df, known, kernel="poly")

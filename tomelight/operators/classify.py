@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..functions import vectors as vx
@@ -81,6 +86,12 @@ def decode_labels(df: DataFrame, codes: DataFrame, label: str, code: str = "labe
     return lookup(df, codes.select(code, label).distinct(), code)
 
 
+def default_gamma(df: DataFrame, vector: str = "embedding") -> float:
+    """One over dimension times variance of the vectors; 1 where they do not vary."""
+    spread = df.select(F.explode(vector).alias("x")).agg(F.var_pop("x")).first()[0]
+    return 1.0 / (vx.dimension(df, vector) * spread) if spread else 1.0
+
+
 def rbf_features(
     df: DataFrame,
     vector: str = "embedding",
@@ -96,9 +107,7 @@ def rbf_features(
     gamma and seed must be given for training and prediction.
     """
     dim = vx.dimension(df, vector)
-    if gamma is None:
-        spread = df.select(F.explode(vector).alias("x")).agg(F.var_pop("x")).first()[0]
-        gamma = 1.0 / (dim * spread) if spread else 1.0
+    gamma = default_gamma(df, vector) if gamma is None else gamma
     rng = np.random.default_rng(seed)
     weights = rng.normal(scale=np.sqrt(2 * gamma), size=(dim, features))
     phases = rng.uniform(0, 2 * np.pi, size=features)
@@ -439,6 +448,47 @@ def build_prompts(
     return questions.withColumn(out, F.concat(*parts, F.lit(rest)))
 
 
+def ask(
+    df: DataFrame,
+    make_model: Callable[[], Callable[[str], str]],
+    prompt: str = "prompt",
+    retries: int = 0,
+) -> DataFrame:
+    """Add ``answer``, ``latency_ms`` and ``failed`` from a plugged model.
+
+    ``make_model`` runs once in each task and returns a function from a prompt to an
+    answer. An exception is tried again ``retries`` times and then counts as a failure
+    with the answer ``""``; the other prompts go on. A null prompt fails without a call.
+    """
+
+    def one(model: Callable[[str], str], text: str | None) -> tuple[str, float, bool]:
+        start = time.perf_counter()
+        for _ in range(retries + 1 if text is not None else 0):
+            try:
+                answer = model(text) or ""
+                return answer, (time.perf_counter() - start) * 1000, False
+            except Exception:
+                continue
+        return "", (time.perf_counter() - start) * 1000, True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = make_model()
+        for batch in batches:
+            found = [one(model, text) for text in batch.column(prompt).to_pylist()]
+            columns = zip(*found, strict=True) if found else ([], [], [])
+            added = [
+                pa.array(list(values), kind)
+                for values, kind in zip(columns, (pa.string(), pa.float64(), pa.bool_()), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names)
+
+    given = df.drop("answer", "latency_ms", "failed")
+    added_types = {"answer": T.StringType(), "latency_ms": T.DoubleType(), "failed": T.BooleanType()}
+    names = [*given.columns, *added_types]
+    fields = [*given.schema.fields, *(T.StructField(n, t) for n, t in added_types.items())]
+    return given.mapInArrow(run, T.StructType(fields))
+
+
 def evaluate_answers(
     df: DataFrame,
     true: str = "label",

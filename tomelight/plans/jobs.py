@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import chunking, corpus, retrieval, sparse, summarize
+from ..functions import text as tx
+from ..functions import vectors as vx
+from ..operators import chunking, classify, corpus, retrieval, sparse, summarize, words
 from ..sources.store import materialize
 
 
@@ -62,6 +64,81 @@ def fit_index(
     return SearchIndex(materialize(rows), vocab, n_docs, model, options)
 
 
+def few_shot(
+    questions: DataFrame,
+    examples: DataFrame,
+    make_model: Callable,
+    intents: dict[str, str] | None = None,
+    model: str = "model",
+    retries: int = 0,
+    **prompts,
+) -> tuple[DataFrame, DataFrame]:
+    """Answers of a plugged model to all questions, and their evaluation.
+
+    ``questions`` needs question and label, ``examples`` pos and text. Returns the
+    written rows with prompt, answer, latency_ms, failed and intent, and one row of metrics.
+    """
+    asked = classify.ask(
+        classify.build_prompts(questions, examples, intents=intents, **prompts), make_model, retries=retries
+    )
+    known = None if intents is None else list(intents)
+    rows = materialize(
+        classify.normalize_answers(asked, "answer", known).withColumn("model", F.lit(model))
+    )
+    return rows, classify.evaluate_answers(rows, failed="failed")
+
+
+@dataclass
+class TextClassifier:
+    """Mean word vectors, kernel features and a linear machine per class, fitted together."""
+
+    words: DataFrame
+    model: PipelineModel
+    options: dict
+    dim: int
+
+    def encode(self, df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
+        """id and features of texts."""
+        terms = df.select(id, tx.word_terms(F.coalesce(F.col(text), F.lit(""))).alias("lemmas"))
+        means = words.doc_means(terms, self.words, "lemmas", id, oov="zero", dim=self.dim)
+        return classify.rbf_features(means, **self.options) if self.options else means
+
+    def predict(self, df: DataFrame, text: str = "text", id: str = "id") -> DataFrame:
+        """id and predicted label of texts."""
+        return classify.predict(self.model, self.encode(df, text, id)).select(id, "predicted")
+
+
+def train_text_classifier(
+    df: DataFrame,
+    word_vectors: DataFrame,
+    text: str = "text",
+    label: str = "label",
+    id: str = "id",
+    kernel: str = "rbf",
+    validation_split: float = 0.2,
+    gamma: float | None = None,
+    features: int = 256,
+) -> tuple[TextClassifier, DataFrame, DataFrame]:
+    """From labelled texts to a classifier, its metrics and the prediction table.
+
+    ``kernel`` is "rbf" (random Fourier features) or "linear"; ``gamma`` defaults to 1 /
+    (dimension * variance) of the training vectors.
+    """
+    if kernel not in ("rbf", "linear"):
+        raise ValueError("kernel must be 'rbf' or 'linear'")
+    made = TextClassifier(word_vectors, None, {}, vx.dimension(word_vectors, "vector"))
+    rows = materialize(made.encode(df, text, id))
+    if kernel == "rbf":
+        gamma = classify.default_gamma(rows) if gamma is None else gamma
+        made.options = {"gamma": gamma, "features": features}
+        rows = materialize(classify.rbf_features(rows, **made.options))
+    labelled = rows.join(df.select(id, label), id)
+    made.model, metrics = classify.train_metrics(labelled, label=label, id=id, validation_split=validation_split)
+    predicted = classify.predict(made.model, rows).select(id, "predicted")
+    table = classify.prediction_table(df.join(predicted, id), text, label, "predicted")
+    return made, metrics, table
+
+
 def chunk_table(docs: DataFrame, **options) -> DataFrame:
     """Chunk documents once and number the chunks.
 
