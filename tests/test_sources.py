@@ -18,6 +18,8 @@ def test_files_and_failures(spark, tmp_path):
     assert sorted(r.filename for r in found.collect()) == ["a.pdf", "b.pdf"]
     texts = files.extract_text(found, lambda content: content.decode("utf-8")).collect()
     assert [(r.filename, r.raw_text) for r in texts] == [("a.pdf", "good text")]
+    decoded = files.decode_files(found, lambda content: content.decode("utf-8")).collect()
+    assert {r.filename: (r.error or "").split(":")[0] for r in decoded} == {"a.pdf": "", "b.pdf": "UnicodeDecodeError"}
 
 
 def test_page_texts(spark):

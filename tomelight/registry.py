@@ -458,7 +458,7 @@ def d1_windows(spark, sf):
 
 def d2_word2vec(spark, sf):
     sentences = store.materialize(words.windows(processed(spark, sf)).select("sentence"))
-    model = words.train_word2vec(sentences, vector_size=DIM, epochs=1)
+    model = words.train_word2vec(sentences)
     return words.model_vectors(model).select("word", *digest("vector"))
 
 

@@ -25,26 +25,36 @@ def list_files(spark: SparkSession, directory: str, suffix: str = ".pdf") -> Dat
     )
 
 
-def extract_text(df: DataFrame, extractor: Callable[[bytes], str]) -> DataFrame:
-    """Decode each file's bytes; a file that fails or is empty is left out.
+def decode_files(df: DataFrame, extractor: Callable[[bytes], str]) -> DataFrame:
+    """Decode each file's bytes: filename, raw_text, error (null where decoding went well).
 
-    ``extractor`` decodes one file. Returns filename, raw_text.
+    ``extractor`` decodes one file. A file that fails has the text ``""``.
     """
 
-    def decode(content: bytes) -> str:
+    def decode(content: bytes) -> tuple[str, str | None]:
         try:
-            return extractor(content) or ""
-        except Exception:
-            return ""
+            return extractor(content) or "", None
+        except Exception as error:
+            return "", f"{type(error).__name__}: {error}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = [decode(c) for c in batch["content"]]
             yield pd.DataFrame(
-                {"filename": batch["filename"], "raw_text": [decode(c) for c in batch["content"]]}
+                {
+                    "filename": batch["filename"],
+                    "raw_text": [text for text, _ in found],
+                    "error": pd.Series([error for _, error in found], index=batch.index, dtype=object),
+                }
             )
 
-    texts = df.select("filename", "content").mapInPandas(run, "filename string, raw_text string")
-    return texts.filter("raw_text <> ''")
+    schema = "filename string, raw_text string, error string"
+    return df.select("filename", "content").mapInPandas(run, schema)
+
+
+def extract_text(df: DataFrame, extractor: Callable[[bytes], str]) -> DataFrame:
+    """The texts of :func:`decode_files`; a file that fails or is empty is left out."""
+    return decode_files(df, extractor).filter("raw_text <> ''").select("filename", "raw_text")
 
 
 # The character entities decoded, in order.
