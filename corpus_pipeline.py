@@ -7,34 +7,60 @@ document with its place in a sequence.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomelight.llm import dartminhash, decontaminate, lines, packing, quality
-from tomelight.sources.store import materialize
+from tomelight.sources.store import collecting, materialize, remove
+
+#: Intermediate tables of the stage that ran last.
+pending: list[str] = []
+
+
+def stage(work: Callable) -> Callable:
+    """A stage that first removes the tables of the one before, whose result has been written."""
+
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove(spark, pending)
+        pending.clear()
+        with collecting() as made:
+            out = work(spark, docs, sf_dir)
+        pending.extend(made)
+        return out
+
+    return run_stage
 
 
+@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the usable labels, does not reject."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat earlier ones."""
     kept = lines.drop_repeated(docs).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(docs.columns)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
     return dartminhash.keep_one(docs)
 
 
+@stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in training sequences."""
     return packing.pack_documents(docs)
@@ -54,6 +80,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for _, work in STAGES[:-1]:
+        docs = materialize(work(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
