@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 from helpers import DOCS, empty, messy
 from hypothesis import given, settings
@@ -67,6 +69,56 @@ def test_against_planted_and_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == set(docs) - {d for d, _ in expected} and kept.columns == frame.columns
 
 
+@settings(deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=12), st.lists(st.lists(st.integers(-1, 4), min_size=9, max_size=9), min_size=1, max_size=4))
+def test_longest_common_against_brute_force(a, rows):
+    assert dc.longest_common(np.array(a, int), np.array(rows, int)).tolist() == [lcs(a, b) for b in rows]
+
+
+def pairs_by_brute_force(docs, items):
+    """Every stretch of every document against every part."""
+    codes = {}
+    found = set()
+    for i, item in items.items():
+        n, size = -(-len(item) // dc.PART), len(item)
+        for k in range(n):
+            part = np.array([codes.setdefault(w, len(codes)) for w in item[k * size // n : (k + 1) * size // n]])
+            longest, tail = int(dc.STRETCH * len(part)), -(-len(part) // 5)
+            for d, words in docs.items():
+                text = np.array([codes.setdefault(w, len(codes)) for w in words] + [-1] * longest)
+                stretches = np.lib.stride_tricks.sliding_window_view(text, longest)
+                alike = dc.longest_common(part, stretches) >= dc.COVERED * len(part) - 1e-9
+                if (dc.longest_common(part[-tail:], stretches[alike]) >= dc.ANSWERED * tail).any():
+                    found.add((d, i))
+    return found
+
+
+def test_rarest_words_replaced(spark):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"v{i}" for i in range(3000)]
+
+    def text(n):
+        return [vocabulary[min(int(x), 2999)] for x in rng.zipf(1.25, n)]
+
+    items = {i: [f"name{i}", f"number{i}", *text(int(rng.integers(14, 70))), f"place{i}"] for i in range(10)}
+    count = Counter(w for item in items.values() for w in item)
+    count.update(text(20_000))
+    docs = {}
+    for d in range(60):
+        words, put = text(int(rng.integers(20, 120))), list(items[d % 10])
+        rarest = sorted(range(len(put)), key=lambda k: (count[put[k]], k))
+        for k in rarest[: d // 10]:
+            put[k] = f"new{d}x{k}"
+        at = int(rng.integers(0, len(words) + 1))
+        docs[d] = [*words[:at], *put, *words[at:]]
+    docs |= {60 + d: text(200) for d in range(20)}
+    expected = pairs_by_brute_force(docs, items)
+    assert sum(d // 10 >= 3 for d, i in expected if d < 60 and i == d % 10) > 20
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], DOCS).repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(frame, bench).collect()} == expected
+
+
 def test_sketch_is_the_product_over_all_windows(spark):
     rng = np.random.default_rng(4)
     docs = [(d, " ".join(f"t{rng.integers(0, 30)}" for _ in range(int(rng.integers(0, 200))))) for d in range(40)]

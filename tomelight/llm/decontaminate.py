@@ -1,23 +1,25 @@
 """Benchmark passages in documents, found by latent semantic retrieval.
 
 Benchmark texts are cut into parts of at most ``PART`` words, the queries. Documents
-are read as windows of ``2 * BLOCK`` words, one starting every ``BLOCK`` words, over
-their whole length. Both are bags of terms weighted by inverse frequency in the
-corpus, terms being words of the benchmark (no other word can add to a query's
-similarity). A randomised SVD of all windows and queries is made in one
-distributed pass: each task adds up A'(A X) for its windows, A being the weighted
-windows and X a random matrix, and the sums are orthogonalised. A query that the
-corpus says little about is folded in as a direction of its own.
-
-A window is a candidate for a query where the cosine of their latent vectors, a
-window shorter than the query counting as if it were as long, reaches ``COSINE``.
-Before that, one number per term (its largest share in any query) gives an upper
-bound that spares most windows the projection, without losing a candidate.
+are read as windows, one starting every ``BLOCK`` words, over their whole length. Both
+are bags of terms weighted by TF-IDF (log idf, no term left out), terms being words of
+the benchmark (no other word can add to a query's similarity). A randomised SVD of all
+queries and windows of ``2 * BLOCK`` words is made in one distributed pass: each task
+adds up A'(A X) for its windows, A being the weighted windows and X a random matrix,
+and the sums are orthogonalised. A query that these directions do not hold whole is
+folded in as a direction of its own.
+
+A confirmed passage holds ``COVERED`` of a query's words, at worst those that weigh
+least. A window is a candidate for a query where the product of their latent vectors
+reaches the weight of those words (``cosine`` times the query's, if that is less) and
+that many of the query's words stand in it. A window is long enough to hold every
+stretch that starts in its first block, so whichever words of a passage are replaced,
+it is not lost before it is compared.
 
 A candidate is confirmed by the longest common subsequence of the query's words and
-the words around the window: at least ``COVERED`` of the query, inside a stretch that
-is at most ``STRETCH`` times as long, and at least ``ANSWERED`` of its answer, the words
-from ``answer`` (where the benchmark has that column) or else its last fifth.
+the words of a stretch at most ``STRETCH`` times as long: at least ``COVERED`` of the query,
+and at least ``ANSWERED`` of its answer, the words from ``answer`` (where the benchmark has
+that column) or else its last fifth. Every stretch of a candidate is compared.
 
 Defined results: null and empty texts match nothing, a part of fewer than ``LEAST``
 words is not a query, an empty benchmark finds nothing; matching ignores case and
@@ -41,9 +43,6 @@ BLOCK, PART, LEAST = 24, 48, 5
 RANK = 64
 COSINE = 0.3
 COVERED, STRETCH, ANSWERED = 0.7, 1.5, 0.5
-#: Terms that make up more than this share of all words weigh nothing, unless a
-#: query would be left with fewer than three terms.
-COMMON = 0.001
 WORD = re.compile(r"[^\W_]+")
 #: Term rows that travel together in the sums of the sketch, and their first-level groups.
 SUM_ROWS, SUM_GROUPS = 256, 64
@@ -134,15 +133,14 @@ def frequencies(coded: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
     return out[1:], int(out.sum())
 
 
-def weigh(queries: Queries, counts: np.ndarray, total: int) -> np.ndarray:
-    """Weights of terms: inverse root of frequency, 0 for common ones."""
-    inverse = 1 / np.sqrt(counts + 1.0)
-    common = counts > COMMON * total
-    kept = ~common
-    for part in queries.parts:
-        if len(set(part[~common[part]].tolist())) < 3:
-            kept[part] = True
-    return np.where(kept, inverse, 0.0).astype(np.float32)
+def weigh(counts: np.ndarray, total: int) -> np.ndarray:
+    """Weights of terms: log idf; all are above 0."""
+    return np.log1p((total + 1.0) / (counts + 1.0)).astype(np.float32)
+
+
+def needed(part: np.ndarray) -> int:
+    """The words of a query that a passage must hold."""
+    return int(np.ceil(COVERED * len(part) - 1e-9))
 
 
 def window_entries(ends: np.ndarray, flat: np.ndarray, weight: np.ndarray):
@@ -230,7 +228,7 @@ def latent_space(coded: DataFrame, queries: Queries, weight: np.ndarray, rank: i
     total += rows.T @ (rows @ random)
     basis = np.linalg.qr(total.astype(np.float64))[0]
     seen = np.linalg.norm(rows @ basis, axis=1) ** 2
-    weak = rows[seen < 0.9 * np.linalg.norm(rows, axis=1) ** 2]
+    weak = rows[seen < (1 - 1e-10) * np.linalg.norm(rows.astype(float), axis=1) ** 2]
     if len(weak):
         basis = np.linalg.qr(np.hstack([basis, weak.T]))[0]
     basis = basis.astype(np.float32)
@@ -260,75 +258,93 @@ def subsequence(query: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best, int(ends[at] - spans[at]), int(ends[at])
 
 
+def longest_common(query: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of ``query`` and each row of ``texts``."""
+    row = np.zeros((len(texts), texts.shape[1] + 1), np.int16)
+    for word in query:
+        np.maximum(row[:, 1:], np.where(texts == word, row[:, :-1] + 1, 0), out=row[:, 1:])
+        np.maximum.accumulate(row, axis=1, out=row)
+    return row[:, -1]
+
+
 def confirm(query: np.ndarray, answer: int, text: np.ndarray) -> tuple[int, int, int] | None:
-    """LCS length and stretch where they satisfy all thresholds."""
-    n = len(query)
-    longest = int(STRETCH * n)
-    found = subsequence(query, text)
-    if found[0] < COVERED * n:
+    """LCS length and place of the best stretch that starts in the first block of ``text``
+    and satisfies all thresholds."""
+    need, longest = needed(query), int(STRETCH * len(query))
+    starts = np.flatnonzero(np.isin(text[:BLOCK], query))
+    if not len(starts) or longest_common(query, text[None, :])[0] < need:
         return None
-    if found[2] - found[1] > longest:
-        # Scattered words may reach further than the passage: look in windows that fit it.
-        step = max(1, n // 8)
-        parts = [(s, subsequence(query, text[s : s + longest])) for s in range(0, len(text), step)]
-        start, found = max(parts, key=lambda x: x[1][0])
-        if found[0] < COVERED * n:
-            return None
-        found = (found[0], start + found[1], start + found[2])
-    told = subsequence(query[n - answer :], text[found[1] : found[2]])[0]
-    return found if told >= ANSWERED * answer else None
+    padded = np.concatenate([text, np.full(longest, -1, text.dtype)])
+    stretches = padded[starts[:, None] + np.arange(longest)]
+    lengths = longest_common(query, stretches)
+    for at in np.argsort(-lengths, kind="stable"):
+        if lengths[at] < need:
+            break
+        if answer and longest_common(query[len(query) - answer :], stretches[at][None, :])[0] < ANSWERED * answer:
+            continue
+        matched, begin, end = subsequence(query, stretches[at])
+        return matched, int(starts[at]) + begin, int(starts[at]) + end
+    return None
 
 
 def search(coded: DataFrame, queries: Queries, space: np.ndarray, latent: np.ndarray, weight: np.ndarray, cosine: float) -> DataFrame:
     """doc_id, item_id, matched, query_words, first_word for confirmed pairs, one row per part found."""
-    norms = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
-    unit = (latent / norms[:, None]).astype(np.float32)
+    need = np.array([needed(part) for part in queries.parts])
+    least = [np.sort(weight[part].astype(float) ** 2)[:n].sum() for part, n in zip(queries.parts, need, strict=True)]
+    least = np.minimum(least, cosine * np.linalg.norm(latent.astype(float), axis=1) ** 2)
+    #: What one occurrence of a term adds to the product with each query, 1 being enough (less rounding).
+    adds = (space @ (latent / (least * (1 - 1e-3))[:, None].astype(np.float32)).T).astype(np.float32)
     #: A term's largest share in any query: bounds a window's similarity from above.
-    share = np.zeros(len(weight), np.float32)
-    for s in range(0, len(unit), 512):
-        found = (space @ (unit[s : s + 512] / norms[s : s + 512, None]).T).max(axis=1)
-        share = np.maximum(share, found) if s else found
-    share = np.maximum(share, 0)
+    share = np.maximum(adds.max(axis=1), 0)
+    #: Words of queries, filled up with a term that no window has.
+    filled = np.full((len(need), PART), len(weight), np.int32)
+    for q, part in enumerate(queries.parts):
+        filled[q, : len(part)] = part
+    span = -(-(int(STRETCH * max(len(part) for part in queries.parts)) + BLOCK - 1) // BLOCK)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("matched", pa.int64()), ("query_words", pa.int64()), ("first_word", pa.int64())])
 
+    def spanned(own: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Sums of every block and the ``span - 1`` after it in its document."""
+        out = own.copy()
+        for k in range(1, min(span, len(own))):
+            out[:-k] += own[k:] * (of[k:] == of[:-k]).reshape(-1, *[1] * (own.ndim - 1))
+        return out
+
     def searched(batches):
+        present = np.zeros(len(weight) + 1, bool)
         for batch in batches:
             ids = batch.column("doc_id")
-            for row, ends, flat in lists(batch):
-                terms, block, of, first, after = window_entries(ends, flat, weight)
-                bound = np.bincount(block, share[terms], len(of))
-                bound[:-1] += bound[1:] * after[:-1]
-                likely = bound >= cosine
-                near = likely.copy()
-                near[1:] |= likely[:-1]
-                use = near[block]
-                where = np.cumsum(near) - 1
-                own = summed(space[terms[use]], where[block[use]], int(near.sum()))
-                out = []
-                windows = np.flatnonzero(likely)
-                for s in range(0, len(windows), 4096):
-                    part = windows[s : s + 4096]
-                    vectors = own[where[part]]
-                    more = after[part]
-                    vectors[more] += own[where[part[more] + 1]]
-                    length = np.linalg.norm(vectors, axis=1)
-                    score = vectors @ unit.T
-                    score /= np.maximum(length[:, None], norms[None, :])
-                    for w, q in zip(*np.nonzero(score >= cosine), strict=True):
-                        out.append((int(of[part[w]]), int(q), int(part[w])))
-                rows, done = [], {}
-                for doc, q, window in out:
-                    query = queries.parts[q]
-                    start = int(first[doc])
-                    low = max(0, (window - start) * BLOCK - len(query))
-                    high = min(int(ends[doc + 1] - ends[doc]), (window - start + 2) * BLOCK + len(query))
-                    if done.get((doc, q)):
+            for row, ends, flat in lists(batch, 200_000):
+                terms, block, of, first, _ = window_entries(ends, flat, weight)
+                bound = spanned(np.bincount(block, share[terms], len(of)), of)
+                best = {}
+                # Runs of blocks, each with the blocks that its last windows reach into.
+                for s in range(0, len(of), 1024):
+                    e = min(s + 1024 + span - 1, len(of))
+                    a, z = np.searchsorted(block, [s, e])
+                    if not (bound[s : s + 1024] >= 1).any():
                         continue
-                    text = flat[ends[doc] + low : ends[doc] + high]
-                    hit = confirm(query, queries.answers[q], text)
-                    if hit:
-                        done[doc, q] = True
-                        rows.append((ids[row + doc].as_py(), queries.items[q], hit[0], len(query), low + hit[1]))
+                    score = spanned(summed(adds[terms[a:z]], block[a:z] - s, e - s), of[s:e])[:1024]
+                    windows, found = np.nonzero(score >= 1)
+                    cuts = np.flatnonzero(np.diff(windows)) + 1
+                    for qs in np.split(found, cuts) if len(found) else []:
+                        window = s + int(windows[0])
+                        windows = windows[len(qs) :]
+                        doc = int(of[window])
+                        low = (window - int(first[doc])) * BLOCK
+                        text = flat[ends[doc] + low : min(ends[doc] + low + span * BLOCK, ends[doc + 1])]
+                        here = text[text >= 0]
+                        present[here] = True
+                        qs = qs[present[filled[qs]].sum(axis=1) >= need[qs]]
+                        present[here] = False
+                        for q in qs.tolist():
+                            hit = confirm(queries.parts[q], queries.answers[q], text)
+                            if hit and hit[0] > best.get((doc, q), (0,))[0]:
+                                best[doc, q] = (hit[0], low + hit[1])
+                rows = [
+                    (ids[row + doc].as_py(), queries.items[q], matched, len(queries.parts[q]), at)
+                    for (doc, q), (matched, at) in best.items()
+                ]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema
@@ -347,7 +363,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine
         return docs.sparkSession.createDataFrame([], NOTHING)
     coded = materialize(encode(docs, queries.terms))
     counts, total = frequencies(coded, len(queries.terms))
-    weight = weigh(queries, counts, total)
+    weight = weigh(counts, total)
     space, latent = latent_space(coded, queries, weight, rank)
     found = search(coded, queries, space, latent, weight, cosine)
     return found.groupBy("doc_id", "item_id").agg(
