@@ -83,12 +83,11 @@ def pairs_by_brute_force(docs, items):
         n, size = -(-len(item) // dc.PART), len(item)
         for k in range(n):
             part = np.array([codes.setdefault(w, len(codes)) for w in item[k * size // n : (k + 1) * size // n]])
-            longest, tail = int(dc.STRETCH * len(part)), -(-len(part) // 5)
+            longest = int(dc.STRETCH * len(part))
             for d, words in docs.items():
                 text = np.array([codes.setdefault(w, len(codes)) for w in words] + [-1] * longest)
                 stretches = np.lib.stride_tricks.sliding_window_view(text, longest)
-                alike = dc.longest_common(part, stretches) >= dc.COVERED * len(part) - 1e-9
-                if (dc.longest_common(part[-tail:], stretches[alike]) >= dc.ANSWERED * tail).any():
+                if (dc.longest_common(part, stretches) >= dc.COVERED * len(part) - 1e-9).any():
                     found.add((d, i))
     return found
 
@@ -149,6 +148,27 @@ def test_answers_must_be_told(spark):
     assert [(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()] == [(1, 5)]
 
 
+def test_cut_passages_are_found(spark):
+    items = {i: [f"i{i}w{k}" for k in range(20 + 4 * i)] for i in range(8)}
+    docs = {}
+    for i, item in items.items():
+        cut = int(0.15 * len(item))
+        docs |= {10 * i: item[cut:], 10 * i + 1: item[:-cut], 10 * i + 2: item[cut:-cut], 10 * i + 3: item[: len(item) // 2]}
+    frame = spark.createDataFrame([(d, " ".join(["before", *w, "after"])) for d, w in docs.items()], DOCS)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], ITEMS)
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(frame, bench).collect()}
+    assert found == {(10 * i + k, i) for i in items for k in range(3)}
+
+
+def test_answer_over_two_parts(spark):
+    asked, answer = [f"q{i}" for i in range(30)], [f"a{i}" for i in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(asked)), (2, " ".join(answer[18:]))], DOCS)
+    bench = spark.createDataFrame([(5, " ".join(asked), " ".join(answer))], "item_id long, text string, answer string")
+    queries = dc.read_queries(bench)
+    assert [len(p) for p in queries.parts] == [45, 45] and queries.answers == [15, 45]
+    assert [r.doc_id for r in dc.contaminated(docs, bench).collect()] == [2]
+
+
 def test_messy_rows(spark):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "too short"), (None, "a plain line of words second line"), (4, "a plain line of words second line"), (4, "a plain line of words second line")], ITEMS)
     df = messy(spark)

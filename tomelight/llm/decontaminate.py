@@ -17,9 +17,10 @@ stretch that starts in its first block, so whichever words of a passage are repl
 it is not lost before it is compared.
 
 A candidate is confirmed by the longest common subsequence of the query's words and
-the words of a stretch at most ``STRETCH`` times as long: at least ``COVERED`` of the query,
-and at least ``ANSWERED`` of its answer, the words from ``answer`` (where the benchmark has
-that column) or else its last fifth. Every stretch of a candidate is compared.
+the words of a stretch at most ``STRETCH`` times as long: at least ``COVERED`` of the query
+and, where the benchmark has the column ``answer``, at least ``ANSWERED`` of the answer's words
+in the part; parts without such words are decided by the query alone. Every stretch of
+a candidate is compared.
 
 Defined results: null and empty texts match nothing, a part of fewer than ``LEAST``
 words is not a query, an empty benchmark finds nothing; matching ignores case and
@@ -77,8 +78,7 @@ def read_queries(benchmark: DataFrame) -> Queries:
             if len(part) >= LEAST and row["item_id"] is not None:
                 found.parts.append(part)
                 found.items.append(row["item_id"])
-                last = i == n - 1 and len(answer)
-                found.answers.append(min(len(answer), len(part)) if last else -(-len(part) // 5))
+                found.answers.append(min(max((i + 1) * len(ids) // n - len(asked), 0), len(part)))
     return found
 
 
