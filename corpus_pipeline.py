@@ -44,7 +44,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat earlier ones."""
-    kept = lines.drop_repeated(docs).withColumn("n_chars", F.length("text").cast("long"))
+    kept = lines.drop_repeated(docs, least=1).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(docs.columns)
 
 

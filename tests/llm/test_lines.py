@@ -99,6 +99,26 @@ def test_messy_rows(spark):
     assert lines.drop_repeated(empty(spark)).collect() == []
 
 
+def test_lines_of_few_words(spark):
+    rows = corpus(7)
+    rows += [(1000 + i, f"one\n{'again ' * 50}\ntwo words\nwords  two\n\n--\nthree short words\nthree short") for i in range(30)]
+    expected = brute(rows, least=1)
+    assert expected[-1][1:] == ("\n--", 6) and expected[-30][2] == 1
+    assert result(spark.createDataFrame(rows, DOCS).repartition(5), least=1) == expected
+
+
+def test_every_line_of_the_registered_query(spark, tmp_path):
+    import corpus_pipeline
+    from tomelight.llm import queries
+
+    rows = [(1, "one\none two\n\none"), (2, "one two\n\nrest of it all\nONE!")]
+    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "length(text) as n_chars")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    left = [(1, "one\none two\n"), (2, "\nrest of it all")]
+    assert sorted((r.doc_id, r.text) for r in queries.op8_lines(spark, str(tmp_path)).collect()) == left
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.line_dedup(spark, df, "").select("doc_id", "text").collect()) == left
+
+
 def test_main_path_is_native(spark):
     df = spark.createDataFrame(corpus(), DOCS)
     for made in (lines.line_sets(df, 3), lines.repeated_lines(df), lines.drop_repeated(df)):

@@ -19,8 +19,12 @@ over all lines kept in a table of fixed size. Any fixed order of words gives the
 result, only slower or faster. Lists of keys are broadcast up to a checked number
 of rows and joined by shuffle beyond it.
 
-Defined results: null text stays null; a line of fewer than ``LEAST`` distinct words is
-kept and compared with none; documents with a null doc_id are left as they are and
+A set so small that one word more or less makes it unlike (one to three words at 0.8) can
+only repeat an equal set: it is decided by its key and has no prefix words.
+
+Defined results: null text stays null; a line of fewer than ``least`` distinct words is
+kept and compared with none (the registered query and the pipeline pass 1: only lines
+without words stay); documents with a null doc_id are left as they are and
 make no other line go; rows with the same doc_id and text are one document; a
 document that loses all its lines has the empty text. Line ends are line feeds.
 """
@@ -98,6 +102,11 @@ def least_shared(n: Column, m: Column, t: float) -> Column:
     return F.ceil((n + m) * F.lit(t / (1 + t)) - F.lit(1e-9))
 
 
+def can_differ(n: Column, t: float) -> Column:
+    """Whether a set of this size is like any other than its equal: at best one word more or less."""
+    return n >= (n + 1) * F.lit(t) - 1e-8
+
+
 def can_match(x: Column, y: Column, t: float) -> Column:
     """Length, positional and bitmap filter for two structs (n, at, low, high) of one bucket."""
     need = least_shared(x["n"], y["n"], t)
@@ -122,7 +131,7 @@ def bitmap(words: Column, which: int) -> Column:
 def postings(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
     """Rows (word, key, doc_id, line, me) of every set's prefix words; me: (n, at, low, high)."""
     # The two projections become one; the counts are never part of a row.
-    ordered = firsts.withColumn("_counts", counts).select(
+    ordered = firsts.filter(can_differ(F.size("words"), t)).withColumn("_counts", counts).select(
         "key", "doc_id", "line", by_rarity(F.col("words"), F.col("_counts")).alias("ordered"),
         bitmap(F.col("words"), 0).alias("low"), bitmap(F.col("words"), 1).alias("high"),
     )

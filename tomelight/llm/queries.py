@@ -48,7 +48,7 @@ def op7_dartminhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.drop_repeated(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+    return lines.drop_repeated(table(spark, sf, "documents"), least=1).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
