@@ -19,6 +19,7 @@ HEADLINE = [
     "c4_tfidf",
     "c8_similarity_edges",
     "c9_similar_docs",
+    "d2_word2vec",
     "d3_subwords",
     "d7_similar_words",
     "d8_doc_means",
