@@ -12,7 +12,7 @@ from tomelight.llm import packing, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
-ROW_PER_DOCUMENT = ["op1_fingerprints", "op4_quality", "op6_token_files", "op7_dartminhash", "op8_lines"]
+ROW_PER_DOCUMENT = ["op1_fingerprints", "op4_quality", "op6_token_files", "op7_dartminhash", "op8_lines", "op11_alignment", "op13_simhash"]
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
 
@@ -28,7 +28,7 @@ def duck():
 def test_registered():
     names = set(queries.queries()) | {"pipeline"}
     assert names <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))

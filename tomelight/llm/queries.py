@@ -6,10 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, dartminhash, decontaminate, licenses, lines, packing, quality, syncmers, token_files, warc
-
+from . import (
+    alignment,
+    chat,
+    dartminhash,
+    decontaminate,
+    licenses,
+    lines,
+    maxsketch,
+    packing,
+    quality,
+    simhash,
+    syncmers,
+    token_files,
+    warc,
+)
 
 TOKENIZER = "word_bpe_49k.json"
+#: The two tokenizers that are aligned.
+PAIR = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -61,6 +76,19 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in PAIR)
+    return alignment.align_documents(table(spark, sf, "documents"), a, b)
+
+
+def op12_maxsketch(spark: SparkSession, sf: str) -> DataFrame:
+    return maxsketch.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf, "documents"))
+
+
 def queries() -> dict:
     found = [
         op1_fingerprints,
@@ -73,6 +101,9 @@ def queries() -> dict:
         op8_lines,
         op9_warc,
         op10_decontaminate,
+        op11_alignment,
+        op12_maxsketch,
+        op13_simhash,
     ]
     return {query.__name__: query for query in found}
 
@@ -128,5 +159,36 @@ FROM g
 """
 
 
+RANKED_SQL = r"""
+WITH t AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), f AS (
+    SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term
+), d AS (
+    SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id
+), s AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d
+), q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM f, s WHERE term IN (SELECT term FROM q) GROUP BY term, docs
+), r AS (
+    SELECT item_id, f.doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+    FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (doc_id), s GROUP BY item_id, f.doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": CHAT_SQL, "op9_warc": WARC_SQL}
+    return {"op3_chat": CHAT_SQL, "op9_warc": WARC_SQL, "op12_maxsketch": RANKED_SQL}
