@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tomelight.operators import chunking
+from tomelight.sources import store
 
 
 def pieces(spark, text, **sizes):
@@ -109,5 +110,18 @@ def test_chunk_table_and_ids(spark):
     assert [(r.doc_id, r.chunk_index) for r in rows] == sorted((r.doc_id, r.chunk_index) for r in rows)
     assert {r.doc_id for r in rows} == {2**50, 3, -4, 2**21}
     assert all(r.num_words == len(r.chunk_text.split()) for r in rows)
+    placed = chunking.number_in_order(store.materialize(chunking.chunk_in_order(df)))
+    assert sorted(placed.select(chunking.number_chunks(chunking.chunk(df)).columns).collect()) == sorted(
+        chunking.number_chunks(chunking.chunk(df)).collect()
+    )
     texts = {r.doc_id: r.text for r in chunking.reassemble(chunking.chunk(df)).collect()}
     assert texts[3] == word_text(120) and texts[2**50].count("\n\n") == 1
+
+
+def test_numbering_moves_no_chunk_text(spark):
+    df = spark.createDataFrame([(i, f"f{i}", word_text(200 * i)) for i in range(9)], "doc_id long, filename string, clean_text string")
+    made = chunking.chunk_in_order(df)
+    exchanged = [x for x in made._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert len(exchanged) == 1 and "rangepartitioning(doc_id" in exchanged[0]
+    text = chunking.number_in_order(store.materialize(made))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "chunk_text" not in "".join(x for x in text.splitlines() if "Exchange" in x)

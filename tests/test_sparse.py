@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tomelight.operators import sparse, topk
+from tomelight.operators import simjoin, sparse, topk
 
 DOCS = [(1, ["x", "y"]), (2, ["x"]), (3, ["z", "z"])]
 
@@ -127,8 +127,12 @@ def test_similar_matches_brute_force(random_rows, blocks):
     assert found == brute(sims, 4)
 
 
-@pytest.mark.parametrize("block_rows", [2048, 9])
-def test_edges_match_brute_force(random_rows, block_rows):
+@pytest.mark.parametrize(
+    "options", [{}, {"method": "grid"}, {"method": "grid", "block_rows": 9}, {"method": "index"}, {"method": "index", "list": 4}]
+)
+def test_edges_match_brute_force(random_rows, options, monkeypatch):
+    options = dict(options)
+    monkeypatch.setattr(simjoin, "LIST", options.pop("list", simjoin.LIST))
     df, sims = random_rows
     copies = set(range(41, 70))
     expected = {
@@ -139,11 +143,52 @@ def test_edges_match_brute_force(random_rows, block_rows):
     }
     found = {
         (r.left_id, r.right_id): (round(r.cosine, 6), r.left_copies, r.right_copies)
-        for r in sparse.similarity_edges(df, 0.5, block_rows=block_rows).collect()
+        for r in sparse.similarity_edges(df, 0.5, **options).collect()
     }
     assert found == expected
 
 
+@pytest.mark.parametrize("floor", [0.2, 0.6, 0.95])
+def test_index_finds_every_pair_of_a_wide_vocabulary(spark, floor, monkeypatch):
+    monkeypatch.setattr(simjoin, "LIST", 25)
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(260):
+        n = int(rng.integers(1, 30))
+        terms = np.unique(np.concatenate([rng.zipf(1.3, n) % 3000, [0] if i % 3 else [7]]))  # 0: a term of most rows
+        rows.append([i, terms, rng.random(len(terms)) + 0.01])
+        if i % 10 == 0:
+            noise = rng.random(len(terms)) * 0.3
+            rows.append([1000 + i, terms, rows[-1][2] + noise])
+    rows += [[2000, np.zeros(0, int), np.zeros(0)], [2001, np.array([5]), np.array([1.0])], [2002, np.array([5]), np.array([9.0])]]
+    matrix = np.zeros((len(rows), 3001))
+    for k, (_, t, w) in enumerate(rows):
+        matrix[k, t] = w
+    norms = np.sqrt((matrix**2).sum(1))
+    unit = matrix / np.where(norms == 0, 1, norms)[:, None]
+    cosine = np.round(unit @ unit.T, 6)
+    ids = [r[0] for r in rows]
+    expected = {
+        (min(ids[i], ids[j]), max(ids[i], ids[j])): cosine[i, j]
+        for i in range(len(ids)) for j in range(i) if cosine[i, j] >= floor
+    }
+    df = spark.createDataFrame([(i, t.tolist(), w.tolist()) for i, t, w in rows], "id long, terms array<int>, weights array<double>")
+    found = {(r.left_id, r.right_id): round(r.cosine, 6) for r in simjoin.pairs_at_least(df, floor, "index").collect()}
+    assert found == pytest.approx(expected, abs=2e-6) and set(found) == set(expected)
+
+
+def test_index_carries_prefixes_only(spark):
+    """A row is listed under the terms from which on its norm reaches the floor."""
+    rows = spark.createDataFrame(
+        [(i, [0, 1, 10 + i], [1.0, 1.0, 6.0]) for i in range(40)], "id long, terms array<int>, weights array<double>"
+    )
+    listed = simjoin.prefixes(rows, 0.5)
+    assert {r.term for r in listed.collect()} == {10 + i for i in range(40)}
+    assert simjoin.pairs_at_least(rows, 0.5).collect() == []
+    with pytest.raises(ValueError):
+        simjoin.pairs_at_least(rows, 0.5, "other")
+
+
 def test_string_ids_and_large_query_grid(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(60, 5))

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tomelight.operators import words
+from tomelight.operators import blocks, skipgram, words
 from tomelight.sources import files, store
 
 
@@ -86,16 +86,125 @@ def test_select_words(spark, vectors):
     assert [r.word for r in words.select_words(vectors, chosen=["a", "zz"]).collect()] == ["a"]
 
 
-def test_train_and_store_word2vec(spark, tmp_path):
-    from pyspark.ml.feature import Word2VecModel
-
-    df = spark.createDataFrame([(["a", "b", "c"],)] * 20 + [(["rare", "a"],)], "sentence array<string>")
-    model = words.train_word2vec(df, vector_size=4, epochs=1, partitions=1)
-    table = words.model_vectors(model)
-    assert {r.word for r in table.collect()} == {"a", "b", "c"}
-    store.save_model(model, str(tmp_path / "w2v"))
-    again = Word2VecModel.load(str(tmp_path / "w2v"))
-    assert words.model_vectors(again).count() == 3
+def test_subwords_of_unseen_words_alone(spark):
+    """Without a gram table only the n-grams that unseen words need are made."""
+    rng = np.random.default_rng(0)
+    known = {w: rng.normal(size=3) for w in ["pump", "pumps", "jump", "valve", "ab"]}
+    df = spark.createDataFrame([(w, [float(x) for x in v]) for w, v in known.items()], "word string, vector array<double>")
+    wanted = spark.createDataFrame([("pumped",), ("valve",), ("qqq",), ("jumps",)], "word string")
+    whole = {r.word: tuple(r.vector) for r in words.with_subwords(wanted, df, words.subword_vectors(df)).collect()}
+    assert {r.word: pytest.approx(r.vector) for r in words.with_subwords(wanted, df).collect()} == whole
+
+
+@pytest.mark.parametrize("limits", [{}, {"block_values": 6, "part_edges": 5}])
+def test_weighted_sums(spark, limits):
+    rng = np.random.default_rng(5)
+    vectors = {f"w{i}": rng.normal(size=3) for i in range(9)}
+    edges = [(int(k), f"w{int(w)}", float(x)) for k, w, x in zip(rng.integers(0, 7, 60), rng.integers(0, 12, 60), rng.random(60))]
+    edges += [(None, "w1", 1.0), (3, None, 1.0), (99, "unknown", 1.0)]
+    table = spark.createDataFrame([(w, [float(x) for x in v]) for w, v in vectors.items()], "word string, vector array<double>")
+    rows = spark.createDataFrame(edges, "id long, word string, weight double")
+    sums, n = {}, {}
+    for k, w, x in edges:
+        if k is not None and w in vectors:
+            sums[k] = sums.get(k, 0) + x * vectors[w]
+            n[k] = n.get(k, 0) + x
+    got = {r.id: r for r in blocks.weighted_sums(rows, table, 3, "id", **limits).collect()}
+    assert set(got) == set(sums)
+    assert all(got[k].sums == pytest.approx(list(sums[k])) and got[k].n == pytest.approx(n[k]) for k in got)
+    assert blocks.weighted_sums(rows.limit(0), table, 3, "id").collect() == []
+    assert blocks.weighted_sums(rows, table.limit(0), 3, "id").collect() == []
+
+
+def test_no_vector_per_document_and_word_is_shuffled(spark, vectors):
+    df = spark.createDataFrame([(1, ["a", "b"])], "doc_id long, lemmas array<string>")
+    text = words.doc_means(df, vectors, dim=2)._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in text.splitlines() if "Exchange" in line]
+    assert "FlatMapCoGroupsInArrow" in text and exchanged and "vector" not in " ".join(exchanged)
+
+
+def topics(seed=0, n=400):
+    """Sentences of two topics; words of one topic occur together."""
+    rng = np.random.default_rng(seed)
+    names = [[f"{t}{i}" for i in range(12)] for t in "xy"]
+    return [([str(w) for w in rng.choice(names[i % 2], 8)],) for i in range(n)] + [(["rare", "x1", "x2"],)]
+
+
+def cosine_of(vectors, a, b):
+    x, y = vectors[a], vectors[b]
+    return float(x @ y / np.linalg.norm(x) / np.linalg.norm(y))
+
+
+def apart(vectors):
+    """Share of words whose nearest word is of their own topic."""
+    names = [w for w in vectors if w[0] in "xy" and w[1:].isdigit()]
+    near = [max((o for o in names if o != w), key=lambda o: cosine_of(vectors, w, o)) for w in names]
+    return np.mean([a[0] == b[0] for a, b in zip(names, near)])
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_skipgram_brings_words_of_a_topic_together(spark, parts):
+    df = spark.createDataFrame(topics(), "sentence array<string>")
+    options = dict(vector_size=16, sample=None, parts=parts, epochs=12, rate=0.05)
+    table, grams = skipgram.train(df, **options)
+    rows = table.collect()
+    vectors = {r.word: np.array(r.vector) for r in rows}
+    counts = {r.word: r.n for r in rows}
+    assert grams is None and "rare" not in vectors and len(vectors) == 24
+    assert all(len(v) == 16 and np.isfinite(v).all() for v in vectors.values())
+    assert counts["x1"] == sum(s.count("x1") for (s,) in topics())
+    assert apart(vectors) == 1.0
+
+
+def test_skipgram_with_subwords_places_unseen_words(spark):
+    rng = np.random.default_rng(2)
+    stems = [[f"{t}{c}" for c in ("ing", "ed", "er", "ers", "able", "ly", "ful")] for t in ("pump", "glow")]
+    sentences = [([str(w) for w in rng.choice(stems[i % 2], 8)],) for i in range(300)]
+    df = spark.createDataFrame(sentences, "sentence array<string>")
+    table, grams = skipgram.train(df, vector_size=12, sample=None, parts=2, epochs=8, buckets=500, rate=0.05)
+    table, grams = store.materialize(table), store.materialize(grams)
+    assert grams.filter("bucket < 0 OR bucket >= 500").isEmpty()
+    wanted = spark.createDataFrame([("pumps",), ("glowy",), ("pumping",), ("zz",)], "word string")
+    found = {r.word: r for r in skipgram.vectors_of(wanted, table, grams, 500, 12).collect()}
+    assert {w for w, r in found.items() if r.trained} == {"pumping"}
+    vectors = {w: np.array(r.vector) for w, r in found.items()}
+    assert cosine_of(vectors, "pumps", "pumping") > cosine_of(vectors, "glowy", "pumping") + 0.2
+    assert len(found["zz"].vector) == 12
+
+
+def test_skipgram_of_nothing(spark, monkeypatch):
+    df = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "sentence array<string>")
+    assert skipgram.train(df, vector_size=3, epochs=1)[0].collect() == []
+    with pytest.raises(ValueError):
+        skipgram.train(df, epochs=0)
+
+
+def test_averages_are_weighted_by_occurrences(spark, monkeypatch):
+    monkeypatch.setattr(skipgram, "MERGE", 2)
+    rng = np.random.default_rng(4)
+    rows = [(p, u, float(rng.integers(1, 9)), [float(x) for x in rng.normal(size=4)]) for p in range(7) for u in range(-3, 40)]
+    df = spark.createDataFrame(rows, "part int, unit long, times double, v array<float>").repartition(5)
+    for parts in (1, 7):
+        got = {r.unit: r.v for r in skipgram.averaged(df, parts).collect()}
+        for unit in range(-3, 40):
+            own = [(t, np.array(v)) for _, u, t, v in rows if u == unit]
+            mean = sum(t * v for t, v in own) / sum(t for t, _ in own)
+            assert got[unit] == pytest.approx(list(mean), abs=1e-5)
+        assert len(got) == 43
+
+
+def test_steps_follow_the_gradient():
+    """One step on one pair moves the score up, one on a drawn word down; shared rows add up."""
+    settings = skipgram.Settings(4, 2, 5, 0.1, None, 1, 1)
+    rng = np.random.default_rng(0)
+    part = skipgram.Part(rng.normal(size=(3, 4)).astype("f"), rng.normal(size=(3, 4)).astype("f"), np.ones(3), 3, None, settings)
+    before = part.inputs @ part.outputs.T
+    part.step(np.array([0, 0]), np.array([1, 1]), np.array([2]), np.float32(0.05))
+    after = part.inputs @ part.outputs.T
+    assert after[0, 1] > before[0, 1] and after[0, 2] < before[0, 2]
+    matrix = np.zeros((3, 2), np.float32)
+    skipgram.add_rows(matrix, np.array([2, 0, 2]), np.ones((3, 2), np.float32))
+    assert matrix.tolist() == [[1, 1], [0, 0], [2, 2]]
 
 
 def test_pca_is_centred(spark):

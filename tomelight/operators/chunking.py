@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -173,6 +173,30 @@ def chunk(
     )
 
 
+def chunk_in_order(df: DataFrame, text: str = "clean_text", id: str = "doc_id", **options) -> DataFrame:
+    """The chunks of :func:`chunk` with their place, for :func:`number_in_order`.
+
+    Documents are dealt by ranges of ``id`` before they are cut, so chunks never move:
+    ``_part`` is the task that makes a chunk and ``_row`` its place there.
+    """
+    ordered = df.repartitionByRange(id).sortWithinPartitions(id)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    return chunk(ordered, text, id, **options).select("*", F.spark_partition_id().alias("_part"), row.alias("_row"))
+
+
+def number_in_order(written: DataFrame) -> DataFrame:
+    """Add the global sequential ``chunk_id`` in document order to a written :func:`chunk_in_order`.
+
+    The parts' counts, one row per task that wrote, are added up and sent back;
+    no chunk text is shuffled.
+    """
+    counts = written.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    numbered = written.join(F.broadcast(starts), "_part")
+    return numbered.withColumn("chunk_id", F.col("_start") + F.col("_row")).drop("_part", "_row", "_start")
+
+
 def number_chunks(chunks: DataFrame, id: str = "doc_id") -> DataFrame:
     """Add the global sequential ``chunk_id`` in document order.
 

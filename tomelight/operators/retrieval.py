@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.constants import SCOPE_ALL, SCOPE_ONE, STATS_SCOPE_ALL
 from ..sources.store import materialize
-from . import contextual, sparse, topk
+from . import contextual, postings, sparse, topk
 from .joins import is_small, salted_join
 
 METHODS = ("sbert", "tfidf", "hybrid")
@@ -111,8 +111,16 @@ def search_dense(queries: DataFrame, index: DataFrame, k: int = 5, **blocks) ->
     )
 
 
-def search_lexical(queries: DataFrame, index: DataFrame, k: int = 5, **blocks) -> DataFrame:
-    """Top k by TF-IDF cosine; chunks without a common term fill up with score 0."""
+def search_lexical(
+    queries: DataFrame, index: DataFrame, k: int = 5, lists: postings.Postings | None = None, **blocks
+) -> DataFrame:
+    """Top k by TF-IDF cosine; chunks without a common term fill up with score 0.
+
+    With ``lists`` (:func:`postings.build` of the same rows) the work follows the posting lists
+    of the queries' terms; without, every row is read.
+    """
+    if lists is not None:
+        return postings.search(queries, lists, k).withColumnRenamed("item_id", "chunk_id")
     found = topk.best(
         topk.side(queries, "query_id", None, "terms", "weights"),
         topk.side(index, "chunk_id", None, "terms", "weights"),

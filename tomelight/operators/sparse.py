@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..sources.store import materialize
-from . import topk
+from . import simjoin, topk
 from .joins import salted_join
 
 
@@ -288,14 +288,14 @@ def copy_groups(rows: DataFrame, id: str = "doc_id") -> DataFrame:
 
 
 def similarity_edges(
-    rows: DataFrame, min_cosine: float, id: str = "doc_id", **blocks
+    rows: DataFrame, min_cosine: float, id: str = "doc_id", **options
 ) -> DataFrame:
     """The similarity matrix at or above ``min_cosine``, without writing it out twice.
 
     Identical rows are one vertex, named by the smallest id and weighted by the
     number of copies, so a large set of copies yields no pairs among itself;
-    :func:`copy_groups` lists its members. Returns left_id, right_id, cosine,
-    left_copies, right_copies.
+    :func:`copy_groups` lists its members. ``options`` go to :func:`simjoin.pairs_at_least`.
+    Returns left_id, right_id, cosine, left_copies, right_copies.
     """
     vertices = materialize(
         rows.groupBy(content_key().alias("_content"))
@@ -306,8 +306,8 @@ def similarity_edges(
         )
         .select(id, "_row.terms", "_row.weights", "copies")
     )
-    edges = topk.pairs_at_least(
-        topk.side(vertices, id, None, "terms", "weights"), min_cosine, **blocks
+    edges = simjoin.pairs_at_least(
+        topk.side(vertices, id, None, "terms", "weights"), min_cosine, **options
     )
     left = vertices.select(F.col(id).alias("left_id"), F.col("copies").alias("left_copies"))
     right = vertices.select(F.col(id).alias("right_id"), F.col("copies").alias("right_copies"))

@@ -1,13 +1,13 @@
-"""Word vectors: training, look-up, out-of-vocabulary reports, document means.
+"""Word vectors: windows to train on, look-up, out-of-vocabulary reports, document means.
 
-A word-vector table has the columns word and vector.
+A word-vector table has the columns word and vector; :mod:`skipgram` trains one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, StandardScaler, Word2Vec, Word2VecModel
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import vectors as vx
 from ..sources.store import materialize
-from . import topk
+from . import blocks, topk
 from .joins import salted_join
 
 OOV_SAMPLE = 50
@@ -34,35 +34,6 @@ def windows(
     )
 
 
-def train_word2vec(
-    sentences: DataFrame,
-    column: str = "sentence",
-    vector_size: int = 100,
-    window: int = 5,
-    min_count: int = 2,
-    epochs: int = 10,
-    seed: int = 42,
-    partitions: int | None = None,
-) -> Word2VecModel:
-    """Skip-gram training; every iteration runs over ``partitions`` tasks."""
-    spread = partitions or sentences.sparkSession.sparkContext.defaultParallelism
-    return Word2Vec(
-        vectorSize=vector_size,
-        windowSize=window,
-        minCount=min_count,
-        maxIter=epochs,
-        seed=seed,
-        numPartitions=spread,
-        inputCol=column,
-        outputCol="vector",
-    ).fit(sentences)
-
-
-def model_vectors(model: Word2VecModel) -> DataFrame:
-    """The word-vector table of a trained model."""
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
-
-
 def subwords(word: Column, min_n: int = 3, max_n: int = 6) -> Column:
     """Distinct character n-grams of ``<word>``."""
 
@@ -77,25 +48,29 @@ def subwords(word: Column, min_n: int = 3, max_n: int = 6) -> Column:
     return tx.let(F.concat(F.lit("<"), word, F.lit(">")), all_grams)
 
 
-def subword_vectors(words: DataFrame, min_n: int = 3, max_n: int = 6) -> DataFrame:
+def subword_vectors(
+    words: DataFrame, min_n: int = 3, max_n: int = 6, among: DataFrame | None = None
+) -> DataFrame:
     """Each n-gram's vector is the mean over the words that contain it: gram, vector, n_words.
 
-    Means are combined before the shuffle, so a gram found in most words is one
-    partial row per task.
+    ``among`` (a gram column) names the n-grams that are wanted; all by default.
     """
-    rows = words.select(
-        F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram"), "vector"
-    )
-    mean = vx.means(F.col("vector"), vx.dimension(words, "vector"))
-    return rows.groupBy("gram").agg(mean.alias("vector"), F.count(F.lit(1)).alias("n_words"))
+    listed = words.select("word", F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram"))
+    if among is not None:
+        listed = listed.join(among.select("gram").distinct(), "gram", "left_semi")
+    dim = vx.dimension(words, "vector")
+    sums = blocks.weighted_sums(listed.withColumn("weight", F.lit(1)), words, dim, "gram")
+    mean = F.transform("sums", lambda x: x / F.col("n"))
+    return sums.select("gram", mean.alias("vector"), F.col("n").cast("long").alias("n_words"))
 
 
 def with_subwords(
-    wanted: DataFrame, words: DataFrame, grams: DataFrame, min_n: int = 3, max_n: int = 6
+    wanted: DataFrame, words: DataFrame, grams: DataFrame | None = None, min_n: int = 3, max_n: int = 6
 ) -> DataFrame:
     """Vectors for any word: its own when trained, else the mean of its known n-grams.
 
-    ``wanted`` has a word column. A word without a known n-gram gets zeros.
+    ``wanted`` has a word column. A word without a known n-gram gets zeros. Without
+    ``grams`` the vectors of the n-grams that unseen words need are made from ``words``.
     """
     dim = vx.dimension(words, "vector")
     asked = wanted.select("word").distinct().join(words, "word", "left")
@@ -104,8 +79,11 @@ def with_subwords(
             "word", F.explode(subwords(F.col("word"), min_n, max_n)).alias("gram")
         )
     )
-    parts = salted_join(unseen, grams.select("gram", "vector"), "gram", "word", how="inner")
-    built = parts.groupBy("word").agg(vx.means(F.col("vector"), dim).alias("built"))
+    if grams is None:
+        grams = materialize(subword_vectors(words, min_n, max_n, unseen))
+    edges = unseen.withColumn("weight", F.lit(1))
+    sums = blocks.weighted_sums(edges, grams, dim, "word", word="gram")
+    built = sums.select("word", F.transform("sums", lambda x: x / F.col("n")).alias("built"))
     return asked.join(built, "word", "left").select(
         "word",
         F.coalesce(vx.as_double(F.col("vector")), "built", vx.zeros(dim)).alias("vector"),
@@ -202,19 +180,20 @@ def doc_means(
 
     ``oov="skip"`` averages known words only, ``oov="zero"`` counts an unknown
     word as zeros. A document without known words gets zeros. Terms are counted
-    in the row first, so a document sends each distinct word once.
+    in the row first, so a document sends each distinct word once, and only sums
+    of vectors leave a task.
     """
     if oov not in ("skip", "zero"):
         raise ValueError("oov must be 'skip' or 'zero'")
     dim = vx.dimension(words, "vector") if dim is None else dim
-    counted = df.select(id, F.inline_outer(tx.term_counts(F.col(terms), "word")))
-    found = salted_join(counted, words.select("word", "vector"), "word", id)
-    tf = F.col("tf") if oov == "zero" else F.when(F.col("vector").isNotNull(), F.col("tf"))
-    totals = found.groupBy(id).agg(
-        vx.sums(F.col("vector"), dim, F.col("tf")).alias("_sum"),
-        F.greatest(F.coalesce(F.sum(tf), F.lit(1)), F.lit(1)).alias("_n"),
-    )
-    return totals.select(id, F.transform("_sum", lambda x: x / F.col("_n")).alias("embedding"))
+    present = F.filter(F.coalesce(F.col(terms), F.array().cast("array<string>")), lambda t: t.isNotNull())
+    rows = df.select(id, present.alias("_terms"))
+    counted = rows.select(id, F.inline(tx.term_counts(F.col("_terms"), "word")))
+    sums = blocks.weighted_sums(counted, words, dim, id, weight="tf")
+    every = rows.groupBy(id).agg(F.sum(F.size("_terms")).alias("_all"))
+    number = F.greatest(F.coalesce(F.col("_all") if oov == "zero" else F.col("n"), F.lit(1)), F.lit(1))
+    mean = F.transform(F.coalesce("sums", vx.zeros(dim)), lambda x: x / number)
+    return every.join(sums, id, "left").select(id, mean.alias("embedding"))
 
 
 def select_words(

@@ -574,6 +574,11 @@ FROM {side.format("bow")} a FULL OUTER JOIN {side.format("weight")} b ON a.rank
 SELECT doc_id, (start // 10)::INTEGER AS pos, array_to_string(lemmas[start + 1 : start + 10], ' ') AS sentence
 FROM (SELECT doc_id, lemmas, unnest(range(0, len(lemmas), 10)) AS start FROM processed)
 WHERE len(lemmas[start + 1 : start + 10]) > 2"""
+    sql["d2_vocabulary"] = f"""WITH {ANALYZED}
+SELECT word, count(*) AS n, 100 AS dim FROM (
+  SELECT unnest(lemmas[start + 1 : start + 10]) AS word
+  FROM (SELECT lemmas, unnest(range(0, len(lemmas), 10)) AS start FROM processed) WHERE len(lemmas[start + 1 : start + 10]) > 2)
+GROUP BY word HAVING count(*) >= 2"""
     word = "'<' || {0} || '>'"
     gram = f"""SELECT DISTINCT word, substr(m, i::BIGINT, n::BIGINT) AS gram FROM (
     SELECT word, m, n, unnest(range(1, length(m) - n + 2)) AS i FROM (
@@ -844,7 +849,9 @@ SELECT chunk_id, doc_id, chunk_index, num_words FROM f9"""
     sql["a10_word_vectors"] = """SELECT 'w' || vec_id AS word, round(sum(x), 6) AS v_sum, round(sum(x * dim), 6) AS v_pos
 FROM (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings)
 GROUP BY vec_id"""
+    sql["c8_similarity_edges_index"] = sql["c8_similarity_edges"].replace(">= 0.5", ">= 0.8")
+    sql["g3_lexical_postings"] = sql["g3_lexical"]
     # The same results by the grid that a cluster uses.
-    for name in ("c9_similar_docs", "d7_similar_words", "e8_similar_by_model", "h7_nearest_examples"):
+    for name in ("c8_similarity_edges", "c9_similar_docs", "d7_similar_words", "e8_similar_by_model", "h7_nearest_examples"):
         sql[f"{name}_grid"] = sql[name]
     return sql

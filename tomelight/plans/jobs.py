@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import vectors as vx
-from ..operators import chunking, classify, corpus, retrieval, sparse, summarize, words
+from ..operators import chunking, classify, corpus, postings, retrieval, sparse, summarize, words
 from ..sources.store import materialize
 
 
@@ -37,6 +37,13 @@ class SearchIndex:
     n_docs: int
     model: PipelineModel
     options: dict
+    lists: postings.Postings | None = None
+
+    def postings(self) -> postings.Postings:
+        """Posting lists of the rows, written when first asked for."""
+        if self.lists is None:
+            self.lists = postings.build(self.rows, "chunk_id")
+        return self.lists
 
     def encode(self, queries: DataFrame) -> DataFrame:
         """Queries (query_id, text) as search expects them."""
@@ -140,11 +147,11 @@ def train_text_classifier(
 
 
 def chunk_table(docs: DataFrame, **options) -> DataFrame:
-    """Chunk documents once and number the chunks.
+    """Chunk documents once and number the chunks; documents move once, chunks never.
 
     Options go to :func:`chunking.chunk`; ``lossless=True, min_document_chars=0`` indexes every word.
     """
-    return materialize(chunking.number_chunks(materialize(chunking.chunk(docs, **options))))
+    return chunking.number_in_order(materialize(chunking.chunk_in_order(docs, **options)))
 
 
 def summaries(docs: DataFrame, text: str = "clean_text", id: str = "doc_id", **options) -> DataFrame:

@@ -19,6 +19,7 @@ from .operators import (
     overlap,
     positions,
     retrieval,
+    skipgram,
     sparse,
     words,
 )
@@ -406,12 +407,20 @@ def vectors_of(spark, sf, kind: str) -> DataFrame:
     return stage(spark, sf, f"rows_{kind}", build)
 
 
-def c8_similarity_edges(spark, sf):
-    return sparse.similarity_edges(vectors_of(spark, sf, "tfidf"), 0.5).select(
+def c8_similarity_edges(spark, sf, floor=0.5, **options):
+    return sparse.similarity_edges(vectors_of(spark, sf, "tfidf"), floor, **options).select(
         "left_id", "right_id", r6("cosine", "cosine"), "left_copies", "right_copies"
     )
 
 
+def c8_similarity_edges_grid(spark, sf):
+    return c8_similarity_edges(spark, sf, method="grid", block_rows=GRID["block_rows"])
+
+
+def c8_similarity_edges_index(spark, sf):
+    return c8_similarity_edges(spark, sf, floor=0.8, method="index")
+
+
 def c8_copy_groups(spark, sf):
     return sparse.copy_groups(vectors_of(spark, sf, "tfidf"))
 
@@ -456,17 +465,24 @@ def d1_windows(spark, sf):
     return words.windows(processed(spark, sf)).select("doc_id", "pos", joined("sentence"))
 
 
-def d2_word2vec(spark, sf):
+def trained_words(spark, sf) -> DataFrame:
     sentences = store.materialize(words.windows(processed(spark, sf)).select("sentence"))
-    model = words.train_word2vec(sentences)
-    return words.model_vectors(model).select("word", *digest("vector"))
+    return stage(spark, sf, "skipgram", lambda: store.materialize(skipgram.train(sentences)[0]))
+
+
+def d2_word2vec(spark, sf):
+    return trained_words(spark, sf).select("word", *digest("vector"))
+
+
+def d2_vocabulary(spark, sf):
+    """The words that got a vector, how often they were seen, and the vector's length."""
+    return trained_words(spark, sf).select("word", "n", F.size("vector").alias("dim"))
 
 
 def d3_subwords(spark, sf):
     known = lemma_vectors(spark, sf)
-    grams = words.subword_vectors(known)
     wanted = lemma_counts(spark, sf).select(F.col("term").alias("word"))
-    out = words.with_subwords(wanted, known, store.materialize(grams))
+    out = words.with_subwords(wanted, known)
     return out.select("word", "trained", *digest("vector"))
 
 
@@ -676,8 +692,8 @@ def f7_chunks(spark, sf):
 
 
 def f9_chunk_table(spark, sf):
-    rows = chunking.chunk(docs(spark, sf), "raw_text")
-    return chunking.number_chunks(store.materialize(rows)).select(
+    rows = chunking.chunk_in_order(docs(spark, sf), "raw_text")
+    return chunking.number_in_order(store.materialize(rows)).select(
         "chunk_id",
         "doc_id",
         "filename",
@@ -722,6 +738,11 @@ def g3_lexical(spark, sf):
     return scored(retrieval.search_lexical(encoded_questions(spark, sf), index(spark, sf).rows, 5))
 
 
+def g3_lexical_postings(spark, sf):
+    ix = index(spark, sf)
+    return scored(retrieval.search_lexical(encoded_questions(spark, sf), ix.rows, 5, ix.postings()))
+
+
 def g4_hybrid(spark, sf):
     return scored(retrieval.search_hybrid(encoded_questions(spark, sf), index(spark, sf).rows, 5))
 
