@@ -28,12 +28,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .token_files import slices
+
 PIECE = 1024
 LEVEL = 3
 DICTIONARY_BYTES = 32768
 #: Pieces of a text that go into a dictionary.
 SAMPLE_PIECES = 4
 THRESHOLD = 0.7
+#: Bytes of text that a Python worker scores at a time.
+SLICE_BYTES = 1_000_000
 #: Remainder of the checksum that marks held-out rows, and its divisor.
 HELD_OUT, FOLDS = 2, 4
 
@@ -210,6 +214,26 @@ def score(docs: DataFrame, model: Classifier, keep: str = "doc_id") -> DataFrame
     return measured(docs, model, "score", keep)
 
 
+def score_column(text: Column, model: Classifier) -> Column:
+    """The score as a column: only texts go to the Python workers, in slices of bounded size."""
+    if model.weights is None:
+        return F.lit(float(model.prior))
+    ready: list = []
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        if not ready:
+            ready.extend([compressor(model.good), compressor(model.bad)])
+        found = []
+        for start, n in slices(texts, SLICE_BYTES):
+            part = texts.slice(start, n).cast(pa.large_binary())
+            found += [features(memoryview(t.as_buffer()), *ready) for t in part]
+        values = (np.array(found).reshape(-1, 3) - model.mean) / model.scale
+        return pa.array(sigmoid(curve(values) @ model.weights), pa.float64())
+
+    return scored(F.coalesce(text, F.lit("")))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Fit on the usable labels and score all documents."""
     scored = score(docs, fit(docs, labels))
@@ -223,7 +247,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns."""
-    model = fit(docs, labels)
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    scored = score(whole, model, "_row")
-    return scored.filter(F.col("score") >= threshold).select("_row.*")
+    value = score_column(F.col("text"), fit(docs, labels))
+    scored = docs.select(F.struct(*docs.columns).alias("_row"), value.alias("_score"))
+    return scored.filter(F.col("_score") >= threshold).select("_row.*")
