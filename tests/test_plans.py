@@ -59,7 +59,7 @@ def test_search_shuffles_only_the_best_rows(spark, docs):
 def test_large_query_set_is_not_collected(spark):
     rows = spark.range(50).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
     side = topk.side(rows, "id", "v", None, None)
-    text = plan(topk.best(side, side, 2, max_broadcast_rows=10, block_rows=20))
+    text = plan(topk.best(side, side, 2, max_broadcast_rows=10, block_rows=20, large="grid"))
     assert "FlatMapCoGroupsInArrow" in text
 
 

@@ -118,7 +118,9 @@ def brute(sims, k):
     return out
 
 
-@pytest.mark.parametrize("blocks", [{}, {"block_rows": 7}, {"max_broadcast_rows": 3, "block_rows": 16}])
+@pytest.mark.parametrize(
+    "blocks", [{}, {"block_rows": 7}, {"max_broadcast_rows": 3, "block_rows": 16}, {"method": "postings"}]
+)
 def test_similar_matches_brute_force(random_rows, blocks):
     df, sims = random_rows
     found = {}

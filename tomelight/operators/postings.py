@@ -143,8 +143,16 @@ def promising(needed: DataFrame, lists: DataFrame) -> DataFrame:
     return sums.filter(F.col("bound") >= F.col("floor") - SLACK).select("query_id", "block")
 
 
-def search(queries: DataFrame, postings: Postings, k: int, id: str = "query_id") -> DataFrame:
-    """The best k rows per query by inner product: query_id, rank, item_id, score."""
+def search(
+    queries: DataFrame, postings: Postings, k: int, id: str = "query_id", skip_self: bool = False
+) -> DataFrame:
+    """The best k rows per query by inner product: query_id, rank, item_id, score.
+
+    With ``skip_self`` a query is a row of the index, which it never finds.
+    """
+    if skip_self:
+        others = search(queries, postings, k + 1, id).filter("query_id <> item_id")
+        return topk.cut(others, F.col("score"), k, F.col("item_id"))
     asked = materialize(asked_terms(queries, id))
     needed = materialize(essential(asked, postings.terms, k))
     blocks = materialize(promising(needed, postings.lists))

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions import vectors as vx
 from ..sources.store import materialize
+from . import postings as postings_index
 from . import simjoin, topk
 from .joins import salted_join
 
@@ -260,13 +262,21 @@ def similar(
     n: int = 5,
     queries: DataFrame | None = None,
     id: str = "doc_id",
+    method: str = "blocks",
     **blocks,
 ) -> DataFrame:
     """The n documents nearest by cosine to each query document, never itself.
 
     ``rows`` come from :func:`vector_rows`; ``queries`` holds the ids to look up,
-    all of them by default. Returns query_id, rank, item_id, score.
+    all of them by default. ``method`` is "blocks", or "postings" where the lists of the
+    queries' terms are few against the corpus. Returns query_id, rank, item_id, score.
     """
+    if method not in ("blocks", "postings"):
+        raise ValueError("method must be 'blocks' or 'postings'")
+    if method == "postings":
+        unit = materialize(rows.select(id, "terms", vx.l2_normalize(F.col("weights")).alias("weights")))
+        wanted = unit if queries is None else unit.join(queries.select(id), id, "left_semi")
+        return postings_index.search(wanted, postings_index.build(unit, id), n, id, skip_self=True)
     wanted = rows if queries is None else rows.join(queries.select(id), id, "left_semi")
     sides = [topk.side(df, id, None, "terms", "weights") for df in (wanted, rows)]
     return topk.nearest(*sides, n, by="lexical", skip_self=True, **blocks)

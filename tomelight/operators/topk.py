@@ -2,8 +2,8 @@
 
 A query set of checked size is shipped to the tasks and met by each corpus
 partition where it lies, so the corpus is never shuffled; a corpus of checked
-size is met by the queries in the same way. Two large sides are cut into blocks
-that meet in a grid of cells of bounded size. A running best k per query is kept
+size is met by the queries in the same way. Two large sides meet in the cells of an index or are
+cut into blocks that meet in a grid of bounded size. A running best k per query is kept
 and emitted once per task or cell; Spark cuts again after one shuffle by query.
 
 Vectors are dense arrays, or sparse pairs of index and weight arrays. Scores are
@@ -230,11 +230,15 @@ def best(
     skip_self: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     block_rows: int = BLOCK_ROWS,
+    large: str = "cells",
 ) -> DataFrame:
     """The best k corpus rows per query: query_id, rank, item_id, dense, lexical.
 
-    ``queries`` and ``corpus`` come from :func:`side`.
+    ``queries`` and ``corpus`` come from :func:`side`. ``large`` says how two large sides meet
+    by dense scores: in the cells of an index (:mod:`cells`) or in a grid of blocks; sparse ones meet in the grid.
     """
+    if large not in ("cells", "grid"):
+        raise ValueError("large must be 'cells' or 'grid'")
     kinds = [df.schema["id"].dataType.simpleString() for df in (queries, corpus)]
     schema = f"query_id {kinds[0]}, rank int, item_id {kinds[1]}, dense double, lexical double"
     rule = (k, by, cosine, skip_self)
@@ -261,6 +265,11 @@ def best(
         # Each query met the whole corpus, so its ranks are final.
         return queries.mapInArrow(pass_queries, schema)
 
+    if by == "dense" and large == "cells":
+        from . import cells  # which is made of the blocks here
+
+        return cells.best(queries, corpus, k, cosine, skip_self, block_rows)
+
     q_blocks = math.ceil(queries.count() / block_rows)
     c_blocks = math.ceil(corpus.count() / block_rows)
 

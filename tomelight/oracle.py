@@ -7,6 +7,8 @@ through a marker character.
 
 from __future__ import annotations
 
+import re
+
 from .functions.constants import (
     INTENTS,
     PROMPT_TEMPLATE,
@@ -425,10 +427,23 @@ def prompt_sql() -> str:
     return parts.replace("{examples}", "' || e.x || '")
 
 
+def rouge_tokens(c: str) -> str:
+    toks = f"list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda w: w <> '')"
+    return f"list_transform({toks}, lambda w: CASE WHEN length(w) > 3 THEN {stem('w')} ELSE w END)"
+
+
+def lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence: row by row, the running best of hits and of the row above."""
+    hits = f"list_transform({b}, lambda y: list_transform({a}, lambda x: (x = y)::BIGINT))"
+    cell = "CASE WHEN h = 1 THEN 1 + CASE WHEN i > 1 THEN row[i - 1] ELSE 0 END ELSE row[i] END"
+    step = f"list_transform(row, lambda v, j: list_max(list_transform(hit[1:j], lambda h, i: {cell})))"
+    rows = f"list_concat([list_transform({a}, lambda x: 0::BIGINT)], {hits})"
+    return f"list_max(list_concat([0], list_reduce({rows}, lambda row, hit: {step})))"
+
+
 def rouge(n: int) -> str:
     def side(c):
-        toks = f"list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda w: w <> '')"
-        toks = f"list_transform({toks}, lambda w: CASE WHEN length(w) > 3 THEN {stem('w')} ELSE w END)"
+        toks = rouge_tokens(c)
         if n == 1:
             return toks
         return f"(SELECT list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1]) FROM (SELECT {toks} AS l))"
@@ -821,6 +836,9 @@ FROM documents d LEFT JOIN two t ON t.doc_id = d.doc_id"""
     sql["i4_rouge_n"] = f"""WITH {PAIRS}, {rouge(1)}, {rouge(2)}
 SELECT p.pair_id, round(coalesce(f1.f, 0.0), 6)::DOUBLE AS rouge_1, round(coalesce(f2.f, 0.0), 6)::DOUBLE AS rouge_2
 FROM pairs p LEFT JOIN f1 ON f1.pair_id = p.pair_id LEFT JOIN f2 ON f2.pair_id = p.pair_id"""
+    sql["i5_rouge_l"] = f"""WITH {PAIRS},
+t AS (SELECT pair_id, {rouge_tokens("pred")} AS a, {rouge_tokens("ref")} AS b FROM pairs)
+SELECT pair_id, round(coalesce(2.0 * {lcs("a", "b")} / nullif(len(a) + len(b), 0), 0.0), 6)::DOUBLE AS rouge_l FROM t"""
     sql["i6_greedy_match"] = f"""WITH {LEMMA_VECTORS}, {PAIRS},
 unit AS (SELECT word, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM lemma_vector),
 tp AS MATERIALIZED (
@@ -837,6 +855,10 @@ re AS (SELECT pair_id, avg(m) AS x FROM (SELECT pair_id, j, max(s) AS m FROM s G
 SELECT p.pair_id, round(coalesce(pr.x, 0.0), 6) AS precision, round(coalesce(re.x, 0.0), 6) AS recall,
   round(coalesce(2 * pr.x * re.x / (pr.x + re.x), 0.0), 6) AS f1
 FROM pairs p LEFT JOIN pr ON pr.pair_id = p.pair_id LEFT JOIN re ON re.pair_id = p.pair_id"""
+    exact = {k: re.sub(r"round\((.*?), 6\)", r"(\1)", sql[k]) for k in ("i4_rouge_n", "i5_rouge_l", "i6_greedy_match")}
+    sql["i7_evaluate"] = f"""SELECT round(avg(rouge_1), 6) AS rouge_1, round(avg(rouge_2), 6) AS rouge_2,
+  round(avg(rouge_l), 6) AS rouge_l, round(avg(f1), 6) AS match_f1
+FROM ({exact["i4_rouge_n"]}) JOIN ({exact["i5_rouge_l"]}) USING (pair_id) JOIN ({exact["i6_greedy_match"]}) USING (pair_id)"""
     # Written and read again.
     sql["a4_save_load"] = f"""WITH f9 AS ({sql["f9_chunk_table"]})
 SELECT chunk_id, doc_id, chunk_index, num_words FROM f9"""
@@ -854,4 +876,7 @@ GROUP BY vec_id"""
     # The same results by the grid that a cluster uses.
     for name in ("c8_similarity_edges", "c9_similar_docs", "d7_similar_words", "e8_similar_by_model", "h7_nearest_examples"):
         sql[f"{name}_grid"] = sql[name]
+    for name in ("d7_similar_words", "e8_similar_by_model", "h7_nearest_examples", "g2_dense"):
+        sql[f"{name}_cells"] = sql[name]
+    sql["c9_similar_docs_postings"] = sql["c9_similar_docs"]
     return sql

@@ -30,7 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DIM = 64
 # Block sizes at which also small tables take the path of large ones.
-GRID = {"max_broadcast_rows": 10, "block_rows": 200}
+GRID = {"max_broadcast_rows": 10, "block_rows": 200, "large": "grid"}
+CELLS = GRID | {"large": "cells"}
 # Patterns that occur in the given texts, where the defaults do not.
 SECTION = "the|les|der|que|los"
 WARNING = "tion"
@@ -434,6 +435,10 @@ def c9_similar_docs_grid(spark, sf):
     return c9_similar_docs(spark, sf, **GRID)
 
 
+def c9_similar_docs_postings(spark, sf):
+    return c9_similar_docs(spark, sf, method="postings")
+
+
 def c9_similar_docs_bow(spark, sf):
     out = sparse.similar(vectors_of(spark, sf, "bow"), 3)
     return out.select("query_id", "rank", "item_id", r6("score", "score"))
@@ -535,6 +540,10 @@ def d7_similar_words_grid(spark, sf):
     return d7_similar_words(spark, sf, **GRID)
 
 
+def d7_similar_words_cells(spark, sf):
+    return d7_similar_words(spark, sf, **CELLS)
+
+
 def d8_doc_means(spark, sf):
     out = words.doc_means(processed(spark, sf), lemma_vectors(spark, sf), dim=DIM)
     return out.select("doc_id", *digest("embedding"))
@@ -617,6 +626,10 @@ def e8_similar_by_model_grid(spark, sf):
     return e8_similar_by_model(spark, sf, **GRID)
 
 
+def e8_similar_by_model_cells(spark, sf):
+    return e8_similar_by_model(spark, sf, **CELLS)
+
+
 def e9_stats(spark, sf):
     out = None
     for name, rows in two_models(spark, sf).items():
@@ -734,6 +747,10 @@ def g2_dense(spark, sf):
     return scored(retrieval.search_dense(encoded_questions(spark, sf), index(spark, sf).rows, 5))
 
 
+def g2_dense_cells(spark, sf):
+    return scored(retrieval.search_dense(encoded_questions(spark, sf), index(spark, sf).rows, 5, **CELLS))
+
+
 def g3_lexical(spark, sf):
     return scored(retrieval.search_lexical(encoded_questions(spark, sf), index(spark, sf).rows, 5))
 
@@ -915,6 +932,10 @@ def h7_nearest_examples_grid(spark, sf):
     return h7_nearest_examples(spark, sf, **GRID)
 
 
+def h7_nearest_examples_cells(spark, sf):
+    return h7_nearest_examples(spark, sf, **CELLS)
+
+
 def h8_accuracy(spark, sf):
     return classify.accuracy(labelled(spark, sf)).select(r6("accuracy", "accuracy"))
 
