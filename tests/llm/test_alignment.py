@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -118,8 +119,19 @@ def test_a_text_is_aligned_once_however_many_copies(spark):
 
 def test_forgotten_units_are_learned_again():
     units = alignment.Units(alignment.Tokenizers(A, B))
-    units.learn({"one", "two"})
-    first = units.groups[units["two"]]
+    places = [units[u] for u in ("one", " two ", "two", "x▁")]
+    units.learn()
+    first = [units.groups[i] for i in places]
+    assert first[-1] is None and None not in first[:-1]
     units.forget()
-    units.learn({"two"})
-    assert len(units) == 1 and units.groups[units["two"]] == first
+    assert units["two"] == 0
+    units.learn()
+    assert units.groups == [first[2]]
+
+
+def test_packed_numbers():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**31 - 1])
+    packed, lengths = alignment.pack(values)
+    assert lengths.tolist() == [1, 1, 1, 2, 2, 3, 3, 4, 5]
+    assert alignment.unpack(packed).tolist() == values.tolist()
+    assert alignment.unpack(np.zeros(0, np.uint8)).tolist() == []
