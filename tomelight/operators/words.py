@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -209,18 +209,39 @@ def select_words(
     return words.join(ranked, "word").orderBy(F.desc("freq"), "word").limit(n)
 
 
+def covariance(df: DataFrame, vector: str, mean: np.ndarray) -> np.ndarray:
+    """Sum of the products of centred coordinates, one keyed sum per matrix row."""
+    dim = len(mean)
+
+    def products(batches):
+        total = np.zeros((dim, dim))
+        for batch in batches:
+            rows = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1) - mean
+            total += rows.T @ rows
+        ends = pa.array(np.arange(dim + 1, dtype=np.int32) * dim)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(dim), pa.int32()), pa.ListArray.from_arrays(ends, pa.array(total.reshape(-1)))], ["i", "row"]
+        )
+
+    parts = df.select(vx.as_double(F.col(vector)).alias("v")).mapInArrow(products, "i int, row array<double>")
+    found = parts.groupBy("i").agg(vx.sums(F.col("row"), dim).alias("row")).collect()
+    return np.array([r["row"] for r in sorted(found, key=lambda r: r["i"])]).reshape(-1, dim)
+
+
 def pca(df: DataFrame, vector: str = "vector", k: int = 2) -> tuple[DataFrame, list[float]]:
     """Coordinates on the first k principal axes of the centred vectors.
 
-    Returns the rows with a ``coords`` array, and the explained variance ratios.
-    Only the covariance matrix (dimension squared) reaches the driver.
+    Returns the rows with a ``coords`` array, and the explained variance ratios. An axis points
+    to where its largest component is positive. Only the covariance matrix (dimension squared) reaches the driver.
     """
-    rows = df.withColumn("_v", array_to_vector(vx.as_double(F.col(vector))))
-    centred = (
-        StandardScaler(withMean=True, withStd=False, inputCol="_v", outputCol="_c")
-        .fit(rows)
-        .transform(rows)
-    )
-    model = PCA(k=k, inputCol="_c", outputCol="_p").fit(centred)
-    out = model.transform(centred).withColumn("coords", vector_to_array("_p"))
-    return out.drop("_v", "_c", "_p"), list(model.explainedVariance.toArray())
+    dim = vx.dimension(df, vector)
+    if not dim:
+        return df.withColumn("coords", F.array().cast("array<double>")), []
+    mean = np.array(df.agg(vx.means(F.col(vector), dim).alias("m")).first()["m"])
+    values, axes = np.linalg.eigh(covariance(df.filter(F.col(vector).isNotNull()), vector, mean))
+    first = np.argsort(-values, kind="stable")[:k]
+    axes = axes[:, first] * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(dim)])[first]
+    centred = F.zip_with(vx.as_double(F.col(vector)), F.array(*map(F.lit, mean.tolist())), lambda x, m: x - m)
+    coords = tx.let(centred, lambda c: F.array(*[vx.dot(c, F.array(*map(F.lit, a.tolist()))) for a in axes.T]))
+    total = values.sum()
+    return df.withColumn("coords", coords), [float(v / total) if total > 0 else 0.0 for v in values[first]]

@@ -427,6 +427,39 @@ def prompt_sql() -> str:
     return parts.replace("{examples}", "' || e.x || '")
 
 
+def principal(source: str) -> str:
+    """Mean, first two principal axes and their variances of weighted vectors (id, v, w).
+
+    The axis is what powers of the covariance tend to: the matrix is squared until the 2^24th.
+    """
+
+    def axis(matrix: str, name: str) -> list[str]:
+        out = [f"{name}_0 AS MATERIALIZED (SELECT i, j, s / (SELECT sum(s) FROM {matrix} WHERE i = j) AS s FROM {matrix})"]
+        for n in range(24):
+            square = f"SELECT a.i, b.j, sum(a.s * b.s) AS s FROM {name}_{n} a JOIN {name}_{n} b ON a.j = b.i GROUP BY ALL"
+            out.append(
+                f"{name}_{n}s AS MATERIALIZED ({square}), {name}_{n + 1} AS MATERIALIZED ("
+                f"SELECT i, j, s / (SELECT sum(s) FROM {name}_{n}s WHERE i = j) AS s FROM {name}_{n}s)"
+            )
+        last = f"{name}_24"
+        column = f"SELECT i, s FROM {last} WHERE j = (SELECT arg_max(i, s) FROM {last} WHERE i = j)"
+        scale = "sqrt(sum(s * s) OVER ()) * sign(arg_max(s, abs(s)) OVER ())"
+        out.append(f"{name} AS MATERIALIZED (SELECT i, s / ({scale}) AS x FROM ({column}))")
+        value = f"SELECT sum(a.x * s * b.x) AS v FROM {matrix} JOIN {name} a USING (i) JOIN {name} b ON b.i = j"
+        out.append(f"{name}_v AS MATERIALIZED ({value})")
+        return out
+
+    base = f"""src AS MATERIALIZED ({source}),
+flat AS MATERIALIZED (SELECT id, w, generate_subscripts(v, 1) AS i, unnest(v)::DOUBLE AS x FROM src),
+centre AS MATERIALIZED (SELECT i, sum(w * x) / sum(w) AS m FROM flat GROUP BY i),
+c AS MATERIALIZED (SELECT id, w, i, x - m AS x FROM flat JOIN centre USING (i)),
+cov AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.w * a.x * b.x) AS s FROM c a JOIN c b USING (id) GROUP BY ALL)"""
+    rest = "cov2 AS MATERIALIZED (SELECT cov.i, j, s - (SELECT v FROM p_v) * a.x * b.x AS s FROM cov JOIN p a USING (i) JOIN p b ON b.i = j)"
+    placed = """placed AS MATERIALIZED (SELECT id, sum(c.x * p.x) AS x, sum(c.x * q.x) AS y FROM c JOIN p USING (i) JOIN q USING (i) GROUP BY id),
+share AS (SELECT ((SELECT v FROM p_v) + (SELECT v FROM q_v)) / (SELECT sum(s) FROM cov WHERE i = j) AS explained)"""
+    return ",\n".join([base, *axis("cov", "p"), rest, *axis("cov2", "q"), placed])
+
+
 def rouge_tokens(c: str) -> str:
     toks = f"list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda w: w <> '')"
     return f"list_transform({toks}, lambda w: CASE WHEN length(w) > 3 THEN {stem('w')} ELSE w END)"
@@ -600,8 +633,8 @@ GROUP BY word HAVING count(*) >= 2"""
       SELECT word, {word.format("word")} AS m, unnest([3, 4, 5, 6]) AS n FROM {{0}}) WHERE length(m) >= n)"""
     sql["d3_subwords"] = f"""WITH {LEMMA_VECTORS},
 known_gram AS MATERIALIZED ({gram.format("lemma_vector")}),
-own AS MATERIALIZED (SELECT word, sum(x) AS v_sum, sum(x * dim) AS v_pos FROM (
-  SELECT word, generate_subscripts(v, 1) AS dim, unnest(v) AS x FROM lemma_vector) GROUP BY word),
+own AS MATERIALIZED (SELECT word, list_sum(v) AS v_sum, list_sum(list_transform(v, lambda x, i: x * i)) AS v_pos
+  FROM lemma_vector),
 gram_sums AS MATERIALIZED (
   SELECT gram, avg(v_sum) AS v_sum, avg(v_pos) AS v_pos FROM known_gram JOIN own USING (word) GROUP BY gram),
 unseen AS (SELECT term AS word FROM lemma_count ANTI JOIN lemma_vector ON word = term),
@@ -631,6 +664,16 @@ FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
     sql["d8_doc_means"] = (
         f"WITH {LEMMA_VECTORS}, {mean_vectors('lemmas', 'doc_id', 'processed', 'n')}"
     )
+    drawn = "SELECT vec_id AS id, any_value(v) AS v, count(*)::DOUBLE AS w FROM lemma_vector JOIN lemma_slot USING (word) GROUP BY vec_id"
+    slots = f"""lemma_slot AS MATERIALIZED (SELECT term AS word, {bucket("term", "(SELECT count(*) FROM embeddings)")} AS vec_id
+  FROM lemma_count WHERE freq >= 2)"""
+    sql["d10_pca"] = f"""WITH {LEMMA_VECTORS}, {slots}, {principal(drawn)}
+SELECT word, round(x, 6) AS x, round(y, 6) AS y FROM lemma_slot JOIN placed ON id = vec_id"""
+    sql["e10_projection"] = f"""WITH {principal("SELECT vec_id AS id, embedding AS v, 1.0::DOUBLE AS w FROM embeddings")}
+SELECT vec_id, round(x, 6) AS x, round(y, 6) AS y, round(explained, 6) AS explained, label AS category
+FROM placed JOIN embeddings ON vec_id = id, share"""
+    sql["e11_color_points"] = f"""SELECT e.*, color FROM ({sql["e10_projection"]}) e JOIN (
+  SELECT label, (row_number() OVER (ORDER BY min(vec_id)) - 1)::INTEGER AS color FROM embeddings GROUP BY label) ON label = category"""
     sql["d9_select_words"] = f"""WITH {LEMMA_VECTORS}
 SELECT word, freq, {digest("v")} FROM (
   SELECT word, freq, v FROM lemma_vector JOIN lemma_count ON term = word ORDER BY freq DESC, word LIMIT 50)"""

@@ -644,13 +644,17 @@ def e9_stats(spark, sf):
 
 
 def e10_projection(spark, sf):
-    return contextual.projection(points(spark, sf), "vec_id", color_by="label")
+    return rounded_points(contextual.projection(points(spark, sf), "vec_id", color_by="label"))
 
 
 def e11_color_points(spark, sf):
     return contextual.color_points(e10_projection(spark, sf), "vec_id")
 
 
+def rounded_points(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("x", "y", "explained")})
+
+
 def e12_filename_index(spark, sf):
     return contextual.filename_index(docs(spark, sf))
 
