@@ -22,11 +22,11 @@ of rows and joined by shuffle beyond it.
 A set so small that one word more or less makes it unlike (one to three words at 0.8) can
 only repeat an equal set: it is decided by its key and has no prefix words.
 
-Defined results: null text stays null; a line of fewer than ``least`` distinct words is
-kept and compared with none (the registered query and the pipeline pass 1: only lines
-without words stay); documents with a null doc_id are left as they are and
+Defined results: null text stays null; a line of fewer than ``least`` distinct words (1 by default:
+a line without words) is kept and compared with none; documents with a null doc_id are left as they are and
 make no other line go; rows with the same doc_id and text are one document; a
-document that loses all its lines has the empty text. Line ends are line feeds.
+document that loses all its lines has the empty text. Line ends are line feeds. Other columns
+keep their values whatever their names, but for ``n_lines`` and ``n_dropped``, which are set.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from ..operators.joins import is_small
 from ..sources.store import materialize
 
 SIMILARITY = 0.8
-LEAST = 3
+LEAST = 1
 SLOTS = 2**20
 WORD = r"[\p{L}\p{M}\p{N}]+"
 #: Keys are broadcast up to this number of rows (of 40 bytes at most).
@@ -225,23 +225,22 @@ def drop_repeated(docs: DataFrame, similarity: float = SIMILARITY, least: int =
     Adds ``n_lines`` and ``n_dropped``.
     """
     gone = repeated_lines(docs.select("doc_id", "text"), similarity, least)
-    gone = materialize(
-        gone.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_version")).agg(
-            F.collect_set("line").alias("_gone")
-        )
-    )
-    rows = docs.withColumn("_v", F.xxhash64("text"))
-    joined = rows.join(
-        small(gone), (F.col("doc_id") == F.col("_doc")) & (F.col("_v") == F.col("_version")), "left"
+    gone = materialize(gone.groupBy("doc_id", "version").agg(F.collect_set("line").alias("gone")))
+    # A few rows may still hold many lines, so these are counted too.
+    lists = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
+    gone = small(gone) if lists <= BROADCAST_ROWS else gone
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("version")
     )
-    lines = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    joined = rows.join(gone, ["doc_id", "version"], "left")
+    text = F.col("row.text")
+    lines = F.split(text, "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     left = let(lines, lambda all_: F.array_join(F.transform(kept, lambda i: F.get(all_, i)), "\n"))
-    dropped = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return joined.select(
-        *others,
-        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text"),
+    made = F.struct(
+        F.when(F.col("gone").isNull(), text).otherwise(left).alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(dropped).cast("long").alias("n_dropped"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
+    others = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    return joined.select("row", made.alias("made")).select(*others, "made.*")

@@ -9,7 +9,8 @@ that no dictionary has seen and weighted to the labels' true frequencies, turns
 into a probability.
 
 Fitting reads at most ``dictionary_rows`` + ``calibration_rows`` labelled texts of
-each class, chosen by a hash of their id among all usable labels. Scoring covers every
+each class, chosen by a hash of their id among all usable labels, and puts at most
+``sample_pieces`` pieces of a text into a dictionary. Scoring covers every
 text whole, in the task that reads it.
 
 Defined results: a null text counts as empty and is scored like any other; rows with
@@ -146,8 +147,12 @@ def fit(
     labels: DataFrame,
     dictionary_rows: int = 1000,
     calibration_rows: int = 4000,
+    sample_pieces: int = SAMPLE_PIECES,
 ) -> Classifier:
-    """Fit on ``labels`` (doc_id, quality) that are not held out; rows are per class."""
+    """Fit on ``labels`` (doc_id, quality) that are not held out; rows are per class.
+
+    Of each text ``sample_pieces`` pieces, spread over it, go into its dictionary.
+    """
     usable = (
         labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
         .filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
@@ -178,7 +183,7 @@ def fit(
             for i, c, text in zip(*(batch.column(k) for k in range(3)), strict=True):
                 data = (text.as_py() or "").encode()
                 n = -(-len(data) // PIECE)
-                starts = range(n) if n <= SAMPLE_PIECES else [j * n // SAMPLE_PIECES for j in range(SAMPLE_PIECES)]
+                starts = range(n) if n <= sample_pieces else [j * n // sample_pieces for j in range(sample_pieces)]
                 out += [(i.as_py(), c.as_py(), j, data[j * PIECE : (j + 1) * PIECE]) for j in starts]
             if out:
                 yield pa.RecordBatch.from_arrays(
