@@ -175,5 +175,32 @@ def test_messy_rows(spark):
     assert sorted((r.doc_id, r.item_id) for r in dc.contaminated(df, bench).collect()) == [(7, 4)]
     kept = dc.keep_clean(df, bench)
     assert kept.columns == df.columns and kept.count() == 7
+    shared = spark.createDataFrame(
+        [(None, "A plain line of words, second line!"), (None, "clean"), (1, "a plain line of words second line"), (1, "clean too"), (1, None)], DOCS
+    )
+    left = {(r.doc_id, r.text) for r in dc.keep_clean(shared, bench).collect()}
+    assert left == {(None, "clean"), (1, "clean too"), (1, None)}
     assert dc.contaminated(df, spark.createDataFrame([], ITEMS)).collect() == []
     assert dc.contaminated(empty(spark), bench).collect() == []
+
+
+def test_routes(spark):
+    """The lexical route alone finds all; the latent one most of the passages that are whole."""
+    docs, items, expected = corpus(5)
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], DOCS).repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], ITEMS)
+    found = {
+        route: {(r.doc_id, r.item_id) for r in dc.contaminated(frame, bench, routes=(route,)).collect()}
+        for route in ("latent", "lexical")
+    }
+    assert found["lexical"] == expected and found["latent"] <= expected
+    assert len(found["latent"]) >= 0.8 * len(expected)
+
+
+def test_queries_in_blocks(spark, monkeypatch):
+    docs, items, expected = corpus(6)
+    for name, value in (("QUERY_PARTS", 11), ("PART_RUN", 4)):
+        monkeypatch.setattr(dc, name, value)
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], DOCS).repartition(2)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(frame, bench).collect()} == expected
