@@ -16,17 +16,27 @@ from pyspark.sql import functions as F
 from tomelight.llm import dartminhash, decontaminate, lines, packing, quality
 from tomelight.sources.store import collecting, materialize, remove
 
-#: Intermediate tables of the stage that ran last.
+#: Intermediate tables of stages that were called one by one and whose results have been written since.
 pending: list[str] = []
 
 
+def read_by(df: DataFrame, path: str) -> bool:
+    """Whether a frame reads files below a path."""
+    name = path.rsplit("/", 1)[-1]
+    return any(f"/{name}/" in file for file in df.inputFiles())
+
+
 def stage(work: Callable) -> Callable:
-    """A stage that first removes the tables of the one before, whose result has been written."""
+    """A stage that first removes the tables of the one before, unless its input still reads one of them.
+
+    :func:`run` calls the undecorated function and removes the tables of its own stages only.
+    """
 
     @functools.wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        remove(spark, pending)
-        pending.clear()
+        if pending and not any(read_by(docs, path) for path in pending):
+            remove(spark, pending)
+            pending.clear()
         with collecting() as made:
             out = work(spark, docs, sf_dir)
         pending.extend(made)
@@ -79,7 +89,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, work in STAGES[:-1]:
-        docs = materialize(work(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with collecting() as made:
+            docs = materialize(work.__wrapped__(spark, docs, sf_dir))
+        # The stage's result, written last, is all that is still read.
+        remove(spark, [*before, *made[:-1]])
+        before = made[-1:]
+    return STAGES[-1][1].__wrapped__(spark, docs, sf_dir)
