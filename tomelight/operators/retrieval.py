@@ -157,6 +157,13 @@ def search_hybrid(
         "dense",
         "lexical",
     )
+    return rescored(found, queries, index, k, alpha, intent_weights)
+
+
+def rescored(
+    found: DataFrame, queries: DataFrame, index: DataFrame, k: int, alpha: float = 0.7, intent_weights: dict[str, float] | None = None
+) -> DataFrame:
+    """The best k of dense candidates (query_id, dense_rank, chunk_id, dense, lexical) by the mixed score."""
     flags = [c for c in (intent_weights or {}) if c in index.columns]
     if flags:
         found = meet_chunks(found, index.select("chunk_id", *flags), queries)
@@ -237,7 +244,22 @@ def search(
 
 
 def compare_methods(queries: DataFrame, index: DataFrame, k: int = 5, **options) -> DataFrame:
-    """The three methods side by side: method, query_id, rank, chunk_id, score."""
+    """The three methods side by side: method, query_id, rank, chunk_id, score.
+
+    A query set of checked size meets the index once for all three.
+    """
+    sides = [topk.side(df, id, "embedding", "terms", "weights") for df, id in ((queries, "query_id"), (index, "chunk_id"))]
+    both = topk.best_both(*sides, OVERFETCH * k, k)
+    if both is not None:
+        both = materialize(both.withColumnRenamed("item_id", "chunk_id"))
+        dense, lexical = both.filter("by = 'dense'"), both.filter("by = 'lexical'").withColumn("score", F.col("lexical"))
+        near = dense.filter(F.col("rank") <= k).withColumn("score", F.col("dense"))
+        mixed = rescored(dense.withColumnRenamed("rank", "dense_rank"), queries, index, k, **options)
+        tagged = [
+            df.select(F.lit(m).alias("method"), "query_id", "rank", "chunk_id", "score")
+            for m, df in (("sbert", near), ("tfidf", lexical), ("hybrid", mixed))
+        ]
+        return tagged[0].union(tagged[1]).union(tagged[2])
     parts = {
         "sbert": search_dense(queries, index, k),
         "tfidf": search_lexical(queries, index, k),

@@ -304,6 +304,38 @@ def best(
     return cut(found, F.col(by), k, F.col("item_id"))
 
 
+def best_both(queries: DataFrame, corpus: DataFrame, k_dense: int, k_lexical: int) -> DataFrame | None:
+    """The best rows by either score in one pass over the corpus: by, query_id, rank, item_id, dense, lexical.
+
+    None where the queries are not few enough to be shipped to the corpus.
+    """
+    few = small_side(queries, MAX_BROADCAST_ROWS)
+    if few is None:
+        return None
+    kinds = [df.schema["id"].dataType.simpleString() for df in (queries, corpus)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {"dense": (k_dense, []), "lexical": (k_lexical, [])}
+        for batch in batches:
+            for c in sliced(batch, SLICE_ROWS):
+                for by, (k, found) in held.items():
+                    found += [best_of_block(q, c, k, by, False, False) for q in few if len(q) and len(c)]
+                    if sum(t.num_rows for t in found) > PRUNE_FACTOR * k * sum(map(len, few)):
+                        found[:] = [prune(found, k).drop_columns("rank")]
+        for by, (k, found) in held.items():
+            if found:
+                table = prune(found, k).select(["query_id", "rank", "item_id", "dense", "lexical"])
+                named = table.add_column(0, "by", pa.array([by] * table.num_rows, pa.string()))
+                yield from named.to_batches()
+
+    schema = f"by string, query_id {kinds[0]}, rank int, item_id {kinds[1]}, dense double, lexical double"
+    found = corpus.mapInArrow(run, schema)
+    score = F.when(F.col("by") == "dense", F.col("dense")).otherwise(F.col("lexical"))
+    window = Window.partitionBy("by", "query_id").orderBy(F.round(score, DIGITS).desc(), "item_id")
+    ranked = found.withColumn("rank", F.row_number().over(window))
+    return ranked.filter(F.col("rank") <= F.when(F.col("by") == "dense", F.lit(k_dense)).otherwise(F.lit(k_lexical)))
+
+
 def cut(candidates: DataFrame, score: Column, k: int, tie: Column) -> DataFrame:
     """Keep the k best rows of each query and number them from 1."""
     window = Window.partitionBy("query_id").orderBy(F.round(score, DIGITS).desc(), tie)

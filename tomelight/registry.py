@@ -352,8 +352,8 @@ def bow(spark, sf):
 
 
 def weighted(spark, sf):
-    posts, vocab, n = fitted(spark, sf)
-    return sparse.tfidf(posts, vocab, n)
+    """TF-IDF as a long table, from rows made where the documents lie."""
+    return sparse.unpack(vectors_of(spark, sf, "tfidf"), fitted(spark, sf)[1])
 
 
 def c1_vocabulary(spark, sf):
