@@ -6,18 +6,17 @@ are bags of terms weighted by TF-IDF (log idf, no term left out), terms being wo
 the benchmark (no other word can add to a query's similarity). A randomised SVD of all
 queries and windows of ``2 * BLOCK`` words is made in one distributed pass: each task
 adds up A'(A X) for its windows, A being the weighted windows and X a random matrix,
-and the sums are orthogonalised. A query that these directions do not hold whole is
-folded in as a direction of its own.
-
-A confirmed passage holds ``COVERED`` of a query's words, at worst those that weigh
-least. A window is a candidate for a query where the product of their latent vectors
-reaches the weight of those words (``cosine`` times the query's, if that is less) and
-that many of the query's words stand in it. A window is long enough to hold every
-stretch that starts in its first block, so whichever words of a passage are replaced,
-it is not lost before it is compared.
-
-A candidate is confirmed by the longest common subsequence of the query's words and
-the words of a stretch at most ``STRETCH`` times as long: at least ``COVERED`` of the query
+and the sums are orthogonalised.
+
+Candidates come from two routes. The latent one takes the windows whose cosine with a query
+in the ``RANK`` directions reaches ``COSINE``. The lexical one loses nothing: a confirmed passage
+leaves out at most n - need of a query's n words, so of its n - need + c rarest words it holds
+c, and every window with that many of them (c is half of need) is a candidate, whichever words of a passage are
+replaced. A window of the lexical route is long enough to hold every stretch that starts in
+its first block.
+
+A candidate must hold as many of the query's words as it needs and is confirmed by the longest
+common subsequence of the query's words and the words of a stretch at most ``STRETCH`` times as long: at least ``COVERED`` of the query
 and, where the benchmark has the column ``answer``, at least ``ANSWERED`` of the answer's words
 in the part; parts without such words are decided by the query alone. Every stretch of
 a candidate is compared.
@@ -25,13 +24,15 @@ a candidate is compared.
 Defined results: null and empty texts match nothing, a part of fewer than ``LEAST``
 words is not a query, an empty benchmark finds nothing; matching ignores case and
 punctuation; rows that share a doc_id or item_id are searched each and reported once
-per pair of ids; other columns are ignored.
+per pair of ids; other columns are ignored. :func:`keep_clean` decides every row by its own text (by the text's
+64-bit hash), also where ids are null or repeated.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,10 @@ from ..sources.store import materialize
 
 BLOCK, PART, LEAST = 24, 48, 5
 RANK = 64
-COSINE = 0.3
+#: Cosine of the latent route.
+COSINE = 0.7
+#: Queries that meet the windows in one job, and at a time in a task.
+QUERY_PARTS, PART_RUN = 4096, 512
 COVERED, STRETCH, ANSWERED = 0.7, 1.5, 0.5
 WORD = re.compile(r"[^\W_]+")
 #: Term rows that travel together in the sums of the sketch, and their first-level groups.
@@ -88,15 +92,15 @@ def encode(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
     def coded(batches):
         get = terms.get
         for batch in batches:
-            for start in range(0, len(batch), 1024):
-                part = batch.slice(start, 1024)
-                ids = []
+            for start in range(0, len(batch), 256):
+                part = batch.slice(start, 256)
+                ids, ends = [], [0]
                 for text in part.column("text").to_pylist():
-                    found = WORD.findall(text.lower())
-                    ids.append(np.fromiter((get(w, -1) for w in found), np.int32, len(found)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                )
+                    ids += map(get, WORD.findall(text.lower()))
+                    ends.append(len(ids))
+                flat = pa.array(ids, pa.int32()).fill_null(-1)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(coded, "doc_id long, ids array<int>")
@@ -218,21 +222,20 @@ def sketch(coded: DataFrame, weight: np.ndarray, rank: int, seed: int = 7) -> np
 
 def latent_space(coded: DataFrame, queries: Queries, weight: np.ndarray, rank: int):
     """Latent vectors of terms (weighted) and of queries."""
-    n_terms = len(weight)
-    rows = np.zeros((len(queries.parts), n_terms), np.float32)
-    for i, part in enumerate(queries.parts):
-        np.add.at(rows[i], part, weight[part])
-    rank = min(rank, n_terms)
+    rank = min(rank, len(weight))
     total = sketch(coded, weight, rank)
-    random = np.random.default_rng(7).standard_normal((n_terms, rank)).astype(np.float32)
-    total += rows.T @ (rows @ random)
-    basis = np.linalg.qr(total.astype(np.float64))[0]
-    seen = np.linalg.norm(rows @ basis, axis=1) ** 2
-    weak = rows[seen < (1 - 1e-10) * np.linalg.norm(rows.astype(float), axis=1) ** 2]
-    if len(weak):
-        basis = np.linalg.qr(np.hstack([basis, weak.T]))[0]
-    basis = basis.astype(np.float32)
-    return basis * weight[:, None], rows @ basis
+    random = np.random.default_rng(7).standard_normal((len(weight), rank)).astype(np.float32)
+    for part in queries.parts:
+        np.add.at(total, part, np.outer(weight[part], weight[part] @ random[part]))
+    space = np.linalg.qr(total.astype(np.float64))[0].astype(np.float32) * weight[:, None]
+    return space, np.array([space[part].sum(axis=0) for part in queries.parts])
+
+
+def rarest(part: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rarest words of a query, and how many of them a passage holds at least."""
+    need = needed(part)
+    least = -(-need // 2)
+    return part[np.lexsort((part, counts[part]))][: len(part) - need + least], least
 
 
 def subsequence(query: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -287,57 +290,92 @@ def confirm(query: np.ndarray, answer: int, text: np.ndarray) -> tuple[int, int,
     return None
 
 
-def search(coded: DataFrame, queries: Queries, space: np.ndarray, latent: np.ndarray, weight: np.ndarray, cosine: float) -> DataFrame:
+def spanned(own: np.ndarray, of: np.ndarray, span: int) -> np.ndarray:
+    """Sums of every block and the ``span - 1`` after it in its document (``of``)."""
+    out = own.copy()
+    for k in range(1, min(span, len(own))):
+        out[:-k] += own[k:] * (of[k:] == of[:-k]).reshape(-1, *[1] * (own.ndim - 1))
+    return out
+
+
+class Candidates:
+    """Pairs of a window and a query by both routes, for a run of blocks."""
+
+    def __init__(self, parts: list[np.ndarray], counts: np.ndarray, space: np.ndarray, latent: np.ndarray, cosine: float, span: int):
+        self.space, self.cosine, self.span, self.n = space, cosine, span, len(parts)
+        self.unit = (latent / np.maximum(np.linalg.norm(latent, axis=1), 1e-30)[:, None]).T.astype(np.float32)
+        self.need = np.array([needed(part) for part in parts])
+        # Words of queries, filled up with a term that no window has.
+        self.filled = np.full((self.n, PART), len(counts), np.int32)
+        rare, self.least = zip(*(rarest(part, counts) for part in parts), strict=True)
+        for q, part in enumerate(parts):
+            self.filled[q, : len(part)] = part
+        rare = [np.unique(words) for words in rare]
+        term, query = np.concatenate(rare), np.repeat(np.arange(self.n), list(map(len, rare)))
+        order = np.argsort(term, kind="stable")
+        # The queries that a term is among the rarest of.
+        self.asked, self.starts = query[order], np.searchsorted(term[order], np.arange(len(counts) + 1))
+        self.least = np.array(self.least)
+
+    def lexical(self, terms: np.ndarray, block: np.ndarray, of: np.ndarray) -> np.ndarray:
+        size = self.starts[terms + 1] - self.starts[terms]
+        at = np.repeat(self.starts[terms] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cells = np.repeat(block, size) * self.n + self.asked[at]
+        held = np.bincount(cells, minlength=len(of) * self.n).astype(np.int16).reshape(-1, self.n)
+        return spanned(held, of, self.span) >= self.least
+
+    def latent(self, terms: np.ndarray, block: np.ndarray, of: np.ndarray) -> np.ndarray:
+        windows = spanned(summed(self.space[terms], block, len(of)), of, 2)
+        lengths = np.linalg.norm(windows, axis=1)
+        return windows @ self.unit >= self.cosine * np.where(lengths > 0, lengths, np.inf)[:, None]
+
+    def pairs(self, terms: np.ndarray, block: np.ndarray, of: np.ndarray, routes=("latent", "lexical")):
+        """Windows and queries that meet by a route and have enough of the query's words in the window."""
+        found = np.zeros((len(of), self.n), bool)
+        for route in routes:
+            found |= getattr(self, route)(terms, block, of)
+        window, query = np.nonzero(found)
+        present = np.zeros((len(of), len(self.space) + 1), bool)
+        present[block, terms] = True
+        present = spanned(present, of, self.span)
+        keep = [
+            present[window[i : i + 8192, None], self.filled[query[i : i + 8192]]].sum(axis=1) >= self.need[query[i : i + 8192]]
+            for i in range(0, len(window), 8192)
+        ]
+        keep = np.concatenate([*keep, np.zeros(0, bool)])
+        return window[keep], query[keep]
+
+
+def search(
+    coded: DataFrame, queries: Queries, space: np.ndarray, latent: np.ndarray, counts: np.ndarray, cosine: float, routes=("latent", "lexical")
+) -> DataFrame:
     """doc_id, item_id, matched, query_words, first_word for confirmed pairs, one row per part found."""
-    need = np.array([needed(part) for part in queries.parts])
-    least = [np.sort(weight[part].astype(float) ** 2)[:n].sum() for part, n in zip(queries.parts, need, strict=True)]
-    least = np.minimum(least, cosine * np.linalg.norm(latent.astype(float), axis=1) ** 2)
-    #: What one occurrence of a term adds to the product with each query, 1 being enough (less rounding).
-    adds = (space @ (latent / (least * (1 - 1e-3))[:, None].astype(np.float32)).T).astype(np.float32)
-    #: A term's largest share in any query: bounds a window's similarity from above.
-    share = np.maximum(adds.max(axis=1), 0)
-    #: Words of queries, filled up with a term that no window has.
-    filled = np.full((len(need), PART), len(weight), np.int32)
-    for q, part in enumerate(queries.parts):
-        filled[q, : len(part)] = part
     span = -(-(int(STRETCH * max(len(part) for part in queries.parts)) + BLOCK - 1) // BLOCK)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("matched", pa.int64()), ("query_words", pa.int64()), ("first_word", pa.int64())])
-
-    def spanned(own: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """Sums of every block and the ``span - 1`` after it in its document."""
-        out = own.copy()
-        for k in range(1, min(span, len(own))):
-            out[:-k] += own[k:] * (of[k:] == of[:-k]).reshape(-1, *[1] * (own.ndim - 1))
-        return out
+    weight = np.ones(len(counts), np.float32)
 
     def searched(batches):
-        present = np.zeros(len(weight) + 1, bool)
+        groups = []
+        for start in range(0, len(queries.parts), PART_RUN):
+            stop = start + PART_RUN
+            groups.append((start, Candidates(queries.parts[start:stop], counts, space, latent[start:stop], cosine, span)))
         for batch in batches:
             ids = batch.column("doc_id")
             for row, ends, flat in lists(batch, 200_000):
                 terms, block, of, first, _ = window_entries(ends, flat, weight)
-                bound = spanned(np.bincount(block, share[terms], len(of)), of)
                 best = {}
                 # Runs of blocks, each with the blocks that its last windows reach into.
                 for s in range(0, len(of), 1024):
                     e = min(s + 1024 + span - 1, len(of))
                     a, z = np.searchsorted(block, [s, e])
-                    if not (bound[s : s + 1024] >= 1).any():
-                        continue
-                    score = spanned(summed(adds[terms[a:z]], block[a:z] - s, e - s), of[s:e])[:1024]
-                    windows, found = np.nonzero(score >= 1)
-                    cuts = np.flatnonzero(np.diff(windows)) + 1
-                    for qs in np.split(found, cuts) if len(found) else []:
-                        window = s + int(windows[0])
-                        windows = windows[len(qs) :]
-                        doc = int(of[window])
-                        low = (window - int(first[doc])) * BLOCK
-                        text = flat[ends[doc] + low : min(ends[doc] + low + span * BLOCK, ends[doc + 1])]
-                        here = text[text >= 0]
-                        present[here] = True
-                        qs = qs[present[filled[qs]].sum(axis=1) >= need[qs]]
-                        present[here] = False
-                        for q in qs.tolist():
+                    for base, candidates in groups:
+                        for window, q in zip(*candidates.pairs(terms[a:z], block[a:z] - s, of[s:e], routes), strict=True):
+                            if window >= 1024:
+                                continue
+                            q, window = base + int(q), s + int(window)
+                            doc = int(of[window])
+                            low = (window - int(first[doc])) * BLOCK
+                            text = flat[ends[doc] + low : min(ends[doc] + low + span * BLOCK, ends[doc + 1])]
                             hit = confirm(queries.parts[q], queries.answers[q], text)
                             if hit and hit[0] > best.get((doc, q), (0,))[0]:
                                 best[doc, q] = (hit[0], low + hit[1])
@@ -350,14 +388,19 @@ def search(coded: DataFrame, queries: Queries, space: np.ndarray, latent: np.nda
                         [pa.array(list(x), t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema
                     )
 
-    return coded.mapInArrow(searched, "doc_id long, item_id long, matched long, query_words long, first_word long")
+    return coded.mapInArrow(searched, NOTHING)
 
 
 NOTHING = "doc_id long, item_id long, matched long, query_words long, first_word long"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float = COSINE) -> DataFrame:
-    """Pairs of a document and a benchmark item that it contains, with the best part's figures."""
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine: float = COSINE, routes=("latent", "lexical")
+) -> DataFrame:
+    """Pairs of a document and a benchmark item that it contains, with the best part's figures.
+
+    ``routes`` names the ways to candidates; without the lexical one passages can be lost.
+    """
     queries = read_queries(benchmark)
     if not queries.parts:
         return docs.sparkSession.createDataFrame([], NOTHING)
@@ -365,7 +408,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine
     counts, total = frequencies(coded, len(queries.terms))
     weight = weigh(counts, total)
     space, latent = latent_space(coded, queries, weight, rank)
-    found = search(coded, queries, space, latent, weight, cosine)
+    jobs = []
+    for start in range(0, len(queries.parts), QUERY_PARTS):
+        some = slice(start, start + QUERY_PARTS)
+        block = Queries(queries.terms, queries.parts[some], queries.items[some], queries.answers[some])
+        jobs.append(search(coded, block, space, latent[some], counts, cosine, routes))
+    found = reduce(DataFrame.union, jobs)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("matched").alias("matched"),
         F.max_by("query_words", "matched").alias("query_words"),
@@ -375,5 +423,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, cosine
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns."""
-    found = materialize(contaminated(docs, benchmark, **options).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    # Contamination is a matter of the text alone, so the text's hash stands for the row.
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64("text").alias("_text"))
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    found = contaminated(texts, benchmark, **options).select(F.col("doc_id").alias("_text")).distinct()
+    return keyed.join(materialize(found), "_text", "left_anti").select("_row.*")
