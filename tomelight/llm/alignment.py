@@ -9,7 +9,7 @@ overlap are a link.
 A text is cut into units in front of single spaces between a visible character and a
 letter or digit: there A starts a new word by its pattern and B has no piece that reaches
 across (tested when the vocabulary is read), so groups and links of a text are those of
-its units, which a worker remembers. Texts of about ``CHUNK`` bytes form a chunk. A chunk
+its units, which a task remembers. Texts of about ``CHUNK`` bytes form a chunk. A chunk
 passes on how often it has each pair of ids, and the texts' units; the corpus-wide
 counts of its own pairs come back to it by one join, so what moves grows with the distinct
 pairs of the chunks and not with the links. Measures are joined to documents by the text's
@@ -39,7 +39,7 @@ from ..operators.joins import salted_join
 from ..sources.store import materialize
 from .token_files import slices
 
-#: Bytes of text of a chunk and of a slice; units and characters that a worker remembers.
+#: Bytes of text of a chunk and of a slice; units and characters that a task remembers.
 CHUNK, SLICE = 16_000_000, 1_000_000
 CACHE_UNITS, CACHE_CHARS = 500_000, 30_000_000
 CUT = re.compile("(?<=[^\\s▁]) (?=[A-Za-z0-9À-ÖØ-öø-ÿ])")
@@ -208,7 +208,7 @@ remembered: dict[tuple, Units] = {}
 
 
 def units_of(*key) -> Units:
-    """One memory per Python worker, emptied where it has grown beyond its bound."""
+    """The memory of a task, emptied where it has grown beyond its bound."""
     if key not in remembered:
         remembered[key] = Units(Tokenizers(*key))
     found = remembered[key]

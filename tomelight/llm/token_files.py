@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.positions import running_start
 from .folders import new_folder
+from .workers import kept
 
 END_ID = 1
 #: Writer settings; sizes in bytes.
@@ -47,7 +48,7 @@ WRITER = {
 }
 #: Words whose ids a Python worker remembers, and bytes of text encoded at a time.
 CACHE_WORDS = 200_000
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000
 #: Letters that lower-casing and composition treat one by one, and signs behind them.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 PROBES = ["Hello", "it", "Straße", "ÉÀÿ", "extraordinarily", "Ünïcödé", "QX"]
@@ -67,7 +68,7 @@ class WordIds(dict):
 
     def __init__(self, tokenizer, before: WordIds | None = None):
         super().__init__()
-        self.tokenizer, self.before = tokenizer, before
+        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
         if before:
             before.before = None
         self.pool, self.starts, self.counts = (array("i") for _ in range(3))
@@ -90,7 +91,7 @@ class WordIds(dict):
         shown = word.lower()
         if not shown.isascii():
             shown = shown.encode().decode("latin-1").translate(BYTES)
-        return [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return [t.id for t in self.model.tokenize(shown)]
 
     def ids(self, word: str) -> list[int]:
         old = self.before.get(word) if self.before else None
@@ -98,7 +99,16 @@ class WordIds(dict):
             start = self.before.starts[old]
             return self.before.pool[start : start + self.before.counts[old]]
         parts = PLAIN.fullmatch(word) if self.direct else None
-        return self.plain(parts[1]) + self.run(parts[2]) if parts else self.whole(word)
+        if not parts:
+            return self.whole(word)
+        letters, signs = parts.groups()
+        small = letters.lower()
+        if small == word:
+            return self.plain(small)
+        # The same letters in other cases, and before other signs, are encoded once.
+        place = self[small]
+        start = self.starts[place]
+        return [*self.pool[start : start + self.counts[place]], *self.run(signs)]
 
     def __missing__(self, word: str) -> int:
         found = self.ids(word) if word else []
@@ -128,12 +138,13 @@ class WordEncoder:
             return np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum())), counts
         if len(self.known) > CACHE_WORDS:
             self.known = WordIds(self.tokenizer, self.known)
-        words, ends = [], []
-        for text in texts.to_pylist():
-            words += text.replace("\n", " ").split(" ")
-            ends.append(len(words))
         known = self.known
-        places = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        ends = (split.offsets.to_numpy() - split.offsets[0].as_py())[1:]
+        # Each distinct word of the texts is looked up once.
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(known.__getitem__, distinct), np.int32, len(distinct))[words.indices.to_numpy()]
         pool, starts, all_counts = (np.array(x, np.int32) for x in (known.pool, known.starts, known.counts))
         sizes = all_counts[places]
         upto = np.concatenate([[0], np.cumsum(sizes)])
@@ -144,14 +155,9 @@ class WordEncoder:
         return out.astype(np.int32, copy=False), counts + 1
 
 
-encoders: dict[tuple, WordEncoder] = {}
-
-
 def encoder(*key) -> WordEncoder:
     """One encoder per Python worker, so that tasks share what it remembers."""
-    if key not in encoders:
-        encoders[key] = WordEncoder(*key)
-    return encoders[key]
+    return kept(("encoder", *key), lambda: WordEncoder(*key))
 
 
 def slices(texts: pa.Array, limit: int):
