@@ -243,3 +243,31 @@ def test_retrieval_terms(spark):
     df = spark.createDataFrame([("The red pump a b is red",)], "t string")
     row = sparse.with_retrieval_terms(df, "t", "g").first().g
     assert row == ["red", "pump", "red", "red pump", "pump red"]
+
+
+@pytest.mark.parametrize(
+    "options", [{}, {"method": "grid"}, {"method": "grid", "block_rows": 9}, {"method": "index"}, {"method": "index", "list": 4}, {"method": "index", "dense": 0}]
+)
+def test_links_match_brute_force(random_rows, options, monkeypatch):
+    """One row per document, copies included; the links of its class are counted where they are found."""
+    options = dict(options)
+    monkeypatch.setattr(simjoin, "LIST", options.pop("list", simjoin.LIST))
+    monkeypatch.setattr(simjoin, "DENSE", options.pop("dense", simjoin.DENSE))
+    df, sims = random_rows
+    first = {i: 40 if i in range(40, 70) else i for i in range(90)}
+    classes = sorted(set(first.values()))
+    cosine = np.round(sims, 6)
+    expected = {}
+    for i in range(90):
+        near = [cosine[first[i], j] for j in classes if j != first[i] and cosine[first[i], j] >= 0.5]
+        expected[i] = (first[i], 30 if first[i] == 40 else 1, len(near), round(sum(near), 6))
+    found = {r.doc_id: (r.class_id, r.copies, r.links, round(r.total, 6)) for r in sparse.similarity_links(df, 0.5, **options).collect()}
+    assert found == expected
+
+
+def test_a_grid_does_not_copy_rows_with_the_table(spark):
+    """Blocks of a side are bounded, so each row is copied a bounded number of times."""
+    rows = spark.range(5000).select("id", F.array(F.lit(1)).alias("terms"), F.array(F.lit(1.0)).alias("weights"))
+    left, right = topk.triangle(rows, 10)
+    assert left.count() + right.count() <= 5000 * (topk.GRID_BLOCKS + 1)
+    assert topk.block_count(rows, 10) == topk.GRID_BLOCKS
