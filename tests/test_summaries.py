@@ -122,3 +122,16 @@ def test_extraction_stays_in_the_row(spark, monkeypatch):
         assert sorted(made.collect()) == sorted(joined.collect())
     monkeypatch.setattr(summarize, "MAX_SHIPPED_TERMS", 0)
     assert summarize.scorer(weights).__qualname__.startswith("joined_totals")
+
+
+def test_joined_totals_move_each_distinct_term_once(spark):
+    """Terms go to the weights once per row, whatever their repeats, and come back as numbers."""
+    text = "one two one two one. " * 50 + "three two!"
+    rows = spark.createDataFrame([(1, text), (2, "one."), (3, None)], "doc_id long, clean_text string")
+    weights = spark.createDataFrame([("one", 1.0), ("two", 2.0)], "term string, weight double")
+    df = rows.select("doc_id", F.array(F.coalesce("clean_text", F.lit(""))).alias("_sentences"))
+    df = df.withColumn("_sentences", F.array("_sentences"))
+    shipped, joined = (f(weights)(df, "_sentences", "out") for f in (summarize.shipped_totals, summarize.joined_totals))
+    assert sorted(map(repr, shipped.select("doc_id", "out").collect())) == sorted(map(repr, joined.select("doc_id", "out").collect()))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1 and "uuid" not in plan
