@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tomelight.functions import text as tx
 from tomelight.functions import vectors as vx
 from tomelight.operators import contextual
 
@@ -104,3 +105,13 @@ def test_filename_index(spark):
     df = spark.createDataFrame([(9, "b"), (2**40, "c"), (-5, "a")], "doc_id long, filename string")
     got = sorted((r.pos, r.filename, r.total_documents) for r in contextual.filename_index(df).collect())
     assert got == [(0, "a", 3), (1, "b", 3), (2, "c", 3)]
+
+
+def test_hashed_rows_equal_the_column_expression(spark):
+    df = spark.createDataFrame(
+        [(1, "a b c a É日本 the"), (2, ""), (3, None), (4, "... !!"), (5, "x " * 50)], "doc_id int, clean_text string"
+    )
+    plain = vx.l2_normalize(vx.hashed(tx.word_terms(F.col("clean_text")), 16)).cast("array<float>")
+    rows = contextual.hashed_embedding(df, "clean_text", 16).select("doc_id", "embedding", plain.alias("plain")).collect()
+    assert [r.embedding for r in rows] == [r.plain for r in rows]
+    assert contextual.hash_head("a") == contextual.remembered["a"]
