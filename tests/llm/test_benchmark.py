@@ -204,3 +204,29 @@ def test_queries_in_blocks(spark, monkeypatch):
     frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], DOCS).repartition(2)
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], ITEMS)
     assert {(r.doc_id, r.item_id) for r in dc.contaminated(frame, bench).collect()} == expected
+
+
+def test_sums_of_columns():
+    rng = np.random.default_rng(5)
+    table, owner = rng.standard_normal((3, 40)).astype(np.float32), np.sort(rng.integers(0, 12, 200))
+    columns = rng.integers(0, 40, 200).astype(np.int32)
+    expected = np.zeros((3, 15), np.float32)
+    np.add.at(expected.T, owner, table.T[columns])
+    assert np.allclose(dc.summed(table, columns, owner, 15), expected, atol=1e-5)
+    assert not dc.summed(table, columns[:0], owner[:0], 15).any()
+
+
+def test_words_looked_up_in_two_steps():
+    rng = np.random.default_rng(6)
+    parts = [rng.integers(0, 60, n).astype(np.int32) for n in (5, 16, 17, 30, 48, 48)]
+    counts, space = rng.integers(1, 99, 60), rng.standard_normal((60, 4)).astype(np.float32)
+    latent = np.array([space[part].sum(axis=0) for part in parts])
+    found = dc.Candidates(parts, counts, space, latent, -2.0, 3)  # every window with a known word
+    of = np.repeat([0, 1, 2], [9, 1, 6])
+    block = np.sort(rng.integers(0, len(of), 400))
+    terms = rng.integers(0, 60, 400).astype(np.int32)
+    held = [{int(t) for t, b in zip(terms, block, strict=True) if w <= b < w + 3 and of[b] == of[w]} for w in range(len(of))]
+    expected = {(w, q) for w in range(len(of)) for q, part in enumerate(parts) if sum(int(t) in held[w] for t in part) >= dc.needed(part)}
+    assert 0 < len(expected) < len(of) * len(parts)
+    assert set(zip(*(x.tolist() for x in found.pairs(terms, block, of)), strict=True)) == expected
+    assert dc.words("a_b Ünder_Über__ _") == ["a", "b", "ünder", "über"]

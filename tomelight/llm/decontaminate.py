@@ -48,13 +48,16 @@ COSINE = 0.7
 #: Queries that meet the windows in one job, and at a time in a task.
 QUERY_PARTS, PART_RUN = 4096, 512
 COVERED, STRETCH, ANSWERED = 0.7, 1.5, 0.5
-WORD = re.compile(r"[^\W_]+")
+WORD = re.compile(r"\w+")
 #: Term rows that travel together in the sums of the sketch, and their first-level groups.
 SUM_ROWS, SUM_GROUPS = 256, 64
+#: Rarest words of a query that are looked up in a window before all of them are.
+FIRST = PART // 3
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    # Faster than a pattern that leaves out underscores.
+    return WORD.findall((text or "").lower().replace("_", " "))
 
 
 @dataclass
@@ -96,7 +99,7 @@ def encode(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
                 part = batch.slice(start, 256)
                 ids, ends = [], [0]
                 for text in part.column("text").to_pylist():
-                    ids += map(get, WORD.findall(text.lower()))
+                    ids += map(get, words(text))
                     ends.append(len(ids))
                 flat = pa.array(ids, pa.int32()).fill_null(-1)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
@@ -164,12 +167,17 @@ def window_entries(ends: np.ndarray, flat: np.ndarray, weight: np.ndarray):
     return flat[at], block, of, first, after
 
 
-def summed(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by ascending ``owner``; rows of zeros where there are none."""
-    out = np.zeros((n, values.shape[1]), np.float32)
+def summed(table: np.ndarray, columns: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the named columns of ``table`` by ascending ``owner``, one column each; zeros where there are none.
+
+    Columns rather than rows: a coordinate's sums then run over neighbouring numbers.
+    """
+    out = np.zeros((len(table), n), np.float32)
     if len(owner):
         starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        out[owner[starts]] = np.add.reduceat(values, starts, axis=0)
+        at, columns = owner[starts], columns.astype(np.intp, copy=False)
+        for line, sums in zip(table, out, strict=True):
+            sums[at] = np.add.reduceat(line[columns], starts)
     return out
 
 
@@ -180,20 +188,20 @@ def sketch(coded: DataFrame, weight: np.ndarray, rank: int, seed: int = 7) -> np
     schema = pa.schema([("part", pa.int32()), ("salt", pa.int32()), ("data", pa.binary())])
 
     def added(batches):
-        total = np.zeros((n_terms, rank), np.float32)
-        weighted = random * weight[:, None]
+        total = np.zeros((rank, n_terms), np.float32)
+        weighted = np.ascontiguousarray((random * weight[:, None]).T)
         for batch in batches:
             for _, ends, flat in lists(batch, 200_000):
                 terms, block, of, _, after = window_entries(ends, flat, weight)
-                own = summed(weighted[terms], block, len(of))
+                own = summed(weighted, terms, block, len(of))
                 # A window is a block and the one after it: each block is part of two.
                 window = own.copy()
-                window[:-1] += own[1:] * after[:-1, None]
+                window[:, :-1] += own[:, 1:] * after[:-1]
                 both = window.copy()
-                both[1:] += window[:-1] * after[:-1, None]
+                both[:, 1:] += window[:, :-1] * after[:-1]
                 order = np.argsort(terms, kind="stable")
-                total += summed(both[block[order]], terms[order], n_terms)
-        total *= weight[:, None]
+                total += summed(both, block[order], terms[order], n_terms)
+        total = np.ascontiguousarray(total.T) * weight[:, None]
         salt = int(np.abs(total[:, 0]).sum() * 1e6) % SUM_GROUPS
         for start in range(0, n_terms, SUM_ROWS):
             row = (start // SUM_ROWS, salt, total[start : start + SUM_ROWS].tobytes())
@@ -302,14 +310,16 @@ class Candidates:
     """Pairs of a window and a query by both routes, for a run of blocks."""
 
     def __init__(self, parts: list[np.ndarray], counts: np.ndarray, space: np.ndarray, latent: np.ndarray, cosine: float, span: int):
-        self.space, self.cosine, self.span, self.n = space, cosine, span, len(parts)
+        self.space, self.cosine, self.span, self.n = np.ascontiguousarray(space.T), cosine, span, len(parts)
         self.unit = (latent / np.maximum(np.linalg.norm(latent, axis=1), 1e-30)[:, None]).T.astype(np.float32)
         self.need = np.array([needed(part) for part in parts])
-        # Words of queries, filled up with a term that no window has.
+        # Words of queries, the rarest first, filled up with a term that no window has.
         self.filled = np.full((self.n, PART), len(counts), np.int32)
         rare, self.least = zip(*(rarest(part, counts) for part in parts), strict=True)
         for q, part in enumerate(parts):
-            self.filled[q, : len(part)] = part
+            self.filled[q, : len(part)] = part[np.argsort(counts[part], kind="stable")]
+        # Of the rarest ``FIRST`` words a window holds what the others cannot make up for.
+        self.need_first = self.need - np.maximum([len(part) - FIRST for part in parts], 0)
         rare = [np.unique(words) for words in rare]
         term, query = np.concatenate(rare), np.repeat(np.arange(self.n), list(map(len, rare)))
         order = np.argsort(term, kind="stable")
@@ -325,7 +335,7 @@ class Candidates:
         return spanned(held, of, self.span) >= self.least
 
     def latent(self, terms: np.ndarray, block: np.ndarray, of: np.ndarray) -> np.ndarray:
-        windows = spanned(summed(self.space[terms], block, len(of)), of, 2)
+        windows = spanned(np.ascontiguousarray(summed(self.space, terms, block, len(of)).T), of, 2)
         lengths = np.linalg.norm(windows, axis=1)
         return windows @ self.unit >= self.cosine * np.where(lengths > 0, lengths, np.inf)[:, None]
 
@@ -335,15 +345,21 @@ class Candidates:
         for route in routes:
             found |= getattr(self, route)(terms, block, of)
         window, query = np.nonzero(found)
-        present = np.zeros((len(of), len(self.space) + 1), bool)
-        present[block, terms] = True
-        present = spanned(present, of, self.span)
-        keep = [
-            present[window[i : i + 8192, None], self.filled[query[i : i + 8192]]].sum(axis=1) >= self.need[query[i : i + 8192]]
-            for i in range(0, len(window), 8192)
-        ]
-        keep = np.concatenate([*keep, np.zeros(0, bool)])
-        return window[keep], query[keep]
+        present = np.zeros((len(of), self.space.shape[1] + 1), bool)
+        for k in range(self.span):
+            # A block's words are those of the windows that start up to ``span - 1`` blocks before it.
+            at = np.flatnonzero((block >= k) & (of[np.maximum(block - k, 0)] == of[block]))
+            present[block[at] - k, terms[at]] = True
+
+        def enough(window: np.ndarray, query: np.ndarray, words: int, need: np.ndarray) -> np.ndarray:
+            parts = [slice(i, i + 8192) for i in range(0, len(window), 8192)]
+            keep = [np.count_nonzero(present[window[p, None], self.filled[query[p], :words]], axis=1) >= need[query[p]] for p in parts]
+            return np.concatenate([*keep, np.zeros(0, bool)])
+
+        for words, need in ((FIRST, self.need_first), (PART, self.need)):
+            keep = enough(window, query, words, need)
+            window, query = window[keep], query[keep]
+        return window, query
 
 
 def search(
