@@ -224,3 +224,26 @@ def test_read_word_vectors(spark, tmp_path):
     path.write_text("pump 1.0 2.0\nbad 1.0\nworse x 2.0\nvalve 0 -1\n")
     got = {r.word: list(r.vector) for r in files.read_word_vectors(spark, str(path), 2).collect()}
     assert got == {"pump": [1.0, 2.0], "valve": [0.0, -1.0]}
+
+
+def test_runs_of_centres_train_on_every_pair():
+    """A run's step is that of its pairs, and the marked pairs are those within the drawn reaches."""
+    rng = np.random.default_rng(3)
+    tokens, sentence = rng.integers(0, 9, 60), np.repeat([4, 7, 8, 20], [1, 30, 9, 20])
+    moved, place, size = skipgram.shuffled(tokens, sentence, rng)
+    starts = np.flatnonzero(place == 0)
+    assert sorted(map(tuple, np.split(moved, starts[1:]))) == sorted(tuple(tokens[sentence == s]) for s in set(sentence))
+    before, behind = skipgram.reaches(place, size, 5, rng)
+    assert (before <= place).all() and (behind < size - place).all() and before.max() == behind.max() == 5
+    at = np.arange(60)
+    paired = (at >= (at - before)[:, None]) & (at <= (at + behind)[:, None]) & (at != at[:, None])
+    assert paired.sum() == (before + behind).sum() > 100
+
+    settings = skipgram.Settings(4, 5, 5, 0.1, None, 1, 1)
+    inputs, outputs, drawn = rng.normal(size=(9, 4)).astype("f"), rng.normal(size=(9, 4)).astype("f"), np.array([2, 2, 5])
+    whole, single = (skipgram.Part(inputs.copy(), outputs.copy(), np.ones(9), 9, None, settings) for _ in range(2))
+    whole.step(moved, moved, drawn, 0.05, paired)
+    i, j = np.nonzero(paired)
+    single.step(moved[i], moved[j], drawn, 0.05)
+    assert np.allclose(whole.inputs, single.inputs, atol=1e-4) and np.allclose(whole.outputs, single.outputs, atol=1e-4)
+    assert not np.allclose(whole.inputs, inputs, atol=1e-2)
