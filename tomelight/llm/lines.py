@@ -35,7 +35,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import let, once
-from ..operators.joins import is_small
 from ..sources.store import materialize
 
 SIMILARITY = 0.8
@@ -47,8 +46,9 @@ BROADCAST_ROWS = 500_000
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its checked size allows."""
-    return F.broadcast(df) if is_small(df, BROADCAST_ROWS) else df
+    """Marked for broadcast where its size allows. It is a written table: its rows are counted where they lie, none
+    is brought to the driver for it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def word_set(line: Column) -> Column:
