@@ -247,3 +247,22 @@ def test_runs_of_centres_train_on_every_pair():
     single.step(moved[i], moved[j], drawn, 0.05)
     assert np.allclose(whole.inputs, single.inputs, atol=1e-4) and np.allclose(whole.outputs, single.outputs, atol=1e-4)
     assert not np.allclose(whole.inputs, inputs, atol=1e-2)
+
+
+def test_parts_get_the_vectors_that_their_edges_name(spark):
+    """Many parts and few edges a word: no vector goes to every part, and the sums are the same."""
+    rng = np.random.default_rng(8)
+    vectors = {f"w{i}": rng.normal(size=3) for i in range(50)}
+    edges = [(int(k), f"w{int(w)}", float(x)) for k, w, x in zip(rng.integers(0, 40, 120), rng.integers(0, 60, 120), rng.integers(1, 4, 120), strict=True)]
+    table = spark.createDataFrame([(w, [float(x) for x in v]) for w, v in vectors.items()], "word string, vector array<double>")
+    rows = spark.createDataFrame([*edges, (None, "w1", 1.0), (3, None, 1.0)], "id long, word string, weight double")
+    found = blocks.weighted_sums(rows, table, 3, "id", part_edges=6)
+    assert "explode(" not in found._jdf.queryExecution().analyzed().toString()
+    got = {r.id: r for r in found.collect()}
+    for key in {k for k, _, _ in edges}:
+        own = [(vectors[w], x) for k, w, x in edges if k == key and w in vectors]
+        if own:
+            assert got[key].n == sum(x for _, x in own)
+            assert got[key].sums == pytest.approx(list(sum(v * x for v, x in own)))
+        else:
+            assert key not in got
