@@ -73,6 +73,63 @@ def test_group_of_variants_makes_few_pairs(spark):
     assert found.count() == 299  # not 300 * 299 / 2
 
 
+def test_lines_that_share_words_one_by_one_do_not_meet(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.choice(400, 12, replace=False))) for i in range(300)]
+    met, given = [], lines.earlier_pairs
+
+    def recorded(earlier, later, t):
+        met.append(later.count())
+        return given(earlier, later, t)
+
+    monkeypatch.setattr(lines, "earlier_pairs", recorded)
+    assert result(spark.createDataFrame(rows, DOCS)) == brute(rows)
+    assert sum(met) < 300  # about 3 * 300 by single words
+
+
+def test_group_whose_first_line_is_unlike_the_others(spark):
+    # Each line is like the next ones only; the order of the lines is not that of their likeness.
+    order = np.random.default_rng(9).permutation(150)
+    rows = [(int(i), " ".join(f"w{j}" for j in range(n, n + 30))) for i, n in enumerate(order)]
+    assert result(spark.createDataFrame(rows, DOCS)) == brute(rows)
+
+
+def test_other_similarities(spark):
+    rows = corpus(8)
+    df = spark.createDataFrame(rows, DOCS)
+    for t in (0.6, 0.75, 0.9):
+        assert result(df, similarity=t) == brute(rows, t)
+
+
+def test_runs_lose_nothing():
+    # Two sets as a random order of shared words and of words of either alone.
+    rng = np.random.default_rng(2)
+    for t, _ in itertools.product((0.75, 0.8, 0.9), range(4000)):
+        shared = int(rng.integers(1, 40))
+        differ = int(shared * (1 - t) / t + 1e-9)
+        if not differ:
+            continue
+        sides = [*["xy"] * shared, *rng.choice(["x", "y"], differ)]
+        rng.shuffle(sides)
+        found = []
+        for side in "xy":
+            words = [i for i, s in enumerate(sides) if side in s]
+            number = min(len(words) - 1, int(len(words) * 2 * (1 - t) + 1e-9) + 1)
+            found.append({(words[i], words[i + 1]) for i in range(number)})
+        assert found[0] & found[1]
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_words(spark):
+    rng = np.random.default_rng(1)
+    sets = [[int(w) for w in rng.integers(-(2**31), 2**31, int(rng.integers(1, 90)))] for _ in range(60)]
+    sets += [s[3:] + [i] for i, s in enumerate(sets)]
+    df = spark.createDataFrame([(s,) for s in sets], "words array<int>")
+    found = df.select("words", lines.bitmap(F.col("words"), 0), lines.bitmap(F.col("words"), 1)).collect()
+    for x, y in itertools.combinations(found, 2):
+        bits = sum(((x[i] ^ y[i]) & (2**64 - 1)).bit_count() for i in (1, 2))
+        assert bits <= len(set(x[0]) ^ set(y[0]))
+
+
 def test_filters_lose_nothing():
     t = 0.8
     for n, m in itertools.product(range(1, 25), repeat=2):

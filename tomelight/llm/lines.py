@@ -1,18 +1,19 @@
 """Near-duplicate lines by an exact set-similarity join, in column expressions only.
 
 A line is the set of its words. Words are ordered by how often they occur in the
-whole corpus, the rarest first. Two sets of Jaccard similarity t or more share a word
-among the first n - ceil(t n) + 1 of either (prefix filter), differ in size by a factor of
-1 / t at most (length filter), and have enough words left behind the shared one
-(positional filter), and the bitmaps of similar sets, one bit per word's hash, differ in no
+whole corpus, the rarest first. Of two sets of Jaccard similarity t or more that differ in d words
+each of these parts at most one pair of neighbours among the words they share: from 0.75 on, of the
+first d + 2 shared words two follow one another in both sets, and the first such two end
+within the first 2 (1 - t) n + 2 words of a set of n. Sets meet under every such run of two words (below 0.75 under
+every one of the first n - ceil(t n) + 1 words: prefix filter). They differ in size by a factor of
+1 / t at most (length filter), and their bitmaps, in which each word turns one bit, differ in no
 more bits than the sets may differ in words; what passes is verified. A line goes when an equal set or a set
 at least ``SIMILARITY`` alike stands on an earlier line, in the order of doc_id and line.
 
-Equal sets are one candidate, under their first line. In the bucket of a prefix word a
-set that passes the filters with the earliest set of the bucket is compared with that
-one only: in a group of copies that is nearly every member. The others are compared
-with every earlier set of the bucket. A set whose comparisons all fail although it
-was spared some is compared once more with all earlier sets of its buckets.
+Equal sets are one candidate, under their first line. Runs that one set alone holds are dropped as soon as
+they have met. In the bucket of a run every set is first compared with the earliest one only: in a group of copies
+that decides nearly every member. The sets that this leaves undecided are compared with all earlier sets
+of their buckets.
 
 Words are 32-bit hashes; the frequency of a word is that of its hash slot, a count
 over all lines kept in a table of fixed size. Any fixed order of words gives the same
@@ -20,7 +21,7 @@ result, only slower or faster. Lists of keys are broadcast up to a checked numbe
 of rows and joined by shuffle beyond it.
 
 A set so small that one word more or less makes it unlike (one to three words at 0.8) can
-only repeat an equal set: it is decided by its key and has no prefix words.
+only repeat an equal set: it is decided by its key and has no runs.
 
 Defined results: null text stays null; a line of fewer than ``least`` distinct words (1 by default:
 a line without words) is kept and compared with none; documents with a null doc_id are left as they are and
@@ -41,6 +42,8 @@ SIMILARITY = 0.8
 LEAST = 1
 SLOTS = 2**20
 WORD = r"[\p{L}\p{M}\p{N}]+"
+#: From this similarity on, sets that are alike and not equal have two words in common that follow one another.
+PAIRS_FROM = 0.75
 #: Keys are broadcast up to this number of rows (of 40 bytes at most).
 BROADCAST_ROWS = 500_000
 
@@ -108,42 +111,40 @@ def can_differ(n: Column, t: float) -> Column:
 
 
 def can_match(x: Column, y: Column, t: float) -> Column:
-    """Length, positional and bitmap filter for two structs (n, at, low, high) of one bucket."""
+    """Length and bitmap filter for two structs (n, low, high) of one bucket."""
     need = least_shared(x["n"], y["n"], t)
     sizes = F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * t - 1e-9
-    follow = F.least(x["n"] - x["at"], y["n"] - y["at"]) >= need
     differ = F.bit_count(x["low"].bitwiseXOR(y["low"])) + F.bit_count(x["high"].bitwiseXOR(y["high"]))
-    return sizes & follow & (differ <= x["n"] + y["n"] - 2 * need)
+    return sizes & (differ <= x["n"] + y["n"] - 2 * need)
 
 
 def bitmap(words: Column, which: int) -> Column:
-    """64 bits: of the words whose seventh bit is ``which``, the bits that their lowest six name."""
+    """64 bits: the words whose seventh bit is ``which`` each turn the bit that their lowest six name, so that of
+    two bitmaps words in both sets leave no difference."""
     one = F.lit(1).cast("long")
     return F.aggregate(
         words,
         F.lit(0).cast("long"),
         lambda acc, w: F.when(
-            w.bitwiseAND(F.lit(64)) == 64 * which, acc.bitwiseOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63))))
+            w.bitwiseAND(F.lit(64)) == 64 * which, acc.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63))))
         ).otherwise(acc),
     )
 
 
-def postings(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
-    """Rows (word, key, doc_id, line, me) of every set's prefix words; me: (n, at, low, high)."""
-    # The two projections become one; the counts are never part of a row.
-    ordered = firsts.filter(can_differ(F.size("words"), t)).withColumn("_counts", counts).select(
-        "key", "doc_id", "line", by_rarity(F.col("words"), F.col("_counts")).alias("ordered"),
-        bitmap(F.col("words"), 0).alias("low"), bitmap(F.col("words"), 1).alias("high"),
-    )
+def runs(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
+    """Rows (run, key): the hashes of every set's first runs of words."""
+    # The counts are never part of a row.
+    ordered = firsts.filter(can_differ(F.size("words"), t)).withColumn("_counts", counts)
+    ordered = ordered.select("key", by_rarity(F.col("words"), F.col("_counts")).alias("ordered"))
     n = F.size("ordered")
-    prefix = n - F.ceil(n * F.lit(t) - F.lit(1e-9)).cast("int") + 1
-    rows = ordered.select(
-        "key", "doc_id", "line", "low", "high", n.alias("n"),
-        F.posexplode(F.slice("ordered", F.lit(1), prefix)).alias("at", "word"),
-    )
-    return rows.filter(F.col("word").isNotNull()).select(
-        "word", "key", "doc_id", "line", F.struct("n", "at", "low", "high").alias("me")
-    )
+    if t < PAIRS_FROM:
+        number = n - F.ceil(n * F.lit(t) - F.lit(1e-9)).cast("int") + 1
+        run = [F.col("word")]
+    else:
+        number = F.least(n - 1, F.floor(n * F.lit(2 * (1 - t)) + F.lit(1e-9)).cast("int") + 1)
+        run = [F.col("word"), F.get("ordered", F.col("at") + 1)]
+    rows = ordered.select("key", "ordered", F.posexplode(F.slice("ordered", F.lit(1), number)).alias("at", "word"))
+    return rows.select(F.xxhash64(*run).alias("run"), "key")
 
 
 def verify(pairs: DataFrame, firsts: DataFrame, t: float) -> DataFrame:
@@ -164,43 +165,39 @@ def verify(pairs: DataFrame, firsts: DataFrame, t: float) -> DataFrame:
 
 def earlier_pairs(rows: DataFrame, later: DataFrame, t: float) -> DataFrame:
     """Pairs (a, b): b of ``later`` with every earlier row of its bucket that passes the filters."""
-    x = rows.select("word", F.col("key").alias("a"), F.col("rank").alias("ra"), F.col("me").alias("x"))
-    y = later.select("word", F.col("key").alias("b"), F.col("rank").alias("rb"), F.col("me").alias("y"))
-    joined = x.join(y, "word").filter((F.col("ra") < F.col("rb")) & (F.col("a") != F.col("b")))
+    x = rows.select("run", F.col("key").alias("a"), F.col("rank").alias("ra"), F.col("me").alias("x"))
+    y = later.select("run", F.col("key").alias("b"), F.col("rank").alias("rb"), F.col("me").alias("y"))
+    joined = x.join(y, "run").filter((F.col("ra") < F.col("rb")) & (F.col("a") != F.col("b")))
     return joined.filter(can_match(F.col("x"), F.col("y"), t)).select("a", "b")
 
 
 def matches(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
     """Pairs (a, b): set b is like the set a, whose first line is earlier. Every b that has
     an earlier match is found, with at least one of its matches."""
-    order = Window.partitionBy("word").orderBy("doc_id", "line", "key")
-
-    def ranked(rows: DataFrame) -> DataFrame:
-        first = F.first(F.struct("key", "me")).over(order)
-        return rows.withColumn("rank", F.row_number().over(order)).withColumn("first", first)
+    held = F.count(F.lit(1)).over(Window.partitionBy("run"))
+    shared = runs(firsts, counts, t).withColumn("held", held).filter("held > 1").select("run", "key")
+    shared = materialize(shared)
+    keys = materialize(shared.select("key").distinct())
+    sets = firsts.join(small(keys), "key", "left_semi").select("key", "doc_id", "line", "words")
+    sets = materialize(sets.dropDuplicates(["key"]))
+    me = F.struct(
+        F.size("words").alias("n"), bitmap(F.col("words"), 0).alias("low"), bitmap(F.col("words"), 1).alias("high")
+    )
+    order = Window.partitionBy("run").orderBy("doc_id", "line", "key")
+    rows = (
+        shared.join(sets.select("key", "doc_id", "line", me.alias("me")), "key")
+        .withColumn("rank", F.row_number().over(order))
+        .withColumn("first", F.first(F.struct("key", "me")).over(order))
+    )
+    rows = materialize(rows.filter("rank > 1").select("run", "key", "me", "rank", "first"))
 
-    rows = ranked(postings(firsts, counts, t))
     near = (F.col("first.key") != F.col("key")) & can_match(F.col("first.me"), F.col("me"), t)
-    star = rows.filter((F.col("rank") > 1) & near)
-    star = star.select(F.col("first.key").alias("a"), F.col("key").alias("b"), F.lit(True).alias("star"))
-    # All uses of the ranked rows read one shuffle: they need the same columns of it.
-    rest = earlier_pairs(rows.filter("rank > 1"), rows.filter((F.col("rank") > 2) & ~near), t)
-    pairs = star.union(rest.withColumn("star", F.lit(False)))
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("star").alias("star")))
-    found = materialize(verify(pairs.select("a", "b"), firsts, t))
-
-    # Sets spared some comparisons for one that has failed.
+    star = rows.filter(near).select(F.col("first.key").alias("a"), F.col("key").alias("b")).distinct()
+    found = materialize(verify(materialize(star), sets, t))
     decided = materialize(found.select(F.col("b").alias("key")).distinct())
-    open_ = materialize(
-        pairs.filter("star").select(F.col("b").alias("key")).distinct().join(small(decided), "key", "left_anti")
-    )
-    if open_.isEmpty():
-        return found
-    again = postings(firsts, counts, t)
-    words = materialize(again.join(small(open_), "key", "left_semi").select("word").distinct())
-    again = ranked(again.join(small(words), "word", "left_semi"))
-    more = earlier_pairs(again, again.join(small(open_), "key", "left_semi"), t)
-    return found.union(verify(materialize(more.distinct()), firsts, t)).distinct()
+    later = rows.filter("rank > 2").join(small(decided), "key", "left_anti")
+    rest = materialize(earlier_pairs(rows, later, t).distinct())
+    return found.union(verify(rest, sets, t))
 
 
 def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
