@@ -124,3 +124,20 @@ def test_messy_rows(spark):
     assert kept.columns == df.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 3, 4, 5, 7, 22, None]))
     assert dm.classes(empty(spark)).collect() == []
+
+
+def test_rows_of_shingles_are_not_joined_with_their_counts(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(6)]
+    sets = dm.shingle_sets(spark.createDataFrame(rows, DOCS))
+    placed = spark.range(6).selectExpr("id AS doc_id", "id AS label")
+    plans, given = [], dm.materialize
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return given(df)
+
+    monkeypatch.setattr(dm, "materialize", recorded)
+    found = {(r.a, r.b) for r in dm.across(placed, sets, 0.5).collect()}
+    assert found >= {(i, i + 1) for i in range(5)}
+    # The candidates' join by element is made of written rows and comes after these.
+    assert plans and not any(re.search(r"Join Inner, .*element", plan) for plan in plans)

@@ -274,11 +274,13 @@ def across(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         "doc_id", "label", "total", "s.hashes", F.explode(F.sequence(F.lit(1), "s.counts")).alias("nth")
     )
     each = copies.select("doc_id", "label", "total", F.xxhash64("hashes", "nth").alias("element"))
-    each = materialize(each)
-    held = each.groupBy("element").agg(
-        F.count(F.lit(1)).alias("df"), (F.min("label") < F.max("label")).alias("mixed")
-    )
-    shared = each.join(held.filter("df > 1"), "element")
+    # What is known of an element is added where its rows lie, without a join of the rows with themselves.
+    held = Window.partitionBy("element")
+    shared = each.select(
+        "*",
+        F.count(F.lit(1)).over(held).alias("df"),
+        (F.min("label").over(held) < F.max("label").over(held)).alias("mixed"),
+    ).filter("df > 1")
     mine = Window.partitionBy("doc_id")
     ranked = shared.withColumn("rank", F.row_number().over(mine.orderBy("df", "element"))).withColumn(
         "alone", F.col("total") - F.count(F.lit(1)).over(mine)
