@@ -119,6 +119,14 @@ def test_runs_lose_nothing():
         assert found[0] & found[1]
 
 
+def test_short_lines_meet(spark):
+    words = [f"w{i}" for i in range(9)]
+    rows = [(i, " ".join(words[:n])) for i, n in enumerate((4, 5, 6, 7, 9))]
+    expected = brute(rows)
+    assert sum(n for _, _, n in expected) >= 2
+    assert result(spark.createDataFrame(rows, DOCS)) == expected
+
+
 def test_bitmaps_differ_in_no_more_bits_than_sets_in_words(spark):
     rng = np.random.default_rng(1)
     sets = [[int(w) for w in rng.integers(-(2**31), 2**31, int(rng.integers(1, 90)))] for _ in range(60)]

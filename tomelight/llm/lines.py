@@ -10,8 +10,8 @@ every one of the first n - ceil(t n) + 1 words: prefix filter). They differ in s
 more bits than the sets may differ in words; what passes is verified. A line goes when an equal set or a set
 at least ``SIMILARITY`` alike stands on an earlier line, in the order of doc_id and line.
 
-Equal sets are one candidate, under their first line. Runs that one set alone holds are dropped as soon as
-they have met. In the bucket of a run every set is first compared with the earliest one only: in a group of copies
+Equal sets are one candidate, under their first line. Of the bucket of a run only sets stay that another of its sets
+fits by size. There every set is first compared with the earliest one only: in a group of copies
 that decides nearly every member. The sets that this leaves undecided are compared with all earlier sets
 of their buckets.
 
@@ -132,7 +132,7 @@ def bitmap(words: Column, which: int) -> Column:
 
 
 def runs(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
-    """Rows (run, key): the hashes of every set's first runs of words."""
+    """Rows (run, key, n): the hashes of every set's first runs of words, and its size."""
     # The counts are never part of a row.
     ordered = firsts.filter(can_differ(F.size("words"), t)).withColumn("_counts", counts)
     ordered = ordered.select("key", by_rarity(F.col("words"), F.col("_counts")).alias("ordered"))
@@ -143,8 +143,8 @@ def runs(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
     else:
         number = F.least(n - 1, F.floor(n * F.lit(2 * (1 - t)) + F.lit(1e-9)).cast("int") + 1)
         run = [F.col("word"), F.get("ordered", F.col("at") + 1)]
-    rows = ordered.select("key", "ordered", F.posexplode(F.slice("ordered", F.lit(1), number)).alias("at", "word"))
-    return rows.select(F.xxhash64(*run).alias("run"), "key")
+    rows = ordered.select("key", "ordered", n.alias("n"), F.posexplode(F.slice("ordered", F.lit(1), number)).alias("at", "word"))
+    return rows.select(F.xxhash64(*run).alias("run"), "key", "n")
 
 
 def verify(pairs: DataFrame, firsts: DataFrame, t: float) -> DataFrame:
@@ -174,8 +174,12 @@ def earlier_pairs(rows: DataFrame, later: DataFrame, t: float) -> DataFrame:
 def matches(firsts: DataFrame, counts: Column, t: float) -> DataFrame:
     """Pairs (a, b): set b is like the set a, whose first line is earlier. Every b that has
     an earlier match is found, with at least one of its matches."""
-    held = F.count(F.lit(1)).over(Window.partitionBy("run"))
-    shared = runs(firsts, counts, t).withColumn("held", held).filter("held > 1").select("run", "key")
+    # A set stays in a bucket where the next smaller or the next larger one there is of a size to be like it.
+    sizes, n = Window.partitionBy("run").orderBy("n"), F.col("n")
+    smaller, larger = F.lag("n").over(sizes), F.lead("n").over(sizes)
+    shared = runs(firsts, counts, t).select("run", "key", "n", smaller.alias("smaller"), larger.alias("larger"))
+    fits = (F.col("smaller") >= n * t - 1e-9) | (n >= F.col("larger") * t - 1e-9)
+    shared = shared.filter(fits).select("run", "key")
     shared = materialize(shared)
     keys = materialize(shared.select("key").distinct())
     sets = firsts.join(small(keys), "key", "left_semi").select("key", "doc_id", "line", "words")
