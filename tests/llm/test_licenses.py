@@ -42,3 +42,10 @@ def test_messy_rows(spark):
     out = licenses.scan_documents(messy(spark, extra)).collect()
     assert sorted(str(r.doc_id) for r in out) == ["8", "8", "None"]
     assert licenses.scan_documents(empty(spark)).collect() == []
+
+
+def test_words_that_only_look_like_a_template(spark):
+    """Parts of words make the block between two notices smaller by a template that shares no word with it."""
+    mit = licenses.TEMPLATES["mit"]
+    out = scan(spark, [f"{mit} licensing permissions noninfringements {mit}", f"{mit} attributions licensees sharealikes {mit}"])
+    assert [(r.doc_id, r.first_word, r.license, r.exact) for r in out] == [(i, at, "mit", True) for i in (0, 1) for at in (0, 8)]

@@ -152,10 +152,15 @@ class Scanner:
         return sorted((x for x in gains if x[0] >= GAIN), key=lambda x: (-x[0], x[1].name))
 
     def aligned(self, block: list[str], template: Template):
-        """Matching stretches around the longest one, as (begin, end, shared words)."""
+        """Matching stretches around the longest one, as (begin, end, shared words); all 0 where no word is shared.
+
+        Parts of words alone can make a block smaller by a template.
+        """
         n = len(template.words)
         match = difflib.SequenceMatcher(None, block, template.words, autojunk=False)
         best = match.find_longest_match()
+        if not best.size:
+            return 0, 0, 0
         slack = n // 4 + 1
         low = max(0, best.a - best.b - slack)
         high = min(len(block), best.a - best.b + n + slack)
