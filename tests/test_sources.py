@@ -94,3 +94,21 @@ def test_folder_of_the_session(spark):
     given = spark.conf.get("spark.checkpoint.dir")
     assert store.shared_folder(spark) == given.rstrip("/")
     assert store.shared_folder(spark, "/else/") == "/else"
+
+
+def test_an_intermediate_table_leaves_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with store.without_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before
+
+    def shuffled(write):
+        held = spark._jsc.sc().env().blockManager().diskBlockManager()
+        files = lambda: {b.toString() for b in map(held.getAllBlocks().apply, range(held.getAllBlocks().size())) if b.isShuffle()}
+        old = files()
+        write(spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count())
+        return files() - old
+
+    assert shuffled(lambda df: df.write.format("noop").mode("overwrite").save())
+    assert not shuffled(store.materialize)

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -266,3 +268,13 @@ def test_parts_get_the_vectors_that_their_edges_name(spark):
             assert got[key].sums == pytest.approx(list(sum(v * x for v, x in own)))
         else:
             assert key not in got
+
+
+def test_training_keeps_the_last_tables_only(spark):
+    """Of the tables of a training, the words and the last round's vectors are all that is left."""
+    rows = spark.createDataFrame([(["river", "stone", "lamp"],), (["stone", "lamp", "cloud"],)] * 4, "sentence array<string>")
+    with store.collecting() as made:
+        found, _ = skipgram.train(rows, vector_size=4, epochs=6, epochs_per_round=2)
+    left = [p for p in made if Path(p.removeprefix("file:")).exists()]
+    assert len(made) == 7 and len(left) == 2
+    assert {r.word: len(r.vector) for r in found.collect()} == {"river": 4, "stone": 4, "lamp": 4, "cloud": 4}
