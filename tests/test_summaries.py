@@ -135,3 +135,17 @@ def test_joined_totals_move_each_distinct_term_once(spark):
     assert sorted(map(repr, shipped.select("doc_id", "out").collect())) == sorted(map(repr, joined.select("doc_id", "out").collect()))
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate posexplode") == 1 and "uuid" not in plan
+
+
+def test_a_part_gets_each_vector_once(spark):
+    """No vector is held per pair and word; ids and words of vectors may repeat, an id may be null."""
+    words = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("b", [0.6, 0.8]), ("c", None)], "word string, vector array<double>")
+    rows = [(1, "a a b", "b"), (2, "a", None), (None, "b", "a"), (3, "a", "zz"), (3, "zz", "b c"), (4, "", "")]
+    scored = overlap.greedy_match_score(spark.createDataFrame(rows, "pair_id long, pred string, ref string"), words)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+    found = {r.pair_id: (r.precision, r.recall) for r in scored.collect()}
+    # "a" twice at 0.6, "b" by both of its vectors; the reference's two vectors of "b" are in the prediction.
+    assert found.pop(1) == pytest.approx(((2 * 0.6 + 1 + 1) / 4, 1.0))
+    assert found.pop(None) == pytest.approx(((0 + 0.6) / 2, 0.6)) and found.pop(3) == pytest.approx((0.6, 0.3))
+    assert found == {2: (0.0, 0.0), 4: (0.0, 0.0)}
