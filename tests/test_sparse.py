@@ -271,3 +271,23 @@ def test_a_grid_does_not_copy_rows_with_the_table(spark):
     left, right = topk.triangle(rows, 10)
     assert left.count() + right.count() <= 5000 * (topk.GRID_BLOCKS + 1)
     assert topk.block_count(rows, 10) == topk.GRID_BLOCKS
+
+
+def test_pairs_under_a_rarer_term_are_not_looked_at_one_by_one():
+    """A cell whose pairs all share a rarer term gives none of them, without a row of the matrix for each."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, columns = 700, 400
+    ones = np.ones(n, np.int64)
+    terms = pa.array([list(range(columns))] * n, pa.list_(pa.int32()))
+    run = pa.table(
+        {"term": ones * (columns - 1), "i": ones * 0, "j": ones * 0, "own": ones * 0, "w": ones * 0.5, "rest": ones * 0.8, "id": np.arange(n),
+         "terms": terms, "weights": pa.array(np.ones((n, columns)).tolist(), pa.list_(pa.float64()))}
+    )
+    counts = np.ones(simjoin.SLOTS, np.int64)
+    tracemalloc.start()
+    assert sum(len(a) for a, *_ in simjoin.met(run, 0.8, counts)) == 0
+    assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    tracemalloc.stop()
