@@ -278,3 +278,17 @@ def test_training_keeps_the_last_tables_only(spark):
     left = [p for p in made if Path(p.removeprefix("file:")).exists()]
     assert len(made) == 7 and len(left) == 2
     assert {r.word: len(r.vector) for r in found.collect()} == {"river": 4, "stone": 4, "lamp": 4, "cloud": 4}
+
+
+def test_blocks_follow_the_vectors_of_a_part(spark):
+    """A key leaves one sum where its part names few words, however many vectors there are."""
+    rng = np.random.default_rng(3)
+    table = [(f"w{i}", [float(x) for x in rng.integers(0, 9, 3)]) for i in range(400)]
+    edges = [(k, f"w{(k % 2) * 7 + j}", float(j)) for k in range(30) for j in range(4)]
+    known = spark.createDataFrame(table, "word string, vector array<float>")
+    rows = spark.createDataFrame(edges, "id long, word string, weight double")
+    found = blocks.weighted_sums(rows, known, 3, "id", block_values=90, part_edges=60)
+    assert "HashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    vectors = dict(table)
+    got = {r.id: (r.sums, r.n) for r in found.collect()}
+    assert got == {k: ([sum(j * vectors[f"w{(k % 2) * 7 + j}"][i] for j in range(4)) for i in range(3)], 6.0) for k in range(30)}
